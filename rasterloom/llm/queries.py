@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm import decontam, lang_id, ngram_join, secrets, substring_dedup
+from rasterloom.llm import chat, decontam, html_extract, lang_id, ngram_join, packing, quality, secrets, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,20 +29,50 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    rows = [(-1, 0, "user", probe), (-1, 1, "assistant", probe)]
+    extra = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    logs = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.format_events(chat.as_events(logs)))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lang_id": op2_lang_id,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_chat_format": op5_chat_format,
     "op6_decontamination": op6_decontamination,
+    "op7_html_extract": op7_html_extract,
+    "op8_exact_topk": op8_exact_topk,
     "op9_secret_scan": op9_secret_scan,
+    "op10_quality": op10_quality,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -72,4 +102,24 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
                sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, j: NOT list_contains(ps, j)) END, ' '), '')) AS kept_sha256
         FROM words LEFT JOIN cut USING (doc_id)""",
+    "op5_chat_format": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sized AS (
+            SELECT *, length(regexp_replace(text, '(\\|</?s>|\[/?INST\]|\[/ROLE\])', '\1.', 'g')) AS n,
+                   length(regexp_replace(role, '(\\|</?s>|\[/?INST\]|\[/ROLE\])', '\1.', 'g')) AS m FROM rows)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(n + CASE WHEN role = 'assistant' THEN 7 ELSE m + 20 END)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id""",
+    "op8_exact_topk": r"""
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
 }
