@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rasterloom.plans import statistics
+from rasterloom.plans import rasters, segments, statistics
 from rasterloom.plans.registry import Query
 
-MODULES = (statistics,)
+MODULES = (statistics, rasters, segments)
 
 
 def queries() -> dict[str, Query]:
