@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from rasterloom.plans import rasters, segments, statistics
+from rasterloom.plans import rasters, segments, statistics, tiles
 from rasterloom.plans.registry import Query
 
-MODULES = (statistics, rasters, segments)
+MODULES = (statistics, rasters, segments, tiles)
 
 
 def queries() -> dict[str, Query]:
