@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm import textscan
 from rasterloom.llm.staging import staged
 
 # Element kinds of HTML.
@@ -154,7 +155,7 @@ def _tokens(batches):
 
 def templates(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
     """host, token, pages (of the host that have it) and class of each token of each host's valid equivalence classes."""
-    own = pages.select("page_id", host(F.col("url")).alias("host"), F.col("html").alias("html"))
+    own = textscan.bounded(pages).select("page_id", host(F.col("url")).alias("host"), F.col("html").alias("html"))
     size = own.groupBy("host").agg(F.count("*").alias("total"))
     vectors = own.mapInArrow(_tokens, "host string, token long, n long, mark long").groupBy("host", "token")
     vectors = vectors.agg(F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"))
@@ -198,6 +199,6 @@ def extract(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text and n_chars (code points of text) of each row of pages."""
     held = templates(pages, share).groupBy("host").agg(F.collect_list("token").alias("template"))
     held = staged(held, "templates")
-    own = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
+    own = textscan.bounded(pages).select("page_id", "url", "html", host(F.col("url")).alias("host"))
     rows = own.join(held, "host", "left").select("page_id", "url", "html", "template")
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -259,7 +259,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             for part, names, score, _, _ in classify(shared.value, batch):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return textscan.bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def word_labels(docs: DataFrame, model: Model) -> DataFrame:
@@ -273,7 +273,7 @@ def word_labels(docs: DataFrame, model: Model) -> DataFrame:
                 labels = textscan.list_column(pa.array(names, pa.string()), scan.first)
                 yield pa.RecordBatch.from_arrays([part.column(0), labels], ["doc_id", "labels"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, labels array<string>")
+    return textscan.bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, labels array<string>")
 
 
 def held_out() -> F.Column:
@@ -291,4 +291,4 @@ def keep_known(docs: DataFrame, least: float = 0.35) -> DataFrame:
             for part, names, score, _, _ in classify(shared.value, batch):
                 yield part.filter(pa.array((names != UNKNOWN) & (score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return textscan.bounded(docs).mapInArrow(run, docs.schema)

@@ -179,7 +179,7 @@ def _verify(threshold: float, batch: pa.Table) -> pa.Table:
 def _found(docs: DataFrame, threshold: float, size: int, recall: float) -> DataFrame:
     """For each row: doc_id, text_key (xxhash64 of its text), n shingles, cluster (null if it has no shingles), class_id, copy_of, n_links."""
     bands, rows = banding(threshold, recall)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
     signed = keyed.mapInArrow(_signatures(size, bands, rows), "doc_id long, text_key long, n long, node long, key long, bands array<long>")
     signed = staged(signed, "signatures")

@@ -105,7 +105,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, cluster:
     """One row for each piece of each row of docs: doc_id, piece, start and n_words (in words), bin, offset in the bin."""
     shards = max(1, -(-docs.count() // shard))
     key = F.col(cluster).cast("string") if cluster else F.xxhash64("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce("text", F.lit("")).alias("text"), key.alias("cluster"))
+    rows = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce("text", F.lit("")).alias("text"), key.alias("cluster"))
     rows = rows.mapInArrow(_words, "doc_id long, source string, cluster string, n_words long")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(17)), F.lit(shards)).cast("int"))
     return rows.groupBy("shard").applyInArrow(_pack(capacity), RESULT)

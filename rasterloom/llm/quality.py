@@ -198,7 +198,7 @@ def _patterns(batches):
 
 def fit_labels(docs: DataFrame) -> LabelModel:
     """The label model of the votes of all documents."""
-    rows = docs.select("text").mapInArrow(_patterns, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
+    rows = textscan.bounded(docs).select("text").mapInArrow(_patterns, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
     code = np.array([r["code"] for r in rows], dtype=np.int64)
     patterns = (code[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1).astype(np.int8)
     return estimate(patterns, np.array([r["n"] for r in rows], dtype=np.float64))
@@ -259,4 +259,4 @@ def score(docs: DataFrame, model: Scorer) -> DataFrame:
                 found, weak = shared.value.score(scan)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found), pa.array(weak), pa.array(found >= 0.5)], ["doc_id", "score", "weak_label", "keep"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, weak_label double, keep boolean")
+    return textscan.bounded(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double, weak_label double, keep boolean")

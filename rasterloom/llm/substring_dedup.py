@@ -118,7 +118,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
     doc_id, start (index of the first word), n (windows in a row), content (hash of their words).
     """
     spark = docs.sparkSession
-    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = textscan.bounded(docs).where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = texts.mapInArrow(_anchors(k, m), "anchor long, doc_id long").groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = staged(seen.where("lo < hi").select("anchor"), "anchors")
     wanted = spark.sparkContext.broadcast(keyfilter.build(shared, "anchor"))  # 32 MB at most
@@ -203,7 +203,7 @@ def _with_spans(texts: DataFrame, k: int, m: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
     """doc_id and kept_text: each document's words, joined by one space, without its repeated spans."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = texts.join(_with_spans(texts, k, m), "doc_id", "left").select("doc_id", "text", "spans")
     return cut.mapInArrow(_cut(k, True), RESULT + ", kept_text string").select("doc_id", "n_words", "n_removed", "kept_text")
 
@@ -213,7 +213,7 @@ def digest(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
 
     Only the texts of documents that have spans are shuffled; the others' are digested where they are read.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = _with_spans(texts, k, m)
     touched = docs.sparkSession.sparkContext.broadcast(keyfilter.build(spans, "doc_id"))  # 32 MB at most
     plain = texts.mapInArrow(_untouched(touched), RESULT)

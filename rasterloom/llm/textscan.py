@@ -15,8 +15,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
+BATCH_BYTES = 4 << 20
 U64 = np.uint64
 _MUL_A, _MUL_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 _BYTE_BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
@@ -90,6 +92,12 @@ class Scan:
         return self.raw[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
 
+def bounded(frame: DataFrame) -> DataFrame:
+    """The frame, in a session whose Arrow batches are small: a Python worker keeps what its largest batch took."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return frame
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; nulls become empty texts."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
