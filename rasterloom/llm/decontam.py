@@ -1,6 +1,6 @@
 """Benchmark decontamination by template windows, with built-in functions only.
 
-A text becomes a template: numbers, names (capitalised words inside a sentence) and units after
+A text becomes a template: numbers, names (capitalised words inside a sentence, not words in capitals) and units after
 numbers turn into typed placeholders, other words are lower-cased and lose punctuation.  Windows
 of `WINDOW` template words are hash-joined with those of the benchmark's items, so a question
 that was re-parameterised still matches.  For windows with placeholders the slots are then
@@ -56,7 +56,7 @@ def template(text: Column) -> Column:
     numbered = F.regexp_replace(F.regexp_replace(out, f"{NUMBER}({units})\\b", NUMBER + UNIT), f"{NUMBER} ({units})\\b", f"{NUMBER} {UNIT}")
     out = F.when(F.contains(out, F.lit(NUMBER)), numbered).otherwise(out)
     out = F.regexp_replace(out, r"([.!?:]) (\p{Lu})", "$1 \x01$2")
-    return _bare(F.regexp_replace(out, r" \p{Lu}[\p{L}'’-]*", f" {NAME}"))
+    return _bare(F.regexp_replace(out, r" \p{Lu}[\p{Lu}'’-]*\p{Ll}[\p{L}'’-]*", f" {NAME}"))
 
 
 def _words(text: Column) -> Column:
