@@ -207,15 +207,19 @@ def fit_labels(docs: DataFrame) -> LabelModel:
 def train(texts: list[str], labels: LabelModel, seed: int = 5) -> Scorer:
     """Logistic regression against the posterior labels, by adaptive gradient steps."""
     scorer = Scorer(labels)
-    raw, offsets = textscan.utf8(pa.array(texts, pa.large_string()))
-    scan = textscan.scan(raw, offsets)
-    words = scan.word_hashes()
-    stats = statistics(scan, words)
-    own = np.flatnonzero(stats[:, 0] > 0)
+    parts = []  # slice by slice, only the compact features of a slice are kept
+    for _, scan in textscan.slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), "text"):
+        words = scan.word_hashes()
+        stats = statistics(scan, words)
+        bucket, dense = features(scan, words, stats)
+        parts.append((bucket.astype(np.int32), dense, labels.posterior(votes(stats)), np.diff(scan.first)))
+    if not parts:
+        return scorer
+    bucket, dense, target, size = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    first = np.append(0, np.cumsum(size))
+    own = np.flatnonzero(size)
     if len(own) < 20:
         return scorer
-    target = labels.posterior(votes(stats))
-    bucket, dense = features(scan, words, stats)
     w, d, b = np.zeros(BUCKETS), np.zeros(dense.shape[1]), 0.0
     sw, sd, sb = np.full(BUCKETS, 1e-3), np.full(dense.shape[1], 1e-3), 1e-3
     rng = np.random.default_rng(seed)
@@ -223,9 +227,9 @@ def train(texts: list[str], labels: LabelModel, seed: int = 5) -> Scorer:
         rng.shuffle(own)
         for lo in range(0, len(own), 64):
             rows = own[lo : lo + 64]
-            n = (scan.first[rows + 1] - scan.first[rows]).astype(np.int64)
+            n = size[rows]
             at = np.append(0, np.cumsum(n))
-            feats = bucket[np.arange(at[-1]) + np.repeat(scan.first[rows] - at[:-1], n)]
+            feats = bucket[np.arange(at[-1]) + np.repeat(first[rows] - at[:-1], n)]
             place = np.repeat(np.arange(len(rows)), n)
             z = b + np.bincount(place, w[feats], minlength=len(rows)) / n + dense[rows] @ d
             g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - target[rows]) / len(rows)
