@@ -125,6 +125,42 @@ def em_step(pixels: DataFrame, gmm: DataFrame, key: str = "k") -> DataFrame:
     return _gaussian(scored.groupBy(key).agg(n.alias("n"), mean(hh).alias("mu1"), mean(hv).alias("mu2"), mean(hh * hh).alias("c11"), mean(hh * hv).alias("c12"), mean(hv * hv).alias("c22")), key)
 
 
+def em(pixels: DataFrame, start: DataFrame, rounds: int = 20, tolerance: float = 1e-4, key: str = "k") -> DataFrame:
+    """Class parameters by repeated steps, until the means hardly move; parameters are a row a class and are carried as literals."""
+    spark, gmm, before = pixels.sparkSession, start, None
+    for _ in range(rounds):
+        rows = em_step(pixels, gmm, key).collect()  # a row a class
+        gmm = spark.createDataFrame(rows)
+        means = {r[key]: (r["mu1"], r["mu2"]) for r in rows}
+        if before and all(abs(means[c][i] - before.get(c, (1e9, 1e9))[i]) <= tolerance for c in means for i in (0, 1)):
+            break
+        before = means
+    return gmm
+
+
+def assign_pixels(pixels: DataFrame, gmm: DataFrame, key: str = "k") -> DataFrame:
+    """row, col, class of largest likelihood of each pixel."""
+    classes = F.broadcast(gmm.select(F.col(key).alias("candidate"), "prior", "mu1", "mu2", "i11", "i12", "i22", "cov_det"))
+    d1, d2 = F.col("hh") - F.col("mu1"), F.col("hv") - F.col("mu2")
+    u = F.log("cov_det") - F.log("prior") + 0.5 * (F.col("i11") * d1 * d1 + 2 * F.col("i12") * d1 * d2 + F.col("i22") * d2 * d2)
+    return pixels.crossJoin(classes).groupBy("row", "col").agg(F.min_by("candidate", F.struct(u, "candidate")).alias("class"))
+
+
+def mrf_sweep(pixels: DataFrame, gmm: DataFrame, beta: float, parity: int, key: str = "k") -> DataFrame:
+    """One conditional-mode sweep over the pixels of one colour of a 2 x 2 colouring; others keep their class.
+
+    No two pixels of a colour are neighbours, so all of them may change at once without the energy rising.
+    """
+    near = neighbours(pixels, key).groupBy("row", "col", F.col("other").alias("candidate")).agg(F.count("*").alias("same"))
+    classes = F.broadcast(gmm.select(F.col(key).alias("candidate"), "mu1", "mu2", "i11", "i12", "i22", "cov_det"))
+    own = pixels.where((F.col("row") % 2 * 2 + F.col("col") % 2) == parity)
+    d1, d2 = F.col("hh") - F.col("mu1"), F.col("hv") - F.col("mu2")
+    unary_energy = F.log("cov_det") + 0.5 * (F.col("i11") * d1 * d1 + 2 * F.col("i12") * d1 * d2 + F.col("i22") * d2 * d2)
+    scored = own.crossJoin(classes).join(near, ["row", "col", "candidate"], "left").withColumn("u", F.round(unary_energy - beta * F.coalesce("same", F.lit(0)), 9))
+    best = scored.groupBy("row", "col").agg(F.min_by("candidate", F.struct("u", "candidate")).alias("new"))
+    return pixels.join(best, ["row", "col"], "left").withColumn(key, F.coalesce("new", key)).drop("new")
+
+
 def segment_statistics(pixels: DataFrame, key: str = "k") -> DataFrame:
     """Mean, population covariance and pixel count of each class."""
     return pixels.where(F.col(key) >= 0).groupBy(key).agg(

@@ -46,6 +46,72 @@ def mirror(index: Column, size: Column) -> Column:
     return F.when(index < 0, -index - 1).when(index >= size, 2 * size - 1 - index).otherwise(index)
 
 
+def padded(pixels: DataFrame, axis: str, size: int, margin: int, mode: str, bands: list[str], keys: list[str]) -> DataFrame:
+    """pixels with `margin` more lines at both ends of the axis: zero, last (the edge line), cycle or mirror."""
+    if mode == "mirror":
+        return mirror_padded(pixels, axis, size, margin)
+    x = F.col(axis)
+    if mode == "cycle":
+        return pixels.withColumn(axis, F.explode(F.filter(F.array(x, x - size, x + size), lambda p: (p >= -margin) & (p < size + margin))))
+    low, high = F.sequence(F.lit(-margin), F.lit(-1)), F.sequence(F.lit(size), F.lit(size + margin - 1))
+    edge = pixels.where((x == 0) | (x == size - 1))
+    beyond = edge.withColumn(axis, F.explode(F.when((x == 0) & F.lit(size == 1), F.concat(low, high)).when(x == 0, low).otherwise(high)))
+    if mode == "zero":
+        beyond = beyond.withColumns({b: F.lit(0.0) for b in bands})
+    elif mode != "last":
+        raise ValueError(f"unknown padding {mode}")
+    return pixels.select(*keys, axis, *bands).unionByName(beyond.select(*keys, axis, *bands))
+
+
+def shifted(pixels: DataFrame, rows: int, cols: int, height: int, width: int) -> DataFrame:
+    """pixels moved by (rows, cols); what leaves the image is dropped."""
+    moved = pixels.withColumns({"row": F.col("row") + rows, "col": F.col("col") + cols})
+    return moved.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
+
+
+def cropped(pixels: DataFrame, top: int, left: int, height: int, width: int) -> DataFrame:
+    """The sub-area from (top, left), with its own coordinates."""
+    return shifted(pixels, -top, -left, height, width)
+
+
+SOBEL, PREWITT = ([0.5, 0.0, -0.5], [0.25, 0.5, 0.25]), ([3**-0.5, 0.0, -(3**-0.5)], [3**-0.5, 3**-0.5, 3**-0.5])
+
+
+def separable_gradients(pixels: DataFrame, bands: list[str], taps: tuple[list[float], list[float]], height: int, width: int) -> DataFrame:
+    """<band>_dx and <band>_dy by a derivative and a smoothing filter, such as SOBEL or PREWITT."""
+    d, g = taps
+    wide = pixels.select("*", *[F.col(b).alias(f"{b}_dx") for b in bands], *[F.col(b).alias(f"{b}_dy") for b in bands])
+    along = {f"{b}_dx": d for b in bands} | {f"{b}_dy": g for b in bands}
+    across = {f"{b}_dx": g for b in bands} | {f"{b}_dy": d for b in bands}
+    return convolve(convolve(wide, along, "col", width, ["row"]), across, "row", height, ["col"])
+
+
+def noise_window(features: int) -> int:
+    """Side of the window for noise estimates: odd, at least 7."""
+    side = int(math.sqrt(10 * features))
+    return max(7, side + (side % 2 == 0))
+
+
+def noise_variance(pixels: DataFrame, bands: list[str], height: int, width: int, bins: int = 256) -> DataFrame:
+    """The mode of the local variances (one band) or of the determinants of the local covariances (two bands) over all whole windows, one row."""
+    side = min(noise_window(len(bands)), height, width)
+    reach = side - 1
+    line = W.partitionBy("row").orderBy("col").rangeBetween(0, reach)
+    column = W.partitionBy("col").orderBy("row").rangeBetween(0, reach)
+    products = {f"s_{a}": F.col(a) for a in bands} | {f"s_{a}_{b}": F.col(a) * F.col(b) for i, a in enumerate(bands) for b in bands[i:]}
+    sums = pixels.withColumns({k: F.sum(v).over(line) for k, v in products.items()}).withColumns({k: F.sum(k).over(column) for k in products})
+    whole = sums.where((F.col("row") < height - reach) & (F.col("col") < width - reach))
+    n = side * side
+    cov = lambda a, b: F.col(f"s_{a}_{b}") / n - F.col(f"s_{a}") / n * F.col(f"s_{b}") / n
+    value = cov(bands[0], bands[0]) if len(bands) == 1 else cov(bands[0], bands[0]) * cov(bands[1], bands[1]) - F.pow(cov(bands[0], bands[1]), 2)
+    spread = whole.select(value.alias("v"))
+    ends = spread.agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    step = (F.col("high") - F.col("low")) / bins
+    place = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("v") - F.col("low"), step)).cast("int"))
+    counts = spread.crossJoin(F.broadcast(ends)).groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(F.count("*").alias("n"), F.first("low").alias("low"), F.first(step).alias("step"))  # ends is one row
+    return counts.orderBy(F.desc("n"), "bin").limit(1).select((F.col("low") + (F.col("bin") + 0.5) * F.col("step")).alias("noise"))
+
+
 def mirror_padded(pixels: DataFrame, axis: str, size: Column | int, margin: int) -> DataFrame:
     """pixels with mirrored copies up to `margin` beyond both ends of the axis."""
     size = F.lit(size) if isinstance(size, int) else size
@@ -142,8 +208,8 @@ def resize_nearest(pixels: DataFrame, bands: list[str], size: tuple[int, int], t
 
 
 def resize_bilinear(pixels: DataFrame, band: str, size: tuple[int, int], target: tuple[int, int]) -> DataFrame:
-    """Bilinear values at i * (size - 1) / (target - 1): corners meet corners."""
-    at = lambda axis, n, m: F.col(axis) * (n - 1) / max(1, m - 1)
+    """Bilinear values at i * (size - 1) / target."""
+    at = lambda axis, n, m: F.col(axis) * (n - 1) / m
     grid = _grid(pixels, *target).withColumns({"y": at("row", size[0], target[0]), "x": at("col", size[1], target[1])})
     base = {"r0": F.floor("y").cast("int"), "c0": F.floor("x").cast("int")}
     taps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +117,25 @@ def polar_forward(lat: Column, lon: Column, p: dict[str, float] = POLAR) -> tupl
     return rho * F.sin(theta), -rho * F.cos(theta)
 
 
+def sensor_land_mask(pixels: DataFrame, lat: Column, lon: Column, rings: list[list[tuple[float, float]]], cell: float, origin: tuple[float, float], size: tuple[int, int], threshold: float = 0.5) -> DataFrame:
+    """row, col, land: pixels are projected, the ocean (rings in projected metres) is rasterised on a grid of `cell` metres from
+    origin (x of the left, y of the top edge) and sampled bilinearly; outside the grid counts as land.
+
+    The four cells around a place are tested directly, so the grid itself is never built.
+    """
+    x, y = polar_forward(lat, lon)
+    placed = pixels.withColumns({"gx": (x - origin[0]) / cell - 0.5, "gy": (origin[1] - y) / cell - 0.5})
+    placed = placed.withColumns({"c": F.floor("gx"), "r": F.floor("gy")})
+    u, v, total = F.col("gy") - F.col("r"), F.col("gx") - F.col("c"), F.lit(0.0)
+    for i in (0, 1):
+        for j in (0, 1):
+            row, col = F.col("r") + i, F.col("c") + j
+            held = row.between(0, size[0] - 1) & col.between(0, size[1] - 1)
+            sea = inside(origin[0] + (col + 0.5) * cell, origin[1] - (row + 0.5) * cell, rings)
+            total = total + F.when(held & sea, F.abs(1 - i - u) * F.abs(1 - j - v)).otherwise(0.0)
+    return placed.select("row", "col", (~(total > threshold)).alias("land"))
+
+
 def clip_polygon(ring: list[tuple[float, float]], box: tuple[float, float, float, float]) -> list[tuple[float, float]]:
     """Sutherland-Hodgman clip of a ring to (x low, y low, x high, y high)."""
     x0, y0, x1, y1 = box
@@ -134,6 +154,22 @@ def clip_polygon(ring: list[tuple[float, float]], box: tuple[float, float, float
     return ring
 
 
+def linear_moments(frame: DataFrame, x: str, y: str, targets: list[str]) -> DataFrame:
+    """The sums of the first-order polynomial's normal equations, in one pass."""
+    terms = {"1": F.lit(1.0), "x": F.col(x), "y": F.col(y)}
+    names = list(terms)
+    sums = [F.sum(terms[a] * terms[b]).alias(f"m_{a}_{b}") for i, a in enumerate(names) for b in names[i:]]
+    return frame.agg(*sums, *[F.sum(terms[a] * F.col(t)).alias(f"r_{a}_{t}") for t in targets for a in names])
+
+
+def solve_moments(moments: DataFrame, target: str) -> list[float]:
+    """Coefficients from the one row of sums."""
+    row = moments.first().asDict()
+    names = [c.removeprefix("r_").removesuffix(f"_{target}") for c in row if c.startswith("r_") and c.endswith(f"_{target}")]
+    m = np.array([[row.get(f"m_{a}_{b}", row.get(f"m_{b}_{a}")) for b in names] for a in names], dtype=float)
+    return np.linalg.solve(m, np.array([row[f"r_{a}_{target}"] for a in names], dtype=float)).tolist()
+
+
 def polynomial_moments(frame: DataFrame, x: str, y: str, targets: list[str]) -> DataFrame:
     """The sums of the second-order polynomial's normal equations, in one pass."""
     terms = {"1": F.lit(1.0), "x": F.col(x), "y": F.col(y), "xy": F.col(x) * F.col(y), "xx": F.col(x) * F.col(x), "yy": F.col(y) * F.col(y)}

@@ -74,7 +74,7 @@ def upsample_nearest(spark, sf_dir):
     return raster.resize_nearest(fx.ras(spark, sf_dir).where("row < 48"), ["v"], (48, fx.WIDTH), (96, 128), centred=False)
 
 
-@query(f"""WITH {fx.RAS}, g AS (SELECT r.i::INTEGER AS row, c.i::INTEGER AS col, r.i * (n - 1)::DOUBLE / 39 AS y, c.i * 63::DOUBLE / 39 AS x
+@query(f"""WITH {fx.RAS}, g AS (SELECT r.i::INTEGER AS row, c.i::INTEGER AS col, r.i * (n - 1)::DOUBLE / 40 AS y, c.i * 63::DOUBLE / 40 AS x
         FROM range(40) r(i), range(40) c(i), (SELECT max(row) + 1 AS n FROM ras)),
     t AS (SELECT g.row, g.col, v, abs(1 - di - (y - floor(y))) * abs(1 - dj - (x - floor(x))) AS w
         FROM g, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(di, dj), ras WHERE ras.row = floor(y)::BIGINT + di AND ras.col = floor(x)::BIGINT + dj)
@@ -88,6 +88,19 @@ def mirror_pad(spark, sf_dir):
     return raster.mirror_padded(fx.ras(spark, sf_dir), "col", fx.WIDTH, 5).select("row", "col", "v")
 
 
+@query(f"""WITH {fx.RAS}, e AS (SELECT row, unnest(range(-3, 67)) AS col FROM (SELECT DISTINCT row FROM ras))
+    SELECT e.row, e.col::INTEGER AS col, a.v AS last, CASE WHEN e.col BETWEEN 0 AND 63 THEN a.v ELSE 0 END AS zero, b.v AS cycle
+    FROM e JOIN ras a ON a.row = e.row AND a.col = least(63, greatest(0, e.col)) JOIN ras b ON b.row = e.row AND b.col = (e.col + 64) % 64""")
+def pad_modes(spark, sf_dir):
+    pad = lambda mode: raster.padded(fx.ras(spark, sf_dir), "col", fx.WIDTH, 3, mode, ["v"], ["row"]).select("row", "col", F.col("v").alias(mode))
+    return pad("last").join(pad("zero"), ["row", "col"]).join(pad("cycle"), ["row", "col"])
+
+
+@query(f"WITH {fx.RAS} SELECT row - 10 AS row, (col - 4)::INTEGER AS col, v FROM ras WHERE row BETWEEN 10 AND 29 AND col BETWEEN 4 AND 43")
+def crop_area(spark, sf_dir):
+    return raster.cropped(fx.ras(spark, sf_dir), 10, 4, 20, 40)
+
+
 _H = "(SELECT max(row) + 1 FROM ras)"
 _G, _D = raster.gaussian_taps(1.0), raster.derivative_taps(1.0)
 
@@ -125,6 +138,29 @@ def gradient_l2(spark, sf_dir):
     return out.select("row", "col", F.round(raster.l2norm([F.col("v_dx")], [F.col("v_dy")]), 6).alias("g"))
 
 
+def _separable_sql(taps) -> str:
+    d, g = _taps_sql("d", taps[0]), _taps_sql("g", taps[1])
+    return f"WITH {fx.RAS}, {g}, {d}, {_gradient_sql('ras', 'v', 64, _H)} SELECT row, col, round(a.v, 6) AS v_dx, round(b.v, 6) AS v_dy FROM v_dx a JOIN v_dy b USING (row, col)"
+
+
+@query(_separable_sql(raster.SOBEL))
+def gradient_sobel(spark, sf_dir):
+    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.SOBEL, _height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
+
+
+@query(_separable_sql(raster.PREWITT))
+def gradient_prewitt(spark, sf_dir):
+    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.PREWITT, _height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
+
+
+@query(f"""WITH {fx.RAS}, s AS (SELECT a.row, a.col, avg(b.v * b.v) - avg(b.v) * avg(b.v) AS v FROM ras a JOIN ras b ON b.row BETWEEN a.row AND a.row + 6 AND b.col BETWEEN a.col AND a.col + 6
+        WHERE a.row < 54 AND b.row < 60 AND a.col < 58 GROUP BY a.row, a.col),
+    e AS (SELECT min(v) AS low, (max(v) - min(v)) / 256 AS step FROM s), h AS (SELECT least(255, floor((v - low) / step)::INTEGER) AS bin, count(*) AS n, max(low) AS low, max(step) AS step FROM s, e GROUP BY 1)
+    SELECT round(low + (bin + 0.5::DOUBLE) * step, 6) AS noise FROM h ORDER BY n DESC, bin LIMIT 1""")
+def noise_variance(spark, sf_dir):
+    return raster.noise_variance(fx.ras(spark, sf_dir).where("row < 60"), ["v"], 60, fx.WIDTH).select(F.round("noise", 6).alias("noise"))
+
+
 @query(f"WITH {fx.RAS} SELECT least(63, greatest(0, floor((v + 0.6::DOUBLE) / 1.2::DOUBLE * 64)::INTEGER)) AS bin, count(*) AS n FROM ras GROUP BY 1")
 def intensity_histogram(spark, sf_dir):
     return stats.histogram(fx.ras(spark, sf_dir), [], F.col("v"), 64, -0.6, 0.6)

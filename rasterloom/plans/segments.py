@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.functions import energy
-from rasterloom.operators import cluster, regions, texture
+from rasterloom.operators import cluster, graphs, regions, texture
 from rasterloom.plans import fixtures as fx
 from rasterloom.plans.registry import Registry
 
@@ -305,6 +305,40 @@ def em_step(spark, sf_dir):
     return _round(cluster.em_step(pixels.drop("k"), gmm), ["k"], "prior", "mu1", "mu2")
 
 
+@query(f"""WITH {_PGMM}, sc1 AS (SELECT row, col, pg.k AS c, ln(cov_det) - ln(prior) + 0.5::DOUBLE * (i11 * pow(hh - mu1, 2) + 2 * i12 * (hh - mu1) * (hv - mu2) + i22 * pow(hv - mu2, 2)) AS u FROM px, pg)
+    SELECT row, col, c AS class FROM (SELECT *, row_number() OVER (PARTITION BY row, col ORDER BY u, c) AS r FROM sc1) WHERE r = 1""")
+def pixel_classes(spark, sf_dir):
+    pixels, gmm = _pixel_gmm(spark, sf_dir)
+    return cluster.assign_pixels(pixels.drop("k"), gmm)
+
+
+@query(f"""WITH {_PGMM}, {fx.NEIGHBOURS}, nb AS (SELECT p.row, p.col, q.k AS c, count(*) AS same FROM px p CROSS JOIN off JOIN px q ON q.row = p.row + dr AND q.col = p.col + dc GROUP BY p.row, p.col, q.k),
+    sc1 AS (SELECT px.row, px.col, pg.k AS c, round(ln(cov_det) + 0.5::DOUBLE * (i11 * pow(hh - mu1, 2) + 2 * i12 * (hh - mu1) * (hv - mu2) + i22 * pow(hv - mu2, 2)) - 0.4::DOUBLE * coalesce(same, 0), 9) AS u
+        FROM px CROSS JOIN pg LEFT JOIN nb ON nb.row = px.row AND nb.col = px.col AND nb.c = pg.k WHERE px.row % 2 * 2 + px.col % 2 = 1),
+    bs AS (SELECT row, col, c FROM (SELECT *, row_number() OVER (PARTITION BY row, col ORDER BY u, c) AS r FROM sc1) WHERE r = 1)
+    SELECT px.row, px.col, coalesce(c, k) AS k FROM px LEFT JOIN bs ON bs.row = px.row AND bs.col = px.col""")
+def mrf_sweep(spark, sf_dir):
+    pixels, gmm = _pixel_gmm(spark, sf_dir)
+    return cluster.mrf_sweep(pixels, gmm, 0.4, 1).select("row", "col", "k")
+
+
+@query()
+def pixel_em(spark, sf_dir):
+    """Class parameters after up to five steps."""
+    pixels, gmm = _pixel_gmm(spark, sf_dir)
+    return _round(cluster.em(pixels.drop("k"), gmm, 5), ["k"], "prior", "mu1", "mu2", places=4)
+
+
+@query()
+def region_kmeans(spark, sf_dir):
+    return _round(cluster.kmeans(_stats(spark, sf_dir).select("m1", "m2", "n"), 3), ["k"], "c1", "c2")
+
+
+@query(f"WITH {fx.REGIONS.replace('FROM two)', f'FROM two WHERE row < {_ROWS})')}, {_SITES}, both_ways AS (SELECT a, b FROM adj UNION ALL SELECT b, a FROM adj) SELECT a AS node, count(*) AS degree FROM both_ways GROUP BY a")
+def region_degrees(spark, sf_dir):
+    return graphs.degrees(regions.adjacency(_sites(spark, sf_dir)))
+
+
 @query(f"WITH {_PGMM} SELECT k, (SELECT count(*) FROM px WHERE px.k = pm.k) AS n, round(mu1, 6) AS mu1, round(mu2, 6) AS mu2, round(v11, 6) AS v11, round(v12, 6) AS v12, round(v22, 6) AS v22 FROM pm")
 def segment_stats(spark, sf_dir):
     pixels, _ = _pixel_gmm(spark, sf_dir)

@@ -62,6 +62,23 @@ def read_products(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_second_products(spark: SparkSession, root: str, block: int = 1) -> DataFrame:
+    """One row a product XML of the second kind: files by pole, raster size, ids, pass direction, control points divided by the block size, and their extent."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "product.xml").load(root)
+    doc = F.col("doc")
+    raw = files.select(basename(F.regexp_replace("path", r"/[^/]*$", "")).alias("name"), F.regexp_replace(F.decode("content", "UTF-8"), r'\sxmlns="[^"]*"', "").alias("doc"))
+    numbers = lambda tag: F.transform(F.xpath(doc, F.lit(f"//imageTiePoint//{tag}/text()")), lambda x: x.cast("double"))
+    points = F.arrays_zip(F.transform(numbers("line"), lambda x: x / block).alias("line"), F.transform(numbers("pixel"), lambda x: x / block).alias("pixel"), numbers("latitude").alias("lat"), numbers("longitude").alias("lon"))
+    names = F.arrays_zip(F.xpath(doc, F.lit("//fullResolutionImageData/@pole")).alias("pole"), F.xpath(doc, F.lit("//fullResolutionImageData/text()")).alias("file"))
+    out = raw.select(
+        "name", _text(doc, "productId").alias("product_id"), _text(doc, "productType").alias("product_type"), _text(doc, "passDirection").alias("pass_direction"),
+        acquisition_time(_text(doc, "rawDataStartTime")).alias("started"), _text(doc, "numberOfLines").cast("int").alias("n_rows"), _text(doc, "numberOfSamplesPerLine").cast("int").alias("n_cols"),
+        names.alias("files"), points.alias("points"),
+    )
+    side = lambda f, c: f(F.transform("points", lambda p: p[c]))
+    return out.select("*", side(F.array_min, "lat").alias("lat_min"), side(F.array_max, "lat").alias("lat_max"), side(F.array_min, "lon").alias("lon_min"), side(F.array_max, "lon").alias("lon_max"))
+
+
 def read_lut(spark: SparkSession, path: str) -> DataFrame:
     """index, gain, offset of a calibration table (lut/offset, lut/gains)."""
     xml = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("xml"))

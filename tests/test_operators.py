@@ -1,16 +1,17 @@
 """Golden cases, invariants and readers."""
 
 import math
+import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.functions import energy, names, radiometry
+from rasterloom.functions import energy, inference, names, radiometry
 from rasterloom.kernels import filters, segmentation
-from rasterloom.operators import graphs, labels, raster, regions, spatial, stats, texture
+from rasterloom.operators import cluster, graphs, labels, raster, regions, spatial, stats, texture
 from rasterloom.plans import pipeline
-from rasterloom.sources import products, sinks
+from rasterloom.sources import products, rasters, sinks
 from rasterloom.streaming import statistics as streaming
 
 
@@ -265,3 +266,93 @@ def test_streaming_statistics(spark, tmp_path):
     run.stop()
     rows = {r["k"]: r for r in spark.table("running").collect()}
     assert rows["a"]["mean"] == 2 and rows["a"]["n"] == 2 and rows["b"]["n"] == 0
+
+
+def test_tiff_and_pixels(spark, tmp_path):
+    image = np.arange(24, dtype=np.float32).reshape(2, 3, 4)
+    image[0, 0, 0] = -999
+    assert np.array_equal(rasters.decode_tiff(rasters.encode_tiff(image)), image)
+    for name, body in (("a", rasters.encode_tiff(image)), ("b", b"nonsense"), ("c", rasters.encode_tiff(image[:1]))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.tif").write_bytes(body)
+    (tmp_path / "a" / "x.img").write_bytes(rasters.encode_tiff(image + 1))
+    rows = rasters.read_pixels(spark, str(tmp_path), nodata=-998).collect()
+    assert {r["product"] for r in rows if r["error"]} == {"b", "c"}
+    good = {(r["row"], r["col"]): (r["hh"], r["hv"]) for r in rows if not r["error"]}
+    assert len(good) == 12 and good[0, 0] == (None, 13) and good[2, 3] == (12, 24)
+
+
+def test_shapefile(spark, tmp_path):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 0.0)]
+    body = struct.pack("<i4dii", 5, 0, 0, 4, 3, 1, len(ring)) + struct.pack("<i", 0) + b"".join(struct.pack("<2d", *p) for p in ring)
+    data = struct.pack(">i", 9994) + b"\0" * 96 + struct.pack(">ii", 1, len(body) // 2) + body
+    (tmp_path / "o.shp").write_bytes(data)
+    rows = rasters.read_polygons(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [(r["x1"], r["y1"], r["x2"], r["y2"]) for r in rows] == [(0, 0, 4, 0), (4, 0, 4, 3), (4, 3, 0, 0)]
+
+
+SECOND = """<product xmlns="u"><productId>R2</productId><imageAttributes><fullResolutionImageData pole="HH">a.tif</fullResolutionImageData><fullResolutionImageData pole="HV">b.tif</fullResolutionImageData>
+<rasterAttributes><numberOfSamplesPerLine>8</numberOfSamplesPerLine><numberOfLines>6</numberOfLines></rasterAttributes><geographicInformation><geolocationGrid>
+<imageTiePoint><imageCoordinate><line>0</line><pixel>0</pixel></imageCoordinate><geodeticCoordinate><latitude>70</latitude><longitude>-60</longitude></geodeticCoordinate></imageTiePoint>
+<imageTiePoint><imageCoordinate><line>4</line><pixel>6</pixel></imageCoordinate><geodeticCoordinate><latitude>71</latitude><longitude>-61</longitude></geodeticCoordinate></imageTiePoint>
+</geolocationGrid></geographicInformation></imageAttributes><sourceAttributes><rawDataStartTime>2010-01-02T03:04:05Z</rawDataStartTime><passDirection>Descending</passDirection></sourceAttributes></product>"""
+
+
+def test_second_products_and_lut(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "product.xml").write_text(SECOND)
+    (tmp_path / "lut.xml").write_text("<lut><offset>1.5</offset><gains>2.0 3.0\n4.5</gains></lut>")
+    row = products.read_second_products(spark, str(tmp_path / "p"), 2).first()
+    assert (row["product_id"], row["n_rows"], row["n_cols"], row["pass_direction"]) == ("R2", 6, 8, "Descending")
+    assert [(f["pole"], f["file"]) for f in row["files"]] == [("HH", "a.tif"), ("HV", "b.tif")]
+    assert row["points"][1]["line"] == 2 and row["points"][1]["pixel"] == 3 and (row["lat_min"], row["lon_max"]) == (70, -60)
+    assert [(r["index"], r["gain"], r["offset"]) for r in products.read_lut(spark, str(tmp_path / "lut.xml")).collect()] == [(0, 2.0, 1.5), (1, 3.0, 1.5), (2, 4.5, 1.5)]
+
+
+def test_sensor_land_mask(spark):
+    grid = spark.createDataFrame([(r, c, 70.0 + r * 0.05, -45.0 + c * 0.05) for r in range(6) for c in range(6)], "row int, col int, lat double, lon double")
+    x, y = spatial.polar_forward(F.col("lat"), F.col("lon"))
+    places = {(r["row"], r["col"]): (r["x"], r["y"]) for r in grid.select("row", "col", x.alias("x"), y.alias("y")).collect()}
+    left, top = min(p[0] for p in places.values()) - 2000, max(p[1] for p in places.values()) + 2000
+    mid = places[3, 3][0] - 950
+    ring = [(left, top), (mid, top), (mid, top - 100_000), (left, top - 100_000)]
+    size = (300, 100)
+    out = {(r["row"], r["col"]): r["land"] for r in spatial.sensor_land_mask(grid, F.col("lat"), F.col("lon"), [ring], 200.0, (left, top), size).collect()}
+    assert all(out[k] == (p[0] > mid) for k, p in places.items() if abs(p[0] - mid) > 300)
+    assert all(r["land"] for r in spatial.sensor_land_mask(grid, F.col("lat"), F.col("lon"), [], 200.0, (left, top), size).collect())
+
+
+def test_polynomial_fit(spark):
+    rows = [(float(x), float(y), 1 + 2 * x - y + 0.5 * x * y + 0.25 * x * x - 0.125 * y * y, 3.0 - x + 4 * y) for x in range(5) for y in range(5)]
+    frame = spark.createDataFrame(rows, "x double, y double, z double, w double")
+    assert spatial.solve_moments(spatial.polynomial_moments(frame, "x", "y", ["z"]), "z") == pytest.approx([1, 2, -1, 0.5, 0.25, -0.125])
+    assert spatial.solve_moments(spatial.linear_moments(frame, "x", "y", ["w"]), "w") == pytest.approx([3, -1, 4])
+
+
+def test_inference(spark):
+    assert inference.input_divisor(None) == 32 and inference.input_divisor([1, 2, 2]) == 4 and inference.input_divisor([1, 1, 1, 1], [True, True, False]) == 4
+    tiles = spark.createDataFrame([(1, 3, 5, [float("nan")] + [-10.0] * 14, [-30.0] * 15)], "id int, height int, width int, hh array<double>, hv array<double>")
+    out = inference.predict_tiles(tiles, ["id"], lambda: lambda image: np.stack([np.zeros(image.shape[1:]), image[0]]), 4).first()
+    assert out["classes"] == [0] + [1] * 14
+
+
+def test_mrf_sweeps_lower_the_energy(spark):
+    rng = np.random.default_rng(4)
+    truth = (np.arange(16)[None, :] > 7).astype(int) * np.ones((16, 1), int)
+    hh, hv = truth + rng.normal(scale=0.6, size=(16, 16)), truth + rng.normal(scale=0.6, size=(16, 16))
+    pixels = spark.createDataFrame([(r, c, float(hh[r, c]), float(hv[r, c]), int(hh[r, c] > 0.5)) for r in range(16) for c in range(16)], "row int, col int, hh double, hv double, k int")
+    gmm = cluster.gmm_of_pixels(pixels)
+    out = pixels
+    for parity in range(4):
+        out = cluster.mrf_sweep(out, gmm, 1.0, parity).select("row", "col", "hh", "hv", "k")
+    errors = lambda frame: sum(r["k"] != truth[r["row"], r["col"]] for r in frame.collect())
+    assert errors(out) < errors(pixels) / 2
+
+
+def test_watermark_plan(spark, tmp_path):
+    spark.sql("select timestamp'2024-01-01 00:10:00' as ts, 'a' as k").write.parquet(str(tmp_path / "ev"))
+    stream = spark.readStream.schema("ts timestamp, k string").parquet(str(tmp_path / "ev"))
+    run = streaming.windowed_counts(stream, "ts", "k").writeStream.format("memory").queryName("windows").outputMode("update").start()
+    run.processAllAvailable()
+    run.stop()
+    assert [r["n"] for r in spark.table("windows").collect()] == [1]
