@@ -39,6 +39,7 @@ THRESHOLD = 0.8
 RECALL = 0.9995
 HASHES = 128
 BLOCK_SHINGLES = 400_000  # of one block: 3.2 MB of hashes
+BLOCK_NODES = 2_048  # in one block: a pair of blocks gives a matrix of 32 MB
 
 
 @lru_cache(maxsize=8)
@@ -191,8 +192,9 @@ def _found(docs: DataFrame, threshold: float, size: int, recall: float) -> DataF
     candidates = connected_components(stars)
     members = staged(candidates.join(classes.select("node", "rep", "copies", "n"), "node"), "members")
 
-    # Blocks: as many as a component's shingles need; a node goes to the blocks by a hash.
-    blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    # Blocks: as many as a component's shingles and nodes need; a node goes to the blocks by a hash.
+    count = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES))
+    blocks = members.groupBy("component").agg(count.cast("int").alias("blocks"))
     wanted = docs.sparkSession.sparkContext.broadcast(keyfilter.build(members, "rep"))  # 32 MB at most
     grams = texts.where("doc_id is not null and text is not null").mapInArrow(_sets(size, wanted), "node long, grams array<long>")
     grams = grams.join(members, "node").dropDuplicates(["node"])

@@ -60,9 +60,10 @@ def groups_of(links):
     return name
 
 
-@pytest.mark.parametrize("block", [400_000, 300])
-def test_ngram_join_equals_brute_force(documents, monkeypatch, block):
-    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)  # the second value makes many blocks
+@pytest.mark.parametrize(("shingles", "nodes"), [(400_000, 2048), (300, 2048), (400_000, 2)])
+def test_ngram_join_equals_brute_force(documents, monkeypatch, shingles, nodes):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)  # small values make many blocks
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", nodes)
     rows = texts()
     sets, links = brute_links(rows)
     found = {r["doc_id"]: r for r in ngram_join.near_duplicates(documents(rows)).collect()}
