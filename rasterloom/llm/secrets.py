@@ -108,11 +108,13 @@ def score(text: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a run of key characters."""
     values, k = F.lit(table), len(CLASSES)
 
-    def ratio(classes: Column) -> Column:
-        code = lambda i: F.instr(F.lit(CLASSES), F.substring(classes, i, F.lit(1))) - 1
-        return F.aggregate(F.sequence(F.lit(1), F.length(classes) - 1), F.lit(0.0), lambda acc, i: acc + F.get(values, code(i) * k + code(i + 1)))
+    def ratio(codes: Column) -> Column:
+        pair = lambda i: F.get(codes, i - 1) * k + F.get(codes, i)
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes) - 1), F.lit(0.0), lambda acc, i: acc + F.get(values, pair(i)))
 
-    return _bind(_classes(text), ratio)
+    # One character a code, bound once: the time is linear in the run's length.
+    codes = F.transform(F.split(_classes(text), ""), lambda c: F.instr(F.lit(CLASSES), c) - 1)
+    return F.when(F.length(text) > 1, _bind(codes, ratio)).otherwise(0.0)
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"

@@ -151,8 +151,13 @@ def test_score_equals_plain_sum(spark):
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(secrets.score(secrets.F.col("t"), table)).collect()]
     for t, g in zip(texts, got, strict=True):
         c = [secrets.CLASSES.index(secrets._class_of(x)) for x in t]
-        if len(t) > 1:
-            assert g == pytest.approx(sum(table[a * len(secrets.CLASSES) + b] for a, b in zip(c, c[1:], strict=False)))
+        assert g == pytest.approx(sum(table[a * len(secrets.CLASSES) + b] for a, b in zip(c, c[1:], strict=False)))
+
+
+def test_long_run_of_key_characters(spark, documents):
+    run = "Ab1" * 100_000
+    row = secrets.find(documents([(1, f"x {run} y")]), [1.0] * len(secrets.CLASSES) ** 2).first()
+    assert row["spans"] == f"markov:2:{2 + len(run)}"
 
 
 def test_redaction(spark, documents):
