@@ -163,13 +163,19 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     model = Model(languages, np.zeros((BUCKETS, k), np.float32), np.zeros((k, k), np.float32))
     if k < 2:
         return model
-    raw, offsets = textscan.utf8(pa.array(texts, pa.large_string()))
-    scan = textscan.scan(raw, offsets)
-    start, stop, lexicon, index = _distinct_words(scan)
-    bucket, bounds = word_features(raw, start, stop, lexicon)
-    truth = np.repeat(np.array([languages.index(x) for x in labels]), np.diff(scan.first))
+    held = []  # slice by slice, only compact features are kept
+    for _, scan in textscan.slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), "text"):
+        start, stop, lexicon, index = _distinct_words(scan)
+        bucket, bounds = word_features(scan.raw, start, stop, lexicon)
+        held.append((lexicon, bucket.astype(np.int32), np.diff(bounds), lexicon[index], np.diff(scan.first)))
+    lexicon, flat, size, sequence, count = (np.concatenate([h[i] for h in held]) for i in range(5))
+    words, at = np.unique(lexicon, return_index=True)
+    bounds = np.append(0, np.cumsum(size[at]))
+    bucket = flat[np.arange(bounds[-1]) + np.repeat((np.cumsum(size) - size)[at] - bounds[:-1], size[at])].astype(np.int64)
+    index, ends = np.searchsorted(words, sequence), np.append(0, np.cumsum(count))
+    truth = np.repeat(np.array([languages.index(x) for x in labels]), count)
     rng = np.random.default_rng(seed)
-    chains = [np.arange(lo, min(lo + CHAIN, hi)) for lo, hi in zip(scan.first[:-1], scan.first[1:], strict=True) for lo in range(lo, hi, CHAIN)]
+    chains = [np.arange(lo, min(lo + CHAIN, hi)) for lo, hi in zip(ends[:-1], ends[1:], strict=True) for lo in range(lo, hi, CHAIN)]
     rng.shuffle(chains)
     chains = chains[:MAX_CHAINS]
     for i in range(0, len(chains) - 1, 8):  # code-switched chains: two halves of others
