@@ -54,3 +54,20 @@ def least_eigen2(xx: Column, xy: Column, yy: Column) -> Column:
 def scatter_trace(inverse: tuple[Column, Column, Column], spread: tuple[Column, Column, Column]) -> Column:
     """tr(inverse x spread) of symmetric 2x2 matrices given as (xx, xy, yy)."""
     return inverse[0] * spread[0] + 2 * inverse[1] * spread[1] + inverse[2] * spread[2]
+
+
+def pixel_alpha(iteration: Column, alpha1: float, alpha2: float, features: int) -> Column:
+    return alpha1 * F.pow(F.lit(alpha2), iteration) + 1 / features
+
+
+def temperature(iteration: Column, start: float, decay: float = 0.98) -> Column:
+    return start * F.pow(F.lit(decay), iteration)
+
+
+def binary_energy(class_a: Column, class_b: Column, penalty: Column) -> Column:
+    return F.when(class_a == class_b, F.lit(0.0)).otherwise(penalty)
+
+
+def mask_of(value: Column, low: Column, high: Column) -> Column:
+    """Valid pixels of a mask image: at or above its middle; a constant image is valid everywhere."""
+    return (low == high) | (value >= (low + high) / 2)

@@ -35,8 +35,12 @@ def scale_of(p: Column) -> Column:
     )
 
 
-def scale_percentiles(x: Column) -> Column:
-    return F.percentile(x, F.array(*[F.lit(p) for p in (0.0, 0.01, 0.5, 0.99, 1.0)]))
+def scale_percentiles(x: Column, accuracy: int | None = None) -> Column:
+    """Percentiles 0, 1, 50, 99 and 100: exact (its state grows with the distinct values of a group), or a sketch of the given accuracy, whose state is bounded."""
+    places = (0.0, 0.01, 0.5, 0.99, 1.0)
+    if accuracy:
+        return F.percentile_approx(x, list(places), accuracy)
+    return F.percentile(x, F.array(*[F.lit(p) for p in places]))
 
 
 def standardize(x: Column, mean: float, std: float) -> Column:

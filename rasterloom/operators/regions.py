@@ -136,16 +136,18 @@ def merge_lut(old: DataFrame, new: DataFrame) -> DataFrame:
     return pixels.where("old >= 0 and new >= 0").groupBy("old").agg(F.max_by("new", F.struct("row", "col")).alias("new"))
 
 
-def relabel(pixels: DataFrame, label: str = "region") -> DataFrame:
-    """Consecutive labels 0, 1, ... in label order; negative ones stay.  Ranks are taken over distinct labels only."""
-    names = pixels.where(F.col(label) >= 0).select(label).distinct()
-    names = names.withColumn("new", F.row_number().over(W.orderBy(label)) - 1)
-    return pixels.join(names, label, "left").withColumn("new", F.coalesce("new", F.col(label)))
+def relabel(pixels: DataFrame, label: str = "region", image: list[str] | None = None) -> DataFrame:
+    """Consecutive labels 0, 1, ... in label order within an image; negative ones stay.  Ranks are taken over distinct labels only."""
+    image = image or []
+    names = pixels.where(F.col(label) >= 0).select(*image, label).distinct()
+    names = names.withColumn("new", F.row_number().over(W.partitionBy(*image).orderBy(label)) - 1)
+    return pixels.join(names, [*image, label], "left").withColumn("new", F.coalesce("new", F.col(label)))
 
 
-def sort_by_mean(regions: DataFrame) -> DataFrame:
-    """region, place: regions in order of their first mean."""
-    return regions.select("region", (F.row_number().over(W.orderBy("m1", "region")) - 1).alias("place"))
+def sort_by_mean(regions: DataFrame, image: list[str] | None = None) -> DataFrame:
+    """region, place: an image's regions in order of their first mean."""
+    image = image or []
+    return regions.select(*image, "region", (F.row_number().over(W.partitionBy(*image).orderBy("m1", "region")) - 1).alias("place"))
 
 
 def components(pixels: DataFrame, label: str, connect4: bool = False) -> DataFrame:
@@ -175,3 +177,68 @@ def fill_boundaries(pixels: DataFrame, means: DataFrame, label: str = "k") -> Da
     return pixels.join(best, ["row", "col"], "left").withColumn("filled", F.when(F.col(label) >= 0, F.col(label)).otherwise(F.coalesce("filled", F.col(label))))
 
 
+def boundary_flags(pixels: DataFrame, label: str = "k") -> DataFrame:
+    """For each pixel: unlike (a neighbour of another label), candidates (the classes of its neighbours, smallest first),
+    two_regions (two or more labels around it) and inner (the same over the four nearest)."""
+    near = neighbours(pixels, label)
+    straight = F.col("nbr").isin(0, 2, 4, 6)
+    valid = F.col("other") >= 0
+    found = near.groupBy("row", "col").agg(
+        F.max(F.col(label) != F.col("other")).alias("unlike"),
+        F.array_sort(F.collect_set(F.when(valid, F.col("other")))).alias("candidates"),
+        (F.count_distinct(F.when(valid, F.col("other"))) >= 2).alias("two_regions"),
+        (F.count_distinct(F.when(valid & straight, F.col("other"))) >= 2).alias("inner"),
+    )
+    return pixels.select("row", "col").join(found, ["row", "col"], "left")
+
+
+def class_map_ratio(pixels: DataFrame, label: str = "k") -> DataFrame:
+    """Boundary pixels (label < 0) that touch two or more classes, over all pixels, one row."""
+    flags = boundary_flags(pixels, label).join(pixels.select("row", "col", label), ["row", "col"])
+    return flags.agg((F.count_if((F.col(label) < 0) & F.col("two_regions")) / F.count("*")).alias("ratio"))
+
+
+def label_counts(pixels: DataFrame, label: str) -> DataFrame:
+    """max_label (-1 without any) and n_positive (distinct labels above 0), one row."""
+    return pixels.agg(F.greatest(F.coalesce(F.max(label), F.lit(-1)), F.lit(-1)).alias("max_label"), F.count_distinct(F.when(F.col(label) > 0, F.col(label))).alias("n_positive"))
+
+
+def shape_matches(labels: DataFrame, scenes: DataFrame) -> DataFrame:
+    """scene, matches: whether the label image has the scene's n_rows and n_cols."""
+    found = labels.groupBy("scene").agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"))
+    return scenes.join(found, "scene", "left").select("scene", F.coalesce((F.col("h") == F.col("n_rows")) & (F.col("w") == F.col("n_cols")), F.lit(False)).alias("matches"))
+
+
+def difference(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
+    """n pixels that differ or exist in one image only, one row; 0 for equal images."""
+    both = a.select("row", "col", F.col(value).alias("x"), F.lit(1).alias("in_a")).join(b.select("row", "col", F.col(value).alias("y"), F.lit(1).alias("in_b")), ["row", "col"], "full")
+    return both.agg(F.count_if(F.col("in_a").isNull() | F.col("in_b").isNull() | ~F.col("x").eqNullSafe(F.col("y"))).alias("n"))
+
+
+def skip_small(edges: DataFrame, regions: DataFrame, least: float = 0.005) -> DataFrame:
+    """edges with refresh: false where the neighbour b is so small against a that a merge leaves the weight as it is."""
+    ends = with_ends(edges, regions, ["n"])
+    return ends.withColumn("refresh", F.col("n_b") / F.col("n_a") > least).drop("n_a", "n_b")
+
+
+def same_class_regions(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """region, component: regions connected through boundaries between equal classes; edges a, b, classes region, class."""
+    active = with_ends(edges, classes, ["class"]).where("class_a = class_b").select("a", "b")
+    found = connected_components(active)
+    named = classes.select("region").join(found.withColumnRenamed("node", "region"), "region", "left")
+    return named.select("region", F.coalesce("component", F.col("region").cast("long")).alias("component"))
+
+
+def cliques3(edges: DataFrame) -> DataFrame:
+    """a, b, c: triples of mutually adjacent regions, a < b < c, by two equality joins."""
+    e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = e.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    third = e.select("a", F.col("b").alias("c"))
+    return e.join(second, "b").join(third, ["a", "c"], "left_semi").select("a", "b", "c")
+
+
+def clique_graph(cliques: DataFrame) -> DataFrame:
+    """x, y, shared: pairs of cliques that share regions, and how many; cliques a, b, c with id."""
+    members = cliques.select("id", F.explode(F.array("a", "b", "c")).alias("region"))
+    other = members.select(F.col("id").alias("y"), "region")
+    return members.withColumnRenamed("id", "x").join(other, "region").where("x < y").groupBy("x", "y").agg(F.count("*").alias("shared"))

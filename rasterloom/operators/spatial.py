@@ -34,6 +34,23 @@ def inside(x: Column, y: Column, rings: list[list[tuple[float, float]]]) -> Colu
     return out
 
 
+def touched(row: Column, col: Column, rings: list[list[tuple[float, float]]]) -> Column:
+    """Whether an edge of the rings meets the cell [col, col + 1) x [row, row + 1): the part of the edge inside the cell is not empty."""
+    out = F.lit(False)
+    for _, _, x1, y1, x2, y2 in rings_to_edges(rings):
+        low, high = F.lit(0.0), F.lit(1.0)
+        beyond = F.lit(False)
+        for start, end, cell in ((x1, x2, col), (y1, y2, row)):
+            d = end - start
+            if d == 0:
+                beyond = beyond | (F.lit(start) < cell) | (F.lit(start) > cell + 1)
+            else:
+                a, b = (cell - start) / d, (cell + 1 - start) / d
+                low, high = F.greatest(low, F.least(a, b)), F.least(high, F.greatest(a, b))
+        out = out | (~beyond & (low <= high))
+    return out
+
+
 def inside_table(points: DataFrame, edges: DataFrame, cell: float = 64.0) -> DataFrame:
     """points (id, x, y) with inside, for any number of polygons in an edge table (poly, x1, y1, x2, y2).
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +41,21 @@ def measures(found: DataFrame, window: list[str]) -> DataFrame:
         *window, "asm", "ent", (F.col("con") / n).alias("con"), (F.col("dis") / n).alias("dis"), (F.col("hom") / n).alias("hom"), (F.col("inv") / n).alias("inv"),
         mu.alias("mu"), F.sqrt(var).alias("std"), cor.alias("cor"),
     )
+
+
+def bounds(levels: int, pairs: int) -> dict[str, tuple[float, float]]:
+    """Theoretical range of each measure for a window of `pairs` pairs: used to bring it to 0..1.
+
+    The range of std is that of the variance.
+    """
+    top = levels - 1
+    cells = min(2 * pairs, levels * levels)
+    return {
+        "asm": (1 / cells, 1.0), "ent": (0.0, math.log(cells)), "con": (0.0, top * top), "dis": (0.0, top), "hom": (1 / (1 + top * top), 1.0), "inv": (1 / (1 + top), 1.0),
+        "mu": (0.0, top), "std": (0.0, top * top / 4), "cor": (-1.0, 1.0),
+    }
+
+
+def normalised(found: DataFrame, window: list[str], levels: int, pairs: int) -> DataFrame:
+    """Measures brought to 0..1 by their theoretical bounds."""
+    return found.select(*window, *[((F.col(c) - lo) / (hi - lo)).alias(c) for c, (lo, hi) in bounds(levels, pairs).items()])

@@ -258,6 +258,19 @@ def land_mask_pip(spark, sf_dir):
     return pixels.select("row", "col", spatial.inside(F.col("col") + 0.5, F.col("row") + 0.5, RINGS).alias("ocean"))
 
 
+@query(f"""WITH {_PIP}, ax AS (SELECT row, col, CASE WHEN x2 = x1 THEN CASE WHEN x1 < col OR x1 > col + 1 THEN 2 ELSE 0 END ELSE least((col - x1) / nullif(x2 - x1, 0), (col + 1 - x1) / nullif(x2 - x1, 0)) END AS a1,
+        CASE WHEN x2 = x1 THEN 1 ELSE greatest((col - x1) / nullif(x2 - x1, 0), (col + 1 - x1) / nullif(x2 - x1, 0)) END AS b1,
+        CASE WHEN y2 = y1 THEN CASE WHEN y1 < row OR y1 > row + 1 THEN 2 ELSE 0 END ELSE least((row - y1) / nullif(y2 - y1, 0), (row + 1 - y1) / nullif(y2 - y1, 0)) END AS a2,
+        CASE WHEN y2 = y1 THEN 1 ELSE greatest((row - y1) / nullif(y2 - y1, 0), (row + 1 - y1) / nullif(y2 - y1, 0)) END AS b2 FROM ras, ed WHERE row < 100),
+    tc AS (SELECT row, col, bool_or(greatest(0, a1, a2) <= least(1, b1, b2)) AS t FROM ax GROUP BY row, col)
+    SELECT tc.row, tc.col, (t OR coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = tc.row AND hit.col = tc.col), FALSE)) AS ocean FROM tc""")
+def land_mask_touched(spark, sf_dir):
+    """Cells that a polygon covers at their centre or whose area one of its edges meets."""
+    pixels = fx.ras(spark, sf_dir).where("row < 100")
+    sea = spatial.inside(F.col("col") + 0.5, F.col("row") + 0.5, RINGS) | spatial.touched(F.col("row").cast("double"), F.col("col").cast("double"), RINGS)
+    return pixels.select("row", "col", sea.alias("ocean"))
+
+
 @query(f"WITH {_PIP} SELECT row * 64 + col AS id, coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = ras.row AND hit.col = ras.col), FALSE) AS inside FROM ras WHERE row < 100")
 def land_mask_table(spark, sf_dir):
     """The same with polygons as an edge table, joined by horizontal bands."""

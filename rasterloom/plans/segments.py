@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rasterloom.functions import energy
@@ -379,3 +380,96 @@ def gauss_transform_exact(spark, sf_dir):
     e = lambda i: F.element_at("embedding", i).cast("double")
     points = fx.table(spark, sf_dir, "embeddings").where("vec_id < 200").select(F.col("vec_id").alias("id"), (e(1) * 5).alias("x"), (e(2) * 5).alias("y"), e(3).alias("w"))
     return _round(cluster.gauss_transform(points.withColumnRenamed("w", "value"), ["x", "y"], "value"), ["id"], "g")
+
+
+_MAP = f"{fx.CLASSES}, km AS (SELECT row, col, CASE WHEN row % 8 = 7 THEN -2 ELSE k END AS k FROM cls WHERE row < 64), {fx.NEIGHBOURS}"
+_FLAGS = f"""{_MAP}, fl AS (SELECT p.row, p.col, p.k, bool_or(p.k <> q.k) AS unlike, list(DISTINCT q.k ORDER BY q.k) FILTER (q.k >= 0) AS candidates,
+    count(DISTINCT q.k) FILTER (q.k >= 0) >= 2 AS two_regions, count(DISTINCT q.k) FILTER (q.k >= 0 AND off.k % 2 = 0) >= 2 AS inner_two
+    FROM km p CROSS JOIN off JOIN km q ON q.row = p.row + dr AND q.col = p.col + dc GROUP BY p.row, p.col, p.k)"""
+
+
+def _class_map(spark, sf_dir):
+    pixels = fx.ras(spark, sf_dir).where("row < 64")
+    return pixels.withColumn("k", F.when(F.col("row") % 8 == 7, -2).otherwise(fx.class_of(F.col("v")))).select("row", "col", "k")
+
+
+@query(f"WITH {_FLAGS} SELECT row, col, unlike, array_to_string(candidates, ',') AS candidates, two_regions, inner_two AS inner FROM fl")
+def boundary_flags(spark, sf_dir):
+    out = regions.boundary_flags(_class_map(spark, sf_dir))
+    return out.withColumn("candidates", F.array_join(F.transform("candidates", lambda x: x.cast("string")), ","))
+
+
+@query(f"WITH {_FLAGS} SELECT round(count(*) FILTER (k < 0 AND two_regions) / count(*)::DOUBLE, 6) AS ratio FROM fl")
+def class_map_ratio(spark, sf_dir):
+    return regions.class_map_ratio(_class_map(spark, sf_dir)).select(F.round("ratio", 6).alias("ratio"))
+
+
+@query(f"WITH {_REG} SELECT greatest(coalesce(max(region), -1), -1) AS max_label, count(DISTINCT region) FILTER (region > 0) AS n_positive FROM reg")
+def label_counts(spark, sf_dir):
+    return regions.label_counts(_pixels(spark, sf_dir), "region")
+
+
+@query(f"WITH {fx.RAS} SELECT count(*) AS n FROM ras a FULL JOIN (SELECT row, col, CASE WHEN row % 9 = 0 THEN v + 1 ELSE v END AS v FROM ras WHERE col < 60) b ON a.row = b.row AND a.col = b.col WHERE a.v IS DISTINCT FROM b.v")
+def image_difference(spark, sf_dir):
+    other = fx.ras(spark, sf_dir).where("col < 60").withColumn("v", F.when(F.col("row") % 9 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    return regions.difference(fx.ras(spark, sf_dir), other, "v")
+
+
+@query(f"WITH {_STATS}, {_SITES} SELECT a, b, length, y.n / x.n::DOUBLE > 0.9::DOUBLE AS refresh FROM adj JOIN st x ON x.region = a JOIN st y ON y.region = b")
+def size_ratio_skip(spark, sf_dir):
+    return regions.skip_small(regions.adjacency(_sites(spark, sf_dir)), _stats(spark, sf_dir), 0.9)
+
+
+@query(f"""WITH RECURSIVE {_STATS}, {_SITES}, {_CLASSES}, act AS (SELECT a, b FROM adj JOIN rc x ON x.region = a JOIN rc y ON y.region = b WHERE x.class = y.class),
+    two_way AS (SELECT a, b FROM act UNION ALL SELECT b, a FROM act), reach AS (SELECT region, region AS o FROM rc UNION SELECT two_way.b, r.o FROM reach r JOIN two_way ON two_way.a = r.region)
+    SELECT region, min(o)::BIGINT AS component FROM reach GROUP BY region""")
+def same_class_regions(spark, sf_dir):
+    return regions.same_class_regions(regions.adjacency(_sites(spark, sf_dir)), _classes(spark, sf_dir))
+
+
+_BLOCKS = "be AS (SELECT DISTINCT least(l_partkey % 60, l_suppkey % 60) AS a, greatest(l_partkey % 60, l_suppkey % 60) AS b FROM lineitem WHERE l_orderkey < 100 AND l_partkey % 60 <> l_suppkey % 60)"
+_TRIPLES = f"{_BLOCKS}, tr AS (SELECT x.a, x.b, y.b AS c FROM be x JOIN be y ON y.a = x.b JOIN be z ON z.a = x.a AND z.b = y.b)"
+
+
+def _triples(spark, sf_dir):
+    items = fx.table(spark, sf_dir, "lineitem").where("l_orderkey < 100")
+    edges = items.select((F.col("l_partkey") % 60).alias("a"), (F.col("l_suppkey") % 60).alias("b")).where("a <> b")
+    return regions.cliques3(edges)
+
+
+@query(f"WITH {_TRIPLES} SELECT a, b, c FROM tr")
+def region_cliques(spark, sf_dir):
+    return _triples(spark, sf_dir)
+
+
+@query(f"""WITH {_TRIPLES}, nm AS (SELECT a * 10000 + b * 100 + c AS id, unnest([a, b, c]) AS region FROM tr)
+    SELECT x.id AS x, y.id AS y, count(*) AS shared FROM nm x JOIN nm y ON x.region = y.region AND x.id < y.id GROUP BY 1, 2""")
+def clique_graph(spark, sf_dir):
+    return regions.clique_graph(_triples(spark, sf_dir).withColumn("id", F.col("a") * 10000 + F.col("b") * 100 + F.col("c")))
+
+
+@query(f"""WITH {_GL}, ms AS (SELECT tile, con / n AS con, hom / n AS hom, mu, asm, ent FROM mv)
+    SELECT tile, round(con / 225, 6) AS con, round((hom - 1 / 226::DOUBLE) / (1 - 1 / 226::DOUBLE), 6) AS hom, round(mu / 15, 6) AS mu, round((asm - 1 / 256::DOUBLE) / (1 - 1 / 256::DOUBLE), 6) AS asm,
+        round(ent / ln(256::DOUBLE), 6) AS ent FROM ms""")
+def glcm_normalised(spark, sf_dir):
+    pixels = fx.quantised(spark, sf_dir).where("row < 64 and col < 16").withColumn("tile", F.floor(F.col("row") / 16))
+    found = texture.measures(texture.pairs(texture.quantise(pixels, 16), ["tile"]), ["tile"])
+    return _round(texture.normalised(found, ["tile"], 16, 930), ["tile"], "con", "hom", "mu", "asm", "ent")
+
+
+@query("""SELECT i::INTEGER AS iteration, round(8 * pow(0.9::DOUBLE, i) + 1, 9) AS alpha, round(8 * pow(0.9::DOUBLE, i) + 0.5::DOUBLE, 9) AS pixel_alpha, round(2 * pow(0.98::DOUBLE, i), 9) AS temperature FROM range(100) t(i)""")
+def schedules(spark, sf_dir):
+    i = F.col("iteration")
+    r = lambda c, n: F.round(c, 9).alias(n)
+    rows = spark.range(100).select(F.col("id").cast("int").alias("iteration"))
+    return rows.select("iteration", r(energy.alpha(i, 8.0, 0.9), "alpha"), r(energy.pixel_alpha(i, 8.0, 0.9, 2), "pixel_alpha"), r(energy.temperature(i, 2.0), "temperature"))
+
+
+@query("""WITH e AS (SELECT label, vec_id AS row, unnest(range(8))::INTEGER AS col, (unnest(embedding[1:8]) > 0)::INTEGER * CASE WHEN label = 3 THEN 0 ELSE 255 END AS v FROM embeddings),
+    r AS (SELECT label, min(v) AS lo, max(v) AS hi FROM e GROUP BY label) SELECT label, row, col, (lo = hi OR v >= (lo + hi) / 2) AS valid FROM e JOIN r USING (label)""")
+def mask_threshold(spark, sf_dir):
+    """Masks by label; that of label 3 is constant, hence valid everywhere."""
+    rows = fx.table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row"), F.posexplode(F.slice("embedding", 1, 8)).alias("col", "x"))
+    rows = rows.withColumn("v", F.when((F.col("x") > 0) & (F.col("label") != 3), 255).otherwise(0))
+    w = W.partitionBy("label")
+    return rows.select("label", "row", "col", energy.mask_of(F.col("v"), F.min("v").over(w), F.max("v").over(w)).alias("valid"))
