@@ -77,7 +77,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_UNITS = "|".join(decontam.UNITS)
+_NUM, _NAME, _UNIT = "chr(57344)", "chr(57345)", "chr(57346)"
+_SLOT = f"('[' || {_NUM} || {_NAME} || {_UNIT} || ']')"
+
+
+def _bare_sql(text: str) -> str:
+    return rf"string_split(trim(regexp_replace(regexp_replace(lower({text}), '[\p{{P}}\p{{S}}' || chr(1) || ']+', '', 'g'), ' +', ' ', 'g')), ' ')"
+
+
+_DECONTAMINATION = rf"""
+    WITH texts AS (SELECT DISTINCT 'doc' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+        UNION SELECT 'item', item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+    spaced AS (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM texts),
+    numbers AS (SELECT *, regexp_replace(s, '[0-9]+([.,:/][0-9]+)*', {_NUM}, 'g') AS n FROM spaced),
+    units AS (SELECT *, regexp_replace(regexp_replace(n, {_NUM} || '({_UNITS})\b', {_NUM} || {_UNIT}, 'g'), {_NUM} || ' ({_UNITS})\b', {_NUM} || ' ' || {_UNIT}, 'g') AS u FROM numbers),
+    names AS (SELECT *, regexp_replace(regexp_replace(u, '([.!?:]) (\p{{Lu}})', '\1 ' || chr(1) || '\2', 'g'), ' \p{{Lu}}[\p{{Lu}}''’-]*\p{{Ll}}[\p{{L}}''’-]*', ' ' || {_NAME}, 'g') AS t FROM units),
+    words AS (SELECT kind, id, {_bare_sql("t")} AS t, {_bare_sql("s")} AS w FROM names),
+    wins AS (SELECT kind, id, unnest(range(1, len(t) - 6)) AS p, unnest(list_transform(range(1, len(t) - 6), lambda i: array_to_string(t[i:i+7], ' '))) AS g,
+        unnest(list_transform(range(1, len(t) - 6), lambda i: len(list_filter(t[i:i+7], lambda x: regexp_matches(x, {_SLOT}))))) AS slots FROM words WHERE len(t) >= 8),
+    items AS (SELECT *, count(*) OVER (PARTITION BY id) AS total FROM wins WHERE kind = 'item' AND slots <= 4),
+    hits AS (SELECT d.id AS doc_id, i.id AS item_id, d.p AS dp, i.p AS ip, i.slots, total FROM wins d JOIN items i USING (g) WHERE d.kind = 'doc'),
+    pairs AS (SELECT doc_id, item_id, dp - ip AS shift, b.w[ip + k] AS x, a.w[dp + k] AS y FROM hits, range(8) r(k), words a, words b
+        WHERE slots > 0 AND a.kind = 'doc' AND a.id = doc_id AND b.kind = 'item' AND b.id = item_id AND regexp_matches(a.t[dp + k], {_SLOT})),
+    fine AS (SELECT doc_id, item_id, shift FROM pairs GROUP BY ALL HAVING count(DISTINCT (x, y)) = count(DISTINCT x) AND count(DISTINCT (x, y)) = count(DISTINCT y)),
+    good AS (SELECT * FROM hits WHERE slots = 0 OR (doc_id, item_id, dp - ip) IN (SELECT (doc_id, item_id, shift) FROM fine))
+    SELECT doc_id, item_id, count(DISTINCT ip) AS n_matched, max(total) AS n_windows FROM good GROUP BY doc_id, item_id HAVING count(DISTINCT ip) >= least(6, max(total))"""
+
 ORACLE: dict[str, str] = {
+    "op6_decontamination": _DECONTAMINATION,
     "op1_ngram_join": rf"""
         WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         shingles AS (
