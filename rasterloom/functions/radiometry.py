@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 BAND_MEAN = {"hh": -16.849971303873264, "hv": -27.80859960890284}
 BAND_STD = {"hh": 6.601613867039019, "hv": 6.390188051517371}
 FLOOR = 1e-12
+SCALE_PLACES = (0.0, 0.01, 0.5, 0.99, 1.0)
 
 
 def finite(x: Column) -> Column:
@@ -36,11 +37,10 @@ def scale_of(p: Column) -> Column:
 
 
 def scale_percentiles(x: Column, accuracy: int | None = None) -> Column:
-    """Percentiles 0, 1, 50, 99 and 100: exact (its state grows with the distinct values of a group), or a sketch of the given accuracy, whose state is bounded."""
-    places = (0.0, 0.01, 0.5, 0.99, 1.0)
+    """The percentiles that tell scales apart as an aggregate: exact (its state grows with the distinct values of a group), or a sketch of the given accuracy."""
     if accuracy:
-        return F.percentile_approx(x, list(places), accuracy)
-    return F.percentile(x, F.array(*[F.lit(p) for p in places]))
+        return F.percentile_approx(x, list(SCALE_PLACES), accuracy)
+    return F.percentile(x, F.array(*[F.lit(p) for p in SCALE_PLACES]))
 
 
 def standardize(x: Column, mean: float, std: float) -> Column:

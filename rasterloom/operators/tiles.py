@@ -15,9 +15,13 @@ TILE = "height int, width int"
 
 
 def to_tiles(pixels: DataFrame, keys: list[str], bands: list[str], top: Column, left: Column, height: int, width: int) -> DataFrame:
-    """keys, height, width and one array a band in raster order; places without a pixel are NaN (bounded by the tile's size)."""
+    """keys, height, width and one array a band in raster order; places without a pixel are NaN (bounded by the tile's size).
+
+    Tiles are few bytes and much work, so they keep the number of shuffle partitions instead of being coalesced by size.
+    """
+    tasks = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = ((F.col("row") - top) * width + (F.col("col") - left)).cast("int")
-    held = pixels.withColumn("place", place).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("place", F.struct(*bands).alias("v")))).alias("held"))
+    held = pixels.withColumn("place", place).repartition(tasks, *keys).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("place", F.struct(*bands).alias("v")))).alias("held"))
     index = F.sequence(F.lit(0), F.lit(height * width - 1))
 
     def array(band: str) -> Column:

@@ -168,7 +168,7 @@ def sar_scale_classify(spark, sf_dir):
     rows = stats.channels(items, {"discount": "l_discount", "price": "l_extendedprice"}, []).withColumnRenamed("channel", "name")
     db = items.where("l_discount > 0").select(F.lit("discount_db").alias("name"), radiometry.linear_to_db(F.col("l_discount")).alias("x"))
     rows = rows.unionByName(db).unionByName(fx.ras(spark, sf_dir).select(F.lit("ras").alias("name"), F.col("v").alias("x")))
-    found = rows.groupBy("name").agg(radiometry.scale_percentiles(F.col("x")).alias("p"))
+    found = stats.exact_percentiles(rows, ["name"], "x", radiometry.SCALE_PLACES)
     at = lambda i: F.round(F.get("p", F.lit(i)), 6)
     return found.select("name", radiometry.scale_of(F.col("p")).alias("scale"), at(1).alias("p1"), at(2).alias("median"), at(3).alias("p99"))
 
