@@ -176,10 +176,11 @@ def block_average(pixels: DataFrame, bands: list[str], block: int, height: int,
     return whole.groupBy(*keys).agg(*[F.avg(b).alias(b) for b in bands])
 
 
-def _overlaps(axis: str, ratio: float, cells: int) -> Column:
+def overlaps(axis: str, ratio: float | Column, cells: int | Column) -> Column:
     """Target cells of a source pixel along an axis, with the part of the pixel in each."""
     low, high = F.col(axis) / ratio, (F.col(axis) + 1) / ratio
-    first, last = F.floor(low).cast("int"), F.least(F.ceil(high).cast("int"), F.lit(cells)) - 1
+    limit = F.lit(cells) if isinstance(cells, int) else cells
+    first, last = F.floor(low).cast("int"), F.least(F.ceil(high).cast("int"), limit) - 1
     part = lambda i: F.struct(i.alias("i"), ((F.least(high, i + 1.0) - F.greatest(low, i.cast("double"))) * ratio).alias("w"))
     return F.when(first <= last, F.transform(F.sequence(first, last), part)).otherwise(F.array().cast("array<struct<i:int,w:double>>"))
 
@@ -187,7 +188,7 @@ def _overlaps(axis: str, ratio: float, cells: int) -> Column:
 def area_average(pixels: DataFrame, bands: list[str], height: int, width: int, ratio_rows: float, ratio_cols: float) -> DataFrame:
     """Overlap-weighted means on a grid of max(1, round(size / ratio)) cells; missing pixels weigh nothing."""
     rows, cols = max(1, round(height / ratio_rows)), max(1, round(width / ratio_cols))
-    spread = pixels.withColumn("r", F.explode(_overlaps("row", ratio_rows, rows))).withColumn("c", F.explode(_overlaps("col", ratio_cols, cols)))
+    spread = pixels.withColumn("r", F.explode(overlaps("row", ratio_rows, rows))).withColumn("c", F.explode(overlaps("col", ratio_cols, cols)))
     weight = F.col("r.w") * F.col("c.w")
     mean = lambda b: F.try_divide(F.sum(weight * F.col(b)), F.sum(F.when(F.col(b).isNotNull(), weight))).alias(b)
     return spread.where(weight > 1e-12).groupBy(F.col("r.i").alias("row"), F.col("c.i").alias("col")).agg(*[mean(b) for b in bands])

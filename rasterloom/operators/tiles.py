@@ -30,6 +30,35 @@ def to_tiles(pixels: DataFrame, keys: list[str], bands: list[str], top: Column,
     return held.select(*keys, F.lit(height).alias("height"), F.lit(width).alias("width"), *map(array, bands))
 
 
+def to_padded_tiles(pixels: DataFrame, keys: list[str], bands: list[str], size: int, outside: dict[str, float]) -> DataFrame:
+    """keys and square arrays of a fixed size; pixels have top, left, crop_h and crop_w of their window.
+
+    Beyond a window smaller than the size, bands are mirrored (edge pixels repeated, as often as needed), and
+    those named in `outside` get its value.
+    """
+    tasks = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = ((F.col("row") - F.col("top")) * size + (F.col("col") - F.col("left"))).cast("int")
+    held = pixels.withColumn("place", place).repartition(tasks, *keys).groupBy(*keys)
+    held = held.agg(F.first("crop_h").alias("crop_h"), F.first("crop_w").alias("crop_w"), F.map_from_entries(F.collect_list(F.struct("place", F.struct(*bands).alias("v")))).alias("held"))
+    index = F.sequence(F.lit(0), F.lit(size * size - 1))
+
+    def back(at: Column, n: Column) -> Column:
+        turn = at % (2 * n)
+        return F.when(turn < n, turn).otherwise(2 * n - 1 - turn)
+
+    def array(band: str) -> Column:
+        def value(i: Column) -> Column:
+            r, c = F.floor(i / size).cast("int"), i % size
+            found = F.try_element_at("held", (back(r, F.col("crop_h")) * size + back(c, F.col("crop_w"))).cast("int"))[band].cast("double")
+            if band in outside:
+                found = F.when((r < F.col("crop_h")) & (c < F.col("crop_w")), found).otherwise(F.lit(float(outside[band])))
+            return F.coalesce(found, F.lit(float("nan")))
+
+        return F.transform(index, value).alias(band)
+
+    return held.select(*keys, F.lit(size).alias("height"), F.lit(size).alias("width"), *map(array, bands))
+
+
 def run_kernel(tiles: DataFrame, keys: list[str], kernel: Callable[[pd.Series], dict], schema: str) -> DataFrame:
     """Applies the kernel to each tile; a tile that fails keeps its keys, with ok false and the error's text."""
     names = [f.split()[0] for f in schema.split(",")]
@@ -73,14 +102,20 @@ def watershed_tiles(tiles: DataFrame, keys: list[str], bands: list[str], sigma:
     return run_kernel(tiles, keys, kernel, "labels array<int>, n_regions int")
 
 
-def irgs_tiles(tiles: DataFrame, keys: list[str], bands: list[str], classes: int, iterations: int, temperature: float | None = None, seed: int = 0) -> DataFrame:
-    """keys, segments (array, null where masked), n_segments, boundaries (1 or -1), classes (array), energies."""
+def irgs_tiles(tiles: DataFrame, keys: list[str], bands: list[str], classes: int, iterations: int, temperature: float | None = None, seed: int = 0, labels: str | None = None) -> DataFrame:
+    """keys, segments (array, null where masked), n_segments, boundaries (1 or -1), classes (array), energies.
+
+    Pixels whose label is 255 take part in the segmentation, but are left out of its result.
+    """
 
     def kernel(tile: pd.Series) -> dict:
         images = [_unit(_image(tile, b)) for b in bands]
         mask = ~np.isnan(images[0])
         filled = [np.where(np.isnan(i), 0.0, i) for i in images]
         found = segmentation.irgs(filled, mask, classes, iterations, seed, temperature=temperature)
+        if labels:
+            invalid = _image(tile, labels) == 255
+            found.classes[invalid], found.boundaries[invalid] = -1, -1
         parts, n = segmentation.segments(found)
         return {
             "segments": [None if s < 0 else int(s) for s in parts.ravel()], "n_segments": n, "boundaries": found.boundaries.ravel().tolist(),
