@@ -4,8 +4,9 @@ Tokens of a page are its elements (tag, classes and path of enclosing elements)
 with their paths.  The occurrence vector of a token over a host's pages - how often each page
 has it - is kept as an order-free digest next to its sums, so it aggregates before the shuffle.
 Tokens of a host with equal vectors form an equivalence class; classes found on at
-least half of the host's pages (and on two) are valid, and nest by their tokens' paths: together
-they are the host's template.  The texts left over are slots.
+least half of the host's pages (and on two) are valid, and nest in the class of the elements
+around them, by which they are told apart: together they are the host's template.  The texts
+left over are slots.
 
 A page's main text comes from the slots and texts inside its article (else its main element);
 without either, from all slots.  Elements that hold navigation, headers, footers, sidebars, notices,
@@ -59,7 +60,7 @@ def host(url: Column) -> Column:
 def _aside(tag: str, attributes: str) -> tuple[bool, str]:
     """Whether the element marks other content, and its name with its classes."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
-    name = f"{tag}.{found['class']}" if found.get("class") else tag
+    name = f"{tag}.{found['class'].replace('/', '|')}" if found.get("class") else tag
     if tag in ("html", "body", "main", "article"):
         return False, name
     words = set(_SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}"))
@@ -135,32 +136,55 @@ def _tokens(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            owners, keys, counts, marks = [], [], [], []
+            owners, keys, parents, counts, marks = [], [], [], [], []
             for row, (page_id, page) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True)):
-                seen: dict[int, int] = {}
+                seen: dict[tuple[int, int], int] = {}
                 for path, text, *_ in texts(page or ""):
                     text = " ".join(text.split()) if text is not None else None
                     if text != "":
-                        k = _key(path, text)
+                        k = _key(path, text), _key(path if text is not None else path.rpartition("/")[0], None)
                         seen[k] = seen.get(k, 0) + 1
-                for k, n in seen.items():
+                for (k, parent), n in seen.items():
                     owners.append(row)
                     keys.append(k)
+                    parents.append(parent)
                     counts.append(n)
                     mark = f"{page_id}:{n}".encode()
                     marks.append((zlib.crc32(mark) << 31) ^ zlib.crc32(b"\x02" + mark))
             hosts = part.column(1).take(pa.array(owners, pa.int32()))
-            yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(marks, pa.int64())], ["host", "token", "n", "mark"])
+            yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(parents, pa.int64()), pa.array(counts, pa.int64()), pa.array(marks, pa.int64())], ["host", "token", "parent", "n", "mark"])
 
 
 def templates(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
-    """host, token, pages (of the host that have it) and class of each token of each host's valid equivalence classes."""
+    """host, token, pages (of the host that have it), class and outer of each token of each host's template.
+
+    A class is the tokens of equal occurrence vectors inside the same other vector; outer is that
+    vector, in whose class it is nested (null at the root).
+    """
     own = textscan.bounded(pages).select("page_id", host(F.col("url")).alias("host"), F.col("html").alias("html"))
     size = own.groupBy("host").agg(F.count("*").alias("total"))
-    vectors = own.mapInArrow(_tokens, "host string, token long, n long, mark long").groupBy("host", "token")
-    vectors = vectors.agg(F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"))
+    vectors = own.mapInArrow(_tokens, "host string, token long, parent long, n long, mark long").groupBy("host", "token")
+    vectors = vectors.agg(F.min("parent").alias("parent"), F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"))
     frequent = vectors.join(size, "host").where((F.col("pages") >= 2) & (F.col("pages") >= share * F.col("total")))
-    return frequent.selectExpr("host", "token", "pages", "xxhash64(pages, times, digest) as class")
+    frequent = frequent.selectExpr("host", "token", "parent", "pages", "xxhash64(pages, times, digest) as vector")
+    nested = frequent.groupBy("host").applyInArrow(_nest, "host string, token long, pages long, vector long, outer long")
+    return nested.selectExpr("host", "token", "pages", "xxhash64(vector, outer) as class", "outer")
+
+
+def _nest(table: pa.Table) -> pa.Table:
+    """Adds outer to a host's template tokens: the vector of the nearest element around that has another one.
+
+    A host's tokens on at least half of its pages are at most twice as many as its mean page has.
+    """
+    vector = dict(zip(table["token"].to_pylist(), table["vector"].to_pylist(), strict=True))
+    parent = dict(zip(table["token"].to_pylist(), table["parent"].to_pylist(), strict=True))
+    outer = []
+    for token, own in vector.items():
+        at = parent[token]
+        while vector.get(at) == own and at != parent.get(at):
+            at = parent[at]
+        outer.append(vector.get(at) if vector.get(at) != own else None)
+    return table.select(["host", "token", "pages", "vector"]).append_column("outer", pa.array(outer, pa.int64()))
 
 
 def _extract(batches):

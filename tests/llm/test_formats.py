@@ -189,6 +189,15 @@ def test_templates_and_extraction(spark):
     assert found == sorted((i, t, len(t)) for i, t in want)
     tokens = html_extract.templates(pages).where("host = 'a.example'").collect()
     assert len({r["class"] for r in tokens}) < len(tokens) and {r["pages"] for r in tokens} == {7}
+    twice = "<body><p>A</p><p>B</p><div><i>{0}</i></div>{1}</body>"
+    nest = spark.createDataFrame([(i, "http://c.example/", twice.format(i, "<table><td>x</td></table>" if i % 2 else "")) for i in range(4)], "page_id long, url string, html string")
+    found = html_extract.templates(nest).collect()
+    rare = [r for r in found if r["pages"] == 2]
+    assert len(rare) == 3 and len({(r["class"], r["outer"]) for r in rare}) == 1 and rare[0]["outer"] is not None
+    classes = {}
+    for r in found:
+        classes.setdefault(r["class"], []).append(r["token"])
+    assert sorted(map(len, classes.values())) == [1, 2, 3, 3]  # p; A and B inside p; body, div and i; the table's three
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
