@@ -15,8 +15,9 @@ edges of a document with the same smallest m-gram form a path, held as one row
    their documents, where the words found there must hash to the span's content before they
    are cut.
 
-Hot passages: minima and maxima are pre-aggregated before each shuffle, and the joins back are
-plain sort-merge joins, whose skewed partitions adaptive execution splits.
+Hot passages: minima and maxima are pre-aggregated before each shuffle; the rows of hot edges are
+not shuffled for the join back, and the join on anchors is a plain sort-merge join, whose skewed
+partitions adaptive execution splits.
 
 Defined results.  Null or empty text: no words, hash of the empty string.  Documents under k
 words lose nothing.  Rows that repeat a doc_id are judged one by one: a span is cut only where
@@ -37,6 +38,7 @@ from rasterloom.llm.staging import staged
 
 WINDOW = 13
 ANCHOR = 5
+HOT_SHARE = 2_000
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -130,11 +132,23 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
     joined = staged(joined.where("edges is not null or doc_id > lo"), "paths")
     straight = joined.where("edges is null").select("doc_id", "start", "n", "content")
     edges = joined.where("edges is not null").selectExpr("doc_id", "start", "posexplode(edges) as (i, edge)")
-    first = edges.groupBy("edge").agg(F.min("doc_id").alias("lo"))
-    branching = edges.join(first, "edge").where("doc_id > lo").selectExpr("doc_id", "start + i as start", "1 as n", "edge as content")
+    branching = _later(edges, "edge").selectExpr("doc_id", "start + i as start", "1 as n", "edge as content")
     return straight.unionByName(branching)
 
 
+def _later(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key also has a smaller doc_id.
+
+    Keys with more than one in `HOT_SHARE` of the rows - fewer than `HOT_SHARE`, hence a bounded
+    broadcast - are joined where their rows are; only the others are shuffled for the join.
+    """
+    first = rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows"))
+    hot = staged(first.where(F.col("rows") > rows.count() / HOT_SHARE).select(key, "lo"), "hot")
+    often = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(first.select(key, "lo"), key)
+    return often.unionByName(others).where("doc_id > lo")
+
+
 def _untouched(touched):
     def run(batches):
         seen = touched.value
