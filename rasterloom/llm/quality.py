@@ -110,6 +110,7 @@ def votes(stats: np.ndarray) -> np.ndarray:
     """One vote (1 good, 0 bad, -1 abstain) of each labeller for each text."""
     s = {name: stats[:, i] for i, name in enumerate(STATS)}
     enough = s["words"] >= 20
+    steady = (s["stutter"] <= 0.1) & (s["symbols"] <= 0.03)  # else shares of words say nothing good about a text
     clean = (s["symbols"] < 0.005) & (s["stutter"] < 0.02)
     no = np.zeros(len(stats), bool)  # a labeller that only knows signs of bad texts
 
@@ -127,8 +128,8 @@ def votes(stats: np.ndarray) -> np.ndarray:
             vote(clean & enough & (s["pairs"] > 0.6), enough & (s["pairs"] < 0.4)),
             vote(no, enough & (s["distinct"] < 0.2)),
             vote(no, (s["word_length"] < 2.5) | (s["word_length"] > 9)),
-            vote(enough & (s["common"] > 0.15) & (s["common"] < 0.45), enough & (s["common"] < 0.1)),
-            vote(enough & (s["sentences"] > 0.02) & (s["sentences"] < 0.2), enough & ((s["sentences"] < 0.004) | (s["sentences"] > 0.5))),
+            vote(steady & enough & (s["common"] > 0.15) & (s["common"] < 0.45), enough & (s["common"] < 0.1)),
+            vote(steady & enough & (s["sentences"] > 0.02) & (s["sentences"] < 0.2), enough & ((s["sentences"] < 0.004) | (s["sentences"] > 0.5))),
             vote(no, s["bars"] > 0.1),
             vote((s["words"] >= 2) & clean & (s["capitals"] < 0.1), s["words"] < 1),
         ],
