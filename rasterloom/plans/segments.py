@@ -293,8 +293,9 @@ _PGMM = f"""{fx.TWO}, px AS (SELECT *, CASE WHEN hh < -0.05::DOUBLE THEN 0 WHEN
     pg AS (SELECT *, v22 / (v11 * v22 - v12 * v12) AS i11, -v12 / (v11 * v22 - v12 * v12) AS i12, v11 / (v11 * v22 - v12 * v12) AS i22, sqrt(v11 * v22 - v12 * v12) AS cov_det FROM pm)"""
 
 
-def _pixel_gmm(spark, sf_dir):
-    pixels = fx.two(spark, sf_dir).where(F.col("row") < _ROWS).withColumn("k", fx.class_of(F.col("hh")))
+def _pixel_gmm(spark, sf_dir, whole=False):
+    pixels = fx.two(spark, sf_dir).withColumn("k", fx.class_of(F.col("hh")))
+    pixels = pixels if whole else pixels.where(F.col("row") < _ROWS)
     return pixels, cluster.gmm_of_pixels(pixels)
 
 
@@ -325,14 +326,16 @@ def mrf_sweep(spark, sf_dir):
 
 @query()
 def pixel_em(spark, sf_dir):
-    """Class parameters after up to five steps."""
-    pixels, gmm = _pixel_gmm(spark, sf_dir)
+    """Class parameters after up to five steps over the whole raster."""
+    pixels, gmm = _pixel_gmm(spark, sf_dir, whole=True)
     return _round(cluster.em(pixels.drop("k"), gmm, 5), ["k"], "prior", "mu1", "mu2", places=4)
 
 
 @query()
 def region_kmeans(spark, sf_dir):
-    return _round(cluster.kmeans(_stats(spark, sf_dir).select("m1", "m2", "n"), 3), ["k"], "c1", "c2")
+    """Centres over all regions of the raster."""
+    whole = regions.region_stats(fx.region_map(spark, sf_dir))
+    return _round(cluster.kmeans(whole.select("m1", "m2", "n"), 3), ["k"], "c1", "c2")
 
 
 @query(f"WITH {fx.REGIONS.replace('FROM two)', f'FROM two WHERE row < {_ROWS})')}, {_SITES}, both_ways AS (SELECT a, b FROM adj UNION ALL SELECT b, a FROM adj) SELECT a AS node, count(*) AS degree FROM both_ways GROUP BY a")
