@@ -5,11 +5,14 @@ with their paths.  The occurrence vector of a token over a host's pages - how of
 has it - is kept as an order-free digest next to its sums, so it aggregates before the shuffle.
 Tokens of a host with equal vectors form an equivalence class; classes found on at
 least half of the host's pages (and on two) are valid, and nest in the class of the elements
-around them, by which they are told apart: together they are the host's template.  The texts
-left over are slots.
-
-A page's main text comes from the slots and texts inside its article (else its main element);
-without either, from all slots.  Elements that hold navigation, headers, footers, sidebars, notices,
+around them, by which they are told apart: together they are the host's template.  A text of
+a valid class is template if it is on every page that has the element around it; one that is on
+some of them only, as the story of page copies, fills a slot there.  So do the texts left over.
+If a host's pages have no slot at all, they are copies of one page and have no template.
+
+A page's main text comes from the slots inside its article (else its main element); without
+either, from all slots.  An article (or main element) with less than half of its text in slots is a copy
+and is taken whole.  Elements that hold navigation, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or reader comments - by tag, role or class - are passed over.
 
 A host's template has at most twice as many tokens as its mean page, so it travels as one row;
@@ -156,35 +159,43 @@ def _tokens(batches):
 
 
 def templates(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
-    """host, token, pages (of the host that have it), class and outer of each token of each host's template.
+    """host, token, pages (of the host that have it), class, outer and fixed of each token of each host's valid classes.
 
     A class is the tokens of equal occurrence vectors inside the same other vector; outer is that
-    vector, in whose class it is nested (null at the root).
+    vector, in whose class it is nested (null at the root).  fixed: it is on every page that has the
+    element around it, so as a text it is template and no slot.
     """
     own = textscan.bounded(pages).select("page_id", host(F.col("url")).alias("host"), F.col("html").alias("html"))
     size = own.groupBy("host").agg(F.count("*").alias("total"))
     vectors = own.mapInArrow(_tokens, "host string, token long, parent long, n long, mark long").groupBy("host", "token")
     vectors = vectors.agg(F.min("parent").alias("parent"), F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"))
+    vectors = staged(vectors, "vectors")
+    size = size.join(vectors.groupBy("host").agg(F.count("*").alias("tokens")), "host")
     frequent = vectors.join(size, "host").where((F.col("pages") >= 2) & (F.col("pages") >= share * F.col("total")))
-    frequent = frequent.selectExpr("host", "token", "parent", "pages", "xxhash64(pages, times, digest) as vector")
-    nested = frequent.groupBy("host").applyInArrow(_nest, "host string, token long, pages long, vector long, outer long")
-    return nested.selectExpr("host", "token", "pages", "xxhash64(vector, outer) as class", "outer")
+    frequent = frequent.selectExpr("host", "token", "parent", "pages", "xxhash64(pages, times, digest) as vector", "total", "tokens")
+    nested = frequent.groupBy("host").applyInArrow(_nest, "host string, token long, pages long, vector long, outer long, fixed boolean")
+    return nested.selectExpr("host", "token", "pages", "xxhash64(vector, outer) as class", "outer", "fixed")
 
 
 def _nest(table: pa.Table) -> pa.Table:
-    """Adds outer to a host's template tokens: the vector of the nearest element around that has another one.
+    """Adds outer to a host's template tokens: the vector of the nearest element around that has another one; and fixed.
 
     A host's tokens on at least half of its pages are at most twice as many as its mean page has.
     """
     vector = dict(zip(table["token"].to_pylist(), table["vector"].to_pylist(), strict=True))
     parent = dict(zip(table["token"].to_pylist(), table["parent"].to_pylist(), strict=True))
+    pages = dict(zip(table["token"].to_pylist(), table["pages"].to_pylist(), strict=True))
+    total, tokens = table["total"][0].as_py(), table["tokens"][0].as_py()
+    fixed = [n == pages.get(parent[token], total) for token, n in pages.items()]
+    if sum(fixed) == tokens:  # no slots
+        fixed = [False] * len(fixed)
     outer = []
     for token, own in vector.items():
         at = parent[token]
         while vector.get(at) == own and at != parent.get(at):
             at = parent[at]
         outer.append(vector.get(at) if vector.get(at) != own else None)
-    return table.select(["host", "token", "pages", "vector"]).append_column("outer", pa.array(outer, pa.int64()))
+    return table.select(["host", "token", "pages", "vector"]).append_column("outer", pa.array(outer, pa.int64())).append_column("fixed", pa.array(fixed, pa.bool_()))
 
 
 def _extract(batches):
@@ -195,25 +206,25 @@ def _extract(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
+def _joined(pieces) -> str:
+    return " ".join(entities.unescape("".join(pieces)).split())
+
+
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """The main text of one page; template holds the token keys of its host's template."""
-    article: list[str] = []
-    main: list[str] = []
-    slots: list[str] = []
+    article: list[tuple[str, bool]] = []
+    main: list[tuple[str, bool]] = []
+    rest: list[tuple[str, bool]] = []
     for path, text, aside, in_article, in_main, glued in texts(page):
         if text is None or aside:
             continue
-        piece = text if glued else " " + text
-        if in_article:
-            article.append(piece)
-        elif in_main:
-            main.append(piece)
-        elif template and _key(path, " ".join(text.split())) in template:
-            continue
-        else:
-            slots.append(piece)
-    for pieces in (article, main, slots):
-        text = " ".join(entities.unescape("".join(pieces)).split())
+        slot = not template or _key(path, " ".join(text.split())) not in template
+        (article if in_article else main if in_main else rest).append((text if glued else " " + text, slot))
+    for pieces in (article, main, rest):
+        text = _joined(t for t, slot in pieces if slot)
+        if pieces is not rest and template:
+            whole = _joined(t for t, _ in pieces)
+            text = whole if len(text) < MIN_SHARE * len(whole) else text
         if text:
             return text
     return ""
@@ -221,7 +232,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
 
 def extract(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text and n_chars (code points of text) of each row of pages."""
-    held = templates(pages, share).groupBy("host").agg(F.collect_list("token").alias("template"))
+    held = templates(pages, share).where("fixed").groupBy("host").agg(F.collect_list("token").alias("template"))
     held = staged(held, "templates")
     own = textscan.bounded(pages).select("page_id", "url", "html", host(F.col("url")).alias("host"))
     rows = own.join(held, "host", "left").select("page_id", "url", "html", "template")
