@@ -11,7 +11,8 @@ some of them only, as the story of page copies, fills a slot there.  So do the t
 If a host's pages have no slot at all, they are copies of one page and have no template.
 
 A page's main text comes from the slots inside its article (else its main element); without
-either, from all slots.  An article (or main element) with less than half of its text in slots is a copy
+either, from all slots.  One inside an element that only a word in its class or id marks counts
+if there is no article outside such elements, and before a main element if it is longer.  An article (or main element) with less than half of its text in slots is a copy
 and is taken whole.  Elements that hold navigation, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or reader comments - by tag, role or class - are passed over.
 
@@ -38,7 +39,7 @@ from rasterloom.llm.staging import staged
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 # Elements, roles and words in classes or ids that mark other content than the article.
@@ -60,28 +61,28 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def _aside(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether the element marks other content, and its name with its classes."""
+def _aside(tag: str, attributes: str) -> tuple[int, str]:
+    """Whether the element marks other content (1 by a word in its class or id, 2 by tag or role), and its name with its classes."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
     name = f"{tag}.{found['class'].replace('/', '|')}" if found.get("class") else tag
-    if tag in ("html", "body", "main", "article"):
-        return False, name
+    if tag in ("html", "body", "main", "article") or found.get("role") == "main":
+        return 0, name
     words = set(_SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}"))
-    return tag in ASIDE_TAGS or found.get("role") in ASIDE_ROLES or bool(words & ASIDE_WORDS), name
+    return 2 if tag in ASIDE_TAGS or found.get("role") in ASIDE_ROLES else int(bool(words & ASIDE_WORDS)), name
 
 
 def texts(page: str):
-    """The page's elements and texts in order: (path, text or None for an element, aside, depth in article, depth in main, glued to the text before)."""
-    stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, path, aside, in article, in main
+    """The page's elements and texts in order: (path, text or None for an element, aside, in article, in main, glued to the text before, in an article or main inside an element marked by a word)."""
+    stack: list[tuple[str, str, int, bool, bool, bool]] = []  # tag, path, aside, in article, in main, inside a mark
     at, raw_end, lower = 0, None, None
     glued = False
-    top = ("", "", False, False, False)
+    top = ("", "", 0, False, False, False)
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
         here = stack[-1] if stack else top
         if m.start() > at:
-            yield here[1], page[at : m.start()], here[2], here[3], here[4], glued
+            yield here[1], page[at : m.start()], here[2], here[3], here[4], glued, here[5]
             glued = True
         at = m.end()
         tag = m[2]
@@ -122,11 +123,13 @@ def texts(page: str):
         here = stack[-1] if stack else top
         aside, name = _aside(tag, m[3])
         path = f"{here[1]}/{name}"
-        stack.append((tag, path, here[2] or aside, here[3] or tag == "article", here[4] or tag == "main" or 'role="main"' in m[3]))
-        yield path, None, stack[-1][2], stack[-1][3], stack[-1][4], False
+        article, main = tag == "article", tag == "main" or 'role="main"' in m[3]
+        freed = here[2] == 1 and not here[3] and (article or main and not here[4])
+        stack.append((tag, path, aside if freed else max(here[2], aside), here[3] or article, here[4] or main, here[5] or freed))
+        yield path, None, stack[-1][2], stack[-1][3], stack[-1][4], False, stack[-1][5]
     if at < len(page):
         here = stack[-1] if stack else top
-        yield here[1], page[at:], here[2], here[3], here[4], glued
+        yield here[1], page[at:], here[2], here[3], here[4], glued, here[5]
 
 
 def _key(path: str, text: str | None) -> int:
@@ -215,19 +218,20 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     article: list[tuple[str, bool]] = []
     main: list[tuple[str, bool]] = []
     rest: list[tuple[str, bool]] = []
-    for path, text, aside, in_article, in_main, glued in texts(page):
+    marked: list[tuple[str, bool]] = []
+    for path, text, aside, in_article, in_main, glued, inside in texts(page):
         if text is None or aside:
             continue
         slot = not template or _key(path, " ".join(text.split())) not in template
-        (article if in_article else main if in_main else rest).append((text if glued else " " + text, slot))
-    for pieces in (article, main, rest):
+        pieces = marked if inside else article if in_article else main if in_main else rest
+        pieces.append((text if glued else " " + text, slot))
+
+    def held(pieces) -> str:
         text = _joined(t for t, slot in pieces if slot)
-        if pieces is not rest and template:
-            whole = _joined(t for t, _ in pieces)
-            text = whole if len(text) < MIN_SHARE * len(whole) else text
-        if text:
-            return text
-    return ""
+        whole = _joined(t for t, _ in pieces) if template else text
+        return whole if len(text) < MIN_SHARE * len(whole) else text
+
+    return held(article) or max(held(main), held(marked), key=len) or _joined(t for t, slot in rest if slot)
 
 
 def extract(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:

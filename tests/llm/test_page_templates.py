@@ -27,3 +27,18 @@ def test_template_texts_inside_articles_go(spark):
     got = found(spark, rows)
     assert [got[i] for i in range(4)] == [f"Head {i} A story of some length about {i}." for i in range(4)]
     assert [got[10 + i] for i in range(2)] == [f"A long text that both pages have. {i}" for i in range(2)]
+
+
+def test_words_in_classes_do_not_reach_articles():
+    for name in ("has-sidebar", "no-sidebar", "content-with-nav", "social-page"):
+        for own in ("article", "main"):
+            page = f"<body><div class='{name}'><p>Menu</p><{own}><p>Story</p><div class='comments'>Nice</div></{own}></div></body>"
+            assert html_extract.main_text(page) == "Story"
+    assert html_extract.main_text("<article>Story<div class='comments'><article>Nice</article></div></article>") == "Story"
+    assert html_extract.main_text("<article>Story</article><div class='related'><article>Read this longer one</article></div>") == "Story"
+    assert html_extract.main_text("<main><p>The story</p></main><div class='related'><article>Teaser</article></div>") == "The story"
+    assert html_extract.main_text("<aside><article>Teaser</article></aside><p>Story</p>") == "Story"
+
+
+def test_math_is_kept():
+    assert html_extract.main_text("<article>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</article>") == "If x = 2 holds"
