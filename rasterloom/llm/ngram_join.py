@@ -229,6 +229,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     return _found(docs, threshold, size, recall).select("doc_id", "class_id", "copy_of", "n_links")
 
 
+def classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
+    """doc_id, text_key (xxhash64 of the text) and class_id of each different row of docs; a row with a null doc_id goes by its text_key."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id"), "text")
+    return _found(rows, threshold, size, recall).select("doc_id", "text_key", "class_id").dropDuplicates(["doc_id", "text_key"])
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
     """The rows of docs without near duplicates: one row of each group stays, that with the smallest doc_id.
 

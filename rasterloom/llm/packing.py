@@ -8,7 +8,8 @@ bin is opened.  A bin carries its sources and clusters as bitmaps.
 
 The corpus is dealt by a hash of the id into shards of about `SHARD` documents, so a hot
 source or cluster is spread over all shards and each shard is packed by one task in bounded
-memory.  Texts do not move: only (id, words, source, cluster) rows are shuffled.
+memory.  Texts do not move: only (id, words, source, cluster) rows are shuffled; a table of
+near-duplicate classes meets them there.
 
 A source has one bit in a shard, a cluster one if it has several documents there.  Null
 sources conflict with nothing.  The default cluster is the exact text.
@@ -101,11 +102,18 @@ def _pack(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, cluster: str | None = None) -> DataFrame:
-    """One row for each piece of each row of docs: doc_id, piece, start and n_words (in words), bin, offset in the bin."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, cluster: str | None = None, classes: DataFrame | None = None) -> DataFrame:
+    """One row for each piece of each row of docs: doc_id, piece, start and n_words (in words), bin, offset in the bin.
+
+    classes (doc_id, text_key, class_id) names the clusters of the default ones' texts, as ngram_join.classes gives them.
+    """
     shards = max(1, -(-docs.count() // shard))
     key = F.col(cluster).cast("string") if cluster else F.xxhash64("text").cast("string")
     rows = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce("text", F.lit("")).alias("text"), key.alias("cluster"))
     rows = rows.mapInArrow(_words, "doc_id long, source string, cluster string, n_words long")
+    if classes is not None:
+        own = classes.select(F.col("doc_id").alias("_id"), F.col("text_key").cast("string").alias("cluster"), F.col("class_id").cast("string").alias("_class"))
+        rows = rows.withColumn("_id", F.coalesce("doc_id", F.col("cluster").cast("long"))).join(own, ["_id", "cluster"], "left")
+        rows = rows.select("doc_id", "source", F.coalesce("_class", "cluster").alias("cluster"), "n_words")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(17)), F.lit(shards)).cast("int"))
     return rows.groupBy("shard").applyInArrow(_pack(capacity), RESULT)

@@ -30,7 +30,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, classes=ngram_join.classes(docs))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
