@@ -10,12 +10,15 @@ value of the document, and the other way round; alignments that break this don't
 A document holds an item if it matches `LEAST` different windows of it (13 words in a row do),
 or all windows of a shorter item.
 
+Items with at most `LEAST` windows that count - short ones and those mostly of numbers and names - are
+also searched literally, by their lower-cased words without punctuation: in windows of `WINDOW`
+words, of which `LEAST` or all must match, or as a whole if they have fewer words.
+
 Only the exploded windows meet the benchmark's, which are broadcast after a check of their
 number (`BROADCAST_WINDOWS`; beyond it the join shuffles).  Nothing is grouped before the join,
 so hot sources or passages cost no more than others.
 
-Defined results.  Null and empty texts and those under `WINDOW` words match nothing; items under
-`WINDOW` words are not searched; windows with under `LITERALS` ordinary words do not count.
+Defined results.  Null and empty texts and items without words match nothing; template windows with under `LITERALS` ordinary words do not count.
 Rows with a null doc_id are not reported.  Repeated doc_ids are reported once.  Items of equal
 text are each reported.  Other columns are ignored.
 """
@@ -100,6 +103,27 @@ def _consistent(docs: DataFrame, benchmark: DataFrame, slotted: DataFrame, size:
     return each.where("n = na and n = nb").select("doc_id", "item_id", "shift").distinct()
 
 
+def _literal(texts: DataFrame, items: DataFrame, windows: DataFrame, size: int, least: int) -> DataFrame | None:
+    """doc_id, item_id, n_matched, n_windows by literal words, of the items with at most `least` template windows; None without such items."""
+    many = windows.where(F.col("item_windows") > least).select("item_id").distinct()
+    few = items.join(many, "item_id", "left_anti").select("item_id", _words(_bare(_spaced(F.col("text")))).alias("words"))
+    few = few.where(F.array_join("words", "") != "").withColumn("width", F.least(F.size("words"), F.lit(size)))
+    widths = sorted(r["width"] for r in few.select("width").distinct().collect())  # `size` rows at most
+    if not widths:
+        return None
+    own = texts.select("doc_id", _words(_bare(_spaced(F.col("text")))).alias("words"))
+    found = None
+    for width in widths:
+        wanted = few.where(F.col("width") == width).select("item_id", F.posexplode(_windows(F.col("words"), width)).alias("ip", "hash"))
+        wanted = staged(wanted.join(wanted.groupBy("item_id").agg(F.countDistinct("ip").alias("item_windows")), "item_id"), "literal-windows")
+        small = wanted.count() <= BROADCAST_WINDOWS
+        held = own.select("doc_id", F.explode(_windows(F.col("words"), width)).alias("hash"))
+        hits = held.join(F.broadcast(wanted) if small else wanted, "hash").select("doc_id", "item_id", "ip", "item_windows")
+        found = hits if found is None else found.unionByName(hits)
+    pairs = found.groupBy("doc_id", "item_id").agg(F.countDistinct("ip").alias("n_matched"), F.max("item_windows").alias("n_windows"))
+    return pairs.where(F.col("n_matched") >= F.least(F.lit(least), F.col("n_windows")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least: int = LEAST) -> DataFrame:
     """doc_id, item_id, n_matched (windows of the item found), n_windows (windows of the item) of each item that a document holds."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null").dropDuplicates()
@@ -116,7 +140,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, leas
         slotted = slotted.withColumn("shift", F.col("dp") - F.col("ip")).join(fine, ["doc_id", "item_id", "shift"], "left_semi")
         good = good.unionByName(slotted.select("doc_id", "item_id", "ip", "item_windows"))
     pairs = good.groupBy("doc_id", "item_id").agg(F.countDistinct("ip").alias("n_matched"), F.max("item_windows").alias("n_windows"))
-    return pairs.where(F.col("n_matched") >= F.least(F.lit(least), F.col("n_windows")))
+    pairs = pairs.where(F.col("n_matched") >= F.least(F.lit(least), F.col("n_windows")))
+    literal = _literal(texts, items, windows, size, least)
+    if literal is None:
+        return pairs
+    pairs = staged(pairs, "template-pairs")
+    return pairs.unionByName(literal.join(pairs, ["doc_id", "item_id"], "left_anti").select(*pairs.columns))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
