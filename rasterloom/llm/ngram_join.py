@@ -139,7 +139,10 @@ def shared_counts(sets: list[np.ndarray], left: int) -> np.ndarray:
 
 
 def _verify(threshold: float, batch: pa.Table) -> pa.Table:
-    """Links within a block, or between two: counts for each node and a spanning forest of the links."""
+    """Links within a block, or between two: counts for each node and a spanning forest of the links.
+
+    A pair of blocks of which one is empty has none: those within the other are counted in its own task.
+    """
     batch = batch.combine_chunks().sort_by([("side", "ascending"), ("node", "ascending")])
     node = batch["node"].to_numpy()
     side = batch["side"].to_numpy()
@@ -147,6 +150,9 @@ def _verify(threshold: float, batch: pa.Table) -> pa.Table:
     flat = batch["grams"].chunk(0) if batch["grams"].num_chunks else batch["grams"].combine_chunks()
     sets = [flat[i].values.to_numpy() for i in range(len(node))]
     split = bool(side[-1] != side[0])
+    if not split and batch["p"][0] != batch["q"][0]:
+        none = pa.array([], pa.int64())
+        return pa.table({"node": none, "root": none, "links": none})
     left = int((side == side[0]).sum())
     shared = shared_counts(sets, left)
     sizes = np.array([len(s) for s in sets], dtype=np.float32)

@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from rasterloom.llm import ngram_join, queries
 
 
@@ -23,3 +21,14 @@ def test_near_copies_share_no_bin(spark, documents, tmp_path):
         bins.setdefault(r["bin"], []).append(group[r["doc_id"]])
     assert sum(map(len, bins.values())) == len(rows)
     assert all(len(own) == len(set(own)) for own in bins.values())
+
+
+def test_giant_near_copies_count_their_links_once(spark, documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 60)  # two copies of 96 shingles need four blocks
+    rng = random.Random(6)
+    rows = []
+    for _ in range(24):
+        base = [f"w{rng.randrange(500)}" for _ in range(100)]
+        rows += [(len(rows) + c, " ".join([*base[:-1], f"end{c}"])) for c in range(2)]
+    found = ngram_join.near_duplicates(documents(rows)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == {d: (d - d % 2, 1) for d, _ in rows}
