@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -223,6 +225,29 @@ def test_topk_equals_brute_force(spark, rows, asked):
     assert [r["rank"] for r in sorted(few, key=lambda r: r["rank"])] == [1, 2]
 
 
+def test_topk_of_large_values_equals_whole_numbers(spark):
+    rng = random.Random(7)
+    large = [1e7, 4e9, -4e9, 3e38, -3e38, 1e9 + 0.3, 2.0**40, 0.01, 0.0, 1.7e308, -1.7e308, 2.0**54 + 4]
+    data = [(i, [rng.choice(large) * rng.choice([1, 0.5, -1]) for _ in range(4)]) for i in range(60)]
+    data += [(100, [1e7, 0.0]), (101, [1e8, 0.0]), (102, [8.4e6, 0.0]), (103, [8.388608e6, 0.0]), (150, [1e9] * 4), (151, [-1e9] * 4), (152, [1e9] * 4)]
+    for kind in ("double", "float"):
+        frame = spark.createDataFrame(data, f"vec_id long, embedding array<{kind}>")
+        rows = {r["vec_id"]: [int(Fraction(x) * 256 // 1) for x in r["embedding"]] for r in frame.collect() if all(map(math.isfinite, r["embedding"]))}
+        got = {}
+        for r in topk.search(frame, F.col("vec_id") % 50 == 0, 5, 16, 2).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+        dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=False))
+        for i, q in rows.items():
+            if i % 50 == 0:
+                best = sorted(((dot(q, v), j) for j, v in rows.items() if j != i), key=lambda p: (-p[0], p[1]))[:5]
+                assert got[i] == [(max(-(2**63), min(2**63 - 1, s)), j) for s, j in best]
+
+
+def test_bytes_of_scores_sort_as_the_scores():
+    scores = sorted({s * (2**e + d) for e in (0, 1, 7, 8, 15, 16, 62, 63, 64, 2100) for d in (-1, 0, 1) for s in (1, -1)} | {0})
+    assert sorted(scores, key=topk.ordered_bytes) == scores
+
+
 def test_threshold_search_stops_early_and_is_right():
     rng = np.random.default_rng(1)
     values = np.abs(rng.normal(size=(4000, 2)) * 100).astype(np.int64)
