@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from rasterloom.functions import energy
 from rasterloom.operators.raster import neighbours
 
 RIDGE, LEAST_EIGEN = 0.001, 1e-12
+REACH = 7.0  # beyond it a Gaussian weight is under 2.3e-11
 
 
 def _gaussian(sums: DataFrame, key: str) -> DataFrame:
@@ -111,14 +112,26 @@ def kmeans(points: DataFrame, k: int, rounds: int = 50, tolerance: float = 1e-6)
     return spark.createDataFrame(centres, "k int, c1 double, c2 double")
 
 
+def _with_classes(pixels: DataFrame, gmm: DataFrame, key: str) -> DataFrame:
+    """pixels with classes, one array of the class parameters: a row a class, so they travel as one broadcast row and no pixel is shuffled."""
+    held = gmm.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), "prior", "mu1", "mu2", "i11", "i12", "i22", "cov_det"))).alias("classes"))
+    return pixels.crossJoin(F.broadcast(held))
+
+
+def _distance(c: Column) -> Column:
+    """Squared Mahalanobis distance of a pixel from a class."""
+    d1, d2 = F.col("hh") - c["mu1"], F.col("hv") - c["mu2"]
+    return c["i11"] * d1 * d1 + 2 * c["i12"] * d1 * d2 + c["i22"] * d2 * d2
+
+
 def em_step(pixels: DataFrame, gmm: DataFrame, key: str = "k") -> DataFrame:
-    """Class parameters after one expectation-maximisation step over pixels (row, col, hh, hv)."""
-    classes = F.broadcast(gmm.select(F.col(key), "prior", "mu1", "mu2", "i11", "i12", "i22", "cov_det"))
-    d1, d2 = F.col("hh") - F.col("mu1"), F.col("hv") - F.col("mu2")
-    log = F.log("prior") - F.log("cov_det") - 0.5 * (F.col("i11") * d1 * d1 + 2 * F.col("i12") * d1 * d2 + F.col("i22") * d2 * d2)
-    whole = W.partitionBy("row", "col")
-    scored = pixels.crossJoin(classes).withColumn("l", log).withColumn("p", F.exp(F.col("l") - F.max("l").over(whole)))
-    scored = scored.withColumn("p", F.col("p") / F.sum("p").over(whole))
+    """Class parameters after one expectation-maximisation step over pixels (hh, hv) of one model."""
+    held = _with_classes(pixels.select("hh", "hv"), gmm, key)
+    held = held.withColumn("l", F.transform("classes", lambda c: F.log(c["prior"]) - F.log(c["cov_det"]) - 0.5 * _distance(c)))
+    held = held.withColumn("top", F.array_max("l")).withColumn("e", F.transform("l", lambda x: F.exp(x - F.col("top"))))
+    held = held.withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
+    parts = F.arrays_zip(F.transform("classes", lambda c: c["k"]).alias("k"), F.transform("e", lambda x: x / F.col("total")).alias("p"))
+    scored = held.select("hh", "hv", F.explode(parts).alias("part")).select("hh", "hv", F.col("part.k").alias(key), F.col("part.p").alias("p"))
     n = F.sum("p")
     mean = lambda x: F.sum(F.col("p") * x) / n
     hh, hv = F.col("hh"), F.col("hv")
@@ -138,27 +151,29 @@ def em(pixels: DataFrame, start: DataFrame, rounds: int = 20, tolerance: float =
     return gmm
 
 
-def assign_pixels(pixels: DataFrame, gmm: DataFrame, key: str = "k") -> DataFrame:
-    """row, col, class of largest likelihood of each pixel."""
-    classes = F.broadcast(gmm.select(F.col(key).alias("candidate"), "prior", "mu1", "mu2", "i11", "i12", "i22", "cov_det"))
-    d1, d2 = F.col("hh") - F.col("mu1"), F.col("hv") - F.col("mu2")
-    u = F.log("cov_det") - F.log("prior") + 0.5 * (F.col("i11") * d1 * d1 + 2 * F.col("i12") * d1 * d2 + F.col("i22") * d2 * d2)
-    return pixels.crossJoin(classes).groupBy("row", "col").agg(F.min_by("candidate", F.struct(u, "candidate")).alias("class"))
+def _least(energy_of) -> Column:
+    """The class of least energy, the smallest on ties."""
+    return F.array_min(F.transform("classes", lambda c: F.struct(energy_of(c).alias("u"), c["k"].alias("k"))))["k"]
+
 
+def assign_pixels(pixels: DataFrame, gmm: DataFrame, key: str = "k", image: list[str] | None = None) -> DataFrame:
+    """row, col, class of largest likelihood of each pixel, after the image's columns; each row is judged on its own."""
+    best = _least(lambda c: F.log(c["cov_det"]) - F.log(c["prior"]) + 0.5 * _distance(c))
+    return _with_classes(pixels, gmm, key).select(*(image or []), "row", "col", best.alias("class"))
 
-def mrf_sweep(pixels: DataFrame, gmm: DataFrame, beta: float, parity: int, key: str = "k") -> DataFrame:
+
+def mrf_sweep(pixels: DataFrame, gmm: DataFrame, beta: float, parity: int, key: str = "k", image: list[str] | None = None) -> DataFrame:
     """One conditional-mode sweep over the pixels of one colour of a 2 x 2 colouring; others keep their class.
 
     No two pixels of a colour are neighbours, so all of them may change at once without the energy rising.
     """
-    near = neighbours(pixels, key).groupBy("row", "col", F.col("other").alias("candidate")).agg(F.count("*").alias("same"))
-    classes = F.broadcast(gmm.select(F.col(key).alias("candidate"), "mu1", "mu2", "i11", "i12", "i22", "cov_det"))
-    own = pixels.where((F.col("row") % 2 * 2 + F.col("col") % 2) == parity)
-    d1, d2 = F.col("hh") - F.col("mu1"), F.col("hv") - F.col("mu2")
-    unary_energy = F.log("cov_det") + 0.5 * (F.col("i11") * d1 * d1 + 2 * F.col("i12") * d1 * d2 + F.col("i22") * d2 * d2)
-    scored = own.crossJoin(classes).join(near, ["row", "col", "candidate"], "left").withColumn("u", F.round(unary_energy - beta * F.coalesce("same", F.lit(0)), 9))
-    best = scored.groupBy("row", "col").agg(F.min_by("candidate", F.struct("u", "candidate")).alias("new"))
-    return pixels.join(best, ["row", "col"], "left").withColumn(key, F.coalesce("new", key)).drop("new")
+    place = [*(image or []), "row", "col"]
+    near = neighbours(pixels, key, image=image).groupBy(*place).agg(F.collect_list("other").alias("around"))  # eight at most
+    same = lambda c: F.size(F.filter(F.coalesce("around", F.array().cast("array<int>")), lambda o: o == c["k"]))
+    best = _least(lambda c: F.round(F.log(c["cov_det"]) + 0.5 * _distance(c) - beta * same(c), 9))
+    turn = (F.col("row") % 2 * 2 + F.col("col") % 2) == parity
+    held = _with_classes(pixels.join(near, place, "left"), gmm, key)
+    return held.withColumn(key, F.when(turn, best).otherwise(F.col(key))).drop("around", "classes")
 
 
 def segment_statistics(pixels: DataFrame, key: str = "k") -> DataFrame:
@@ -168,8 +183,16 @@ def segment_statistics(pixels: DataFrame, key: str = "k") -> DataFrame:
     )
 
 
-def gauss_transform(points: DataFrame, features: list[str], value: str) -> DataFrame:
-    """Exact Gauss transform of a small point set: each point's sum of values weighted by exp(-distance squared / 2)."""
-    other = points.select(F.col("id").alias("j"), *[F.col(f).alias(f"{f}_j") for f in features], F.col(value).alias("w"))
+def gauss_transform(points: DataFrame, features: list[str], value: str, reach: float = REACH) -> DataFrame:
+    """Gauss transform: each point's sum of values weighted by exp(-distance squared / 2).
+
+    Points meet those of their own and the adjoining cells of side `reach` by an equality join; what lies
+    farther would add less than exp(-reach**2 / 2) of its value.
+    """
+    cell = [F.floor(F.col(f) / reach).alias(f"{f}_cell") for f in features]
+    other = points.select(*[F.col(f).alias(f"{f}_j") for f in features], F.col(value).alias("w"), *cell)
+    for f in features:
+        other = other.withColumn(f"{f}_cell", F.explode(F.array(*[F.col(f"{f}_cell") + d for d in (-1, 0, 1)])))
     distance = sum(F.pow(F.col(f) - F.col(f"{f}_j"), 2) for f in features)
-    return points.crossJoin(other).groupBy("id").agg(F.sum(F.col("w") * F.exp(-0.5 * distance)).alias("g"))
+    near = points.select("id", *features, *cell).join(other, [f"{f}_cell" for f in features])
+    return near.groupBy("id").agg(F.sum(F.col("w") * F.exp(-0.5 * distance)).alias("g"))

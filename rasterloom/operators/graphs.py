@@ -15,7 +15,7 @@ def degrees(edges: DataFrame) -> DataFrame:
     return directed(edges).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree"))
 
 
-def _cut(frame: DataFrame) -> DataFrame:
+def cut(frame: DataFrame) -> DataFrame:
     """Cuts the lineage by a checkpoint in the cluster's shared folder."""
     context = frame.sparkSession.sparkContext
     if not context.getConf().get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
@@ -30,14 +30,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Every round at least halves the nodes of each component, also along chains.
     """
-    rest = _cut(edges.where("a <> b").select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct())
+    rest = cut(edges.where("a <> b").select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct())
     names = None
     while not rest.isEmpty():
         hook = directed(rest).groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component"))
-        hook = _cut(hook)
+        hook = cut(hook)
         while True:
             step = hook.select(F.col("node").alias("component"), F.col("component").alias("next"))
-            further = _cut(hook.join(step, "component").select("node", F.col("component").alias("before"), F.col("next").alias("component")))
+            further = cut(hook.join(step, "component").select("node", F.col("component").alias("before"), F.col("next").alias("component")))
             if further.where("component <> before").isEmpty():
                 break
             hook = further.drop("before")
@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             names = hook
         else:
             step = hook.select(F.col("node").alias("component"), F.col("component").alias("next"))
-            names = _cut(names.join(step, "component", "left").select("node", F.coalesce("next", "component").alias("component")))
+            names = cut(names.join(step, "component", "left").select("node", F.coalesce("next", "component").alias("component")))
         ends = rest.join(hook.select(F.col("node").alias("a"), F.col("component").alias("x")), "a").join(hook.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
-        rest = _cut(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        rest = cut(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     return names if names is not None else edges.sparkSession.createDataFrame([], "node long, component long")

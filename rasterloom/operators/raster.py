@@ -244,11 +244,17 @@ def window_columns(size: Column, patch: int, overlap: float) -> Column:
 def window_members(pixels: DataFrame, rows: list[tuple[int, int]], cols: list[tuple[int, int]]) -> DataFrame:
     """pixels with wr and wc, the windows that hold them (several where windows overlap).
 
-    Membership is found per pixel from the window bounds, so no range join is needed.
+    The bounds are those of `windows`: all but the last are a stride apart, so a pixel's windows come
+    from its place by arithmetic, however many windows there are.
     """
+
     def own(axis: str, bounds: list[tuple[int, int]]) -> Column:
-        held = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(bounds)])
-        return F.explode(F.transform(F.filter(held, lambda w: (F.col(axis) >= w["a"]) & (F.col(axis) < w["b"])), lambda w: w["i"]))
+        last, crop = len(bounds) - 1, bounds[0][1] - bounds[0][0]
+        stride, x = bounds[1][0] if last > 1 else 1, F.col(axis)
+        first = F.greatest(F.lit(0), F.floor((x - crop) / stride) + 1).cast("int")
+        final = F.least(F.lit(last - 1), F.floor(x / stride)).cast("int")
+        regular = F.when(first <= final, F.sequence(first, final)).otherwise(F.array().cast("array<int>"))
+        return F.explode(F.concat(regular, F.when((x >= bounds[last][0]) & (x < bounds[last][1]), F.array(F.lit(last))).otherwise(F.array().cast("array<int>"))))
 
     return pixels.withColumn("wr", own("row", rows)).withColumn("wc", own("col", cols))
 

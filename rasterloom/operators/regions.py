@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rasterloom.functions import energy
-from rasterloom.operators.graphs import connected_components
+from rasterloom.operators.graphs import connected_components, cut
 from rasterloom.operators.raster import NEIGHBOURS8, neighbours
 
 BOUNDARY = -2
@@ -26,12 +26,13 @@ def region_stats(pixels: DataFrame, image: list[str] | None = None) -> DataFrame
     )
 
 
-def border_regions(pixels: DataFrame, height: int, width: int, masked: Column) -> DataFrame:
+def border_regions(pixels: DataFrame, height: int, width: int, masked: Column, image: list[str] | None = None) -> DataFrame:
     """Regions with a pixel at the image edge or next to a masked pixel."""
+    image = image or []
     own = pixels.where("region >= 0")
-    edge = own.where((F.col("row") == 0) | (F.col("col") == 0) | (F.col("row") == height - 1) | (F.col("col") == width - 1)).select("region")
-    near = neighbours(pixels.withColumn("masked", masked).withColumn("pair", F.struct("region", "masked")), "pair")
-    return edge.unionByName(near.where("other.masked and pair.region >= 0").select("pair.region")).distinct()
+    edge = own.where((F.col("row") == 0) | (F.col("col") == 0) | (F.col("row") == height - 1) | (F.col("col") == width - 1)).select(*image, "region")
+    near = neighbours(pixels.withColumn("masked", masked).withColumn("pair", F.struct("region", "masked")), "pair", image=image)
+    return edge.unionByName(near.where("other.masked and pair.region >= 0").select(*image, "pair.region")).distinct()
 
 
 def boundary_sites(pixels: DataFrame, image: list[str] | None = None) -> DataFrame:
@@ -62,9 +63,9 @@ def with_ends(edges: DataFrame, regions: DataFrame, columns: list[str]) -> DataF
     return edges.join(one("a"), "a").join(one("b"), "b")
 
 
-def edge_strengths(sites: DataFrame, strength: DataFrame, bins: int = 256) -> DataFrame:
+def edge_strengths(sites: DataFrame, strength: DataFrame, bins: int = 256, image: list[str] | None = None) -> DataFrame:
     """bin, share of the boundary pixels by strength, in bins up to the largest."""
-    rows = sites.join(strength, ["row", "col"])
+    rows = sites.join(strength, [*(image or []), "row", "col"])
     top = rows.agg(F.max("g").alias("top"), F.count("*").alias("total"))
     place = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("g"), F.col("top") / bins)).cast("int"))
     return rows.crossJoin(F.broadcast(top)).groupBy(place.alias("bin")).agg((F.count("*") / F.first("total")).alias("share"), F.first("top").alias("top"))
@@ -78,10 +79,10 @@ def schedule(histogram: DataFrame, iteration: int, bins: int = 256) -> DataFrame
     return cum.agg(first.alias("bin"), F.max("top").alias("top")).select(F.coalesce((F.col("bin") + 0.5) * F.col("top") / bins, F.col("top")).alias("k"))
 
 
-def edge_penalties(sites: DataFrame, strength: DataFrame, k: Column, beta: Column) -> DataFrame:
+def edge_penalties(sites: DataFrame, strength: DataFrame, k: Column, beta: Column, image: list[str] | None = None) -> DataFrame:
     """a, b, length, penalty: beta times the sum of the sites' penalties."""
-    rows = sites.join(strength, ["row", "col"])
-    return rows.groupBy("a", "b").agg(F.count("*").alias("length"), (F.sum(energy.site_penalty(F.col("g"), k)) * beta).alias("penalty"))
+    rows = sites.join(strength, [*(image or []), "row", "col"])
+    return rows.groupBy(*(image or []), "a", "b").agg(F.count("*").alias("length"), (F.sum(energy.site_penalty(F.col("g"), k)) * beta).alias("penalty"))
 
 
 MOMENTS = ["n", "m1", "m2", "c11", "c12", "c22"]
@@ -130,10 +131,11 @@ def contract(edges: DataFrame, merges: DataFrame) -> DataFrame:
     return moved.groupBy("a", "b").agg(F.sum("length").alias("length"), F.sum("penalty").alias("penalty"))
 
 
-def merge_lut(old: DataFrame, new: DataFrame) -> DataFrame:
+def merge_lut(old: DataFrame, new: DataFrame, image: list[str] | None = None) -> DataFrame:
     """old, new: the new label of each old region, by its last pixel in raster order."""
-    pixels = old.select("row", "col", F.col("region").alias("old")).join(new.select("row", "col", F.col("region").alias("new")), ["row", "col"])
-    return pixels.where("old >= 0 and new >= 0").groupBy("old").agg(F.max_by("new", F.struct("row", "col")).alias("new"))
+    place = [*(image or []), "row", "col"]
+    pixels = old.select(*place, F.col("region").alias("old")).join(new.select(*place, F.col("region").alias("new")), place)
+    return pixels.where("old >= 0 and new >= 0").groupBy(*(image or []), "old").agg(F.max_by("new", F.struct("row", "col")).alias("new"))
 
 
 def relabel(pixels: DataFrame, label: str = "region", image: list[str] | None = None) -> DataFrame:
@@ -150,51 +152,64 @@ def sort_by_mean(regions: DataFrame, image: list[str] | None = None) -> DataFram
     return regions.select(*image, "region", (F.row_number().over(W.partitionBy(*image).orderBy("m1", "region")) - 1).alias("place"))
 
 
-def components(pixels: DataFrame, label: str, connect4: bool = False) -> DataFrame:
+def components(pixels: DataFrame, label: str, connect4: bool = False, image: list[str] | None = None) -> DataFrame:
     """row, col, component: connected pixels of equal label, named by their first pixel in raster order.
 
     Runs along rows are found first by a window, so only runs take part in the
-    contraction of the pairs that touch from row to row.
+    contraction of the pairs that touch from row to row.  In several images the runs are numbered
+    by image, row and column, and a component's first run gives it its name within the image.
     """
-    line = W.partitionBy("row").orderBy("col")
+    image = image or []
+    line = W.partitionBy(*image, "row").orderBy("col")
     fresh = (F.lag(label).over(line).isNull()) | (F.lag(label).over(line) != F.col(label)) | (F.lag("col").over(line) != F.col("col") - 1)
     place = F.col("row").cast("long") * (1 << 31) + F.col("col")
     runs = pixels.where(F.col(label) >= 0).withColumn("start", F.when(fresh, place)).withColumn("run", F.max("start").over(line.rowsBetween(W.unboundedPreceding, 0)))
-    runs = runs.select("row", "col", label, "run")
-    near = neighbours(runs.withColumn("v", F.struct(label, "run")), "v", ((-1, 0),) if connect4 else ((-1, -1), (-1, 0), (-1, 1)))
+    runs = runs.select(*image, "row", "col", label, "run")
+    if image:  # numbers that are unique over all images and rise with the run within each
+        heads = runs.where(F.col("run") == F.col("row").cast("long") * (1 << 31) + F.col("col")).select(*image, "run").repartitionByRange(*image, "run").sortWithinPartitions(*image, "run")
+        heads = cut(heads.withColumn("number", F.monotonically_increasing_id()))
+        runs = runs.withColumnRenamed("run", "start").join(heads.withColumnRenamed("run", "start"), [*image, "start"]).withColumnRenamed("number", "run")
+    near = neighbours(runs.withColumn("v", F.struct(label, "run")), "v", ((-1, 0),) if connect4 else ((-1, -1), (-1, 0), (-1, 1)), image)
     edges = near.where(F.col(f"v.{label}") == F.col(f"other.{label}")).select(F.col("v.run").alias("a"), F.col("other.run").alias("b"))
     found = connected_components(edges)
-    return runs.join(found.withColumnRenamed("node", "run"), "run", "left").select("row", "col", F.coalesce("component", "run").alias("component"))
+    named = runs.join(found.withColumnRenamed("node", "run"), "run", "left").withColumn("component", F.coalesce("component", "run"))
+    if not image:
+        return named.select("row", "col", "component")
+    first = heads.select(F.col("number").alias("component"), F.col("run").alias("name"))
+    return named.join(first, "component").select(*image, "row", "col", F.col("name").alias("component"))
 
 
-def fill_boundaries(pixels: DataFrame, means: DataFrame, label: str = "k") -> DataFrame:
+def fill_boundaries(pixels: DataFrame, means: DataFrame, label: str = "k", image: list[str] | None = None) -> DataFrame:
     """Boundary pixels get a neighbour's class: the only one, or of several the one of nearest mean; all at once, from the old map."""
+    place = [*(image or []), "row", "col"]
     held = pixels.withColumn("v", F.struct(label, "hh", "hv"))
-    near = neighbours(held, "v").where(f"v.{label} < 0 and other.{label} >= 0").select("row", "col", "v.hh", "v.hv", F.col(f"other.{label}").alias("c")).distinct()
+    near = neighbours(held, "v", image=image).where(f"v.{label} < 0 and other.{label} >= 0").select(*place, "v.hh", "v.hv", F.col(f"other.{label}").alias("c")).distinct()
     scored = near.join(F.broadcast(means.select(F.col(label).alias("c"), "m1", "m2")), "c")  # a row a class
     distance = F.pow(F.col("hh") - F.col("m1"), 2) + F.pow(F.col("hv") - F.col("m2"), 2)
-    best = scored.groupBy("row", "col").agg(F.min_by("c", F.struct(distance, "c")).alias("filled"))
-    return pixels.join(best, ["row", "col"], "left").withColumn("filled", F.when(F.col(label) >= 0, F.col(label)).otherwise(F.coalesce("filled", F.col(label))))
+    best = scored.groupBy(*place).agg(F.min_by("c", F.struct(distance, "c")).alias("filled"))
+    return pixels.join(best, place, "left").withColumn("filled", F.when(F.col(label) >= 0, F.col(label)).otherwise(F.coalesce("filled", F.col(label))))
 
 
-def boundary_flags(pixels: DataFrame, label: str = "k") -> DataFrame:
+def boundary_flags(pixels: DataFrame, label: str = "k", image: list[str] | None = None) -> DataFrame:
     """For each pixel: unlike (a neighbour of another label), candidates (the classes of its neighbours, smallest first),
     two_regions (two or more labels around it) and inner (the same over the four nearest)."""
-    near = neighbours(pixels, label)
+    place = [*(image or []), "row", "col"]
+    near = neighbours(pixels, label, image=image)
     straight = F.col("nbr").isin(0, 2, 4, 6)
     valid = F.col("other") >= 0
-    found = near.groupBy("row", "col").agg(
+    found = near.groupBy(*place).agg(
         F.max(F.col(label) != F.col("other")).alias("unlike"),
         F.array_sort(F.collect_set(F.when(valid, F.col("other")))).alias("candidates"),
         (F.count_distinct(F.when(valid, F.col("other"))) >= 2).alias("two_regions"),
         (F.count_distinct(F.when(valid & straight, F.col("other"))) >= 2).alias("inner"),
     )
-    return pixels.select("row", "col").join(found, ["row", "col"], "left")
+    return pixels.select(*place).join(found, place, "left")
 
 
-def class_map_ratio(pixels: DataFrame, label: str = "k") -> DataFrame:
+def class_map_ratio(pixels: DataFrame, label: str = "k", image: list[str] | None = None) -> DataFrame:
     """Boundary pixels (label < 0) that touch two or more classes, over all pixels, one row."""
-    flags = boundary_flags(pixels, label).join(pixels.select("row", "col", label), ["row", "col"])
+    place = [*(image or []), "row", "col"]
+    flags = boundary_flags(pixels, label, image).join(pixels.select(*place, label), place)
     return flags.agg((F.count_if((F.col(label) < 0) & F.col("two_regions")) / F.count("*")).alias("ratio"))
 
 
@@ -209,9 +224,10 @@ def shape_matches(labels: DataFrame, scenes: DataFrame) -> DataFrame:
     return scenes.join(found, "scene", "left").select("scene", F.coalesce((F.col("h") == F.col("n_rows")) & (F.col("w") == F.col("n_cols")), F.lit(False)).alias("matches"))
 
 
-def difference(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
+def difference(a: DataFrame, b: DataFrame, value: str, image: list[str] | None = None) -> DataFrame:
     """n pixels that differ or exist in one image only, one row; 0 for equal images."""
-    both = a.select("row", "col", F.col(value).alias("x"), F.lit(1).alias("in_a")).join(b.select("row", "col", F.col(value).alias("y"), F.lit(1).alias("in_b")), ["row", "col"], "full")
+    place = [*(image or []), "row", "col"]
+    both = a.select(*place, F.col(value).alias("x"), F.lit(1).alias("in_a")).join(b.select(*place, F.col(value).alias("y"), F.lit(1).alias("in_b")), place, "full")
     return both.agg(F.count_if(F.col("in_a").isNull() | F.col("in_b").isNull() | ~F.col("x").eqNullSafe(F.col("y"))).alias("n"))
 
 

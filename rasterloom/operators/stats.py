@@ -7,6 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rasterloom.functions.radiometry import finite
+from rasterloom.operators.graphs import cut
+
+SKETCH = 10_000
+BROADCAST_KEYS = 10_000
 
 
 def channels(frame: DataFrame, bands: dict[str, str], keys: list[str]) -> DataFrame:
@@ -37,21 +41,35 @@ def finalize(partials: DataFrame) -> DataFrame:
 def exact_percentiles(frame: DataFrame, keys: list[str], x: str, places: tuple[float, ...]) -> DataFrame:
     """keys and p, an array of the percentiles at the places with linear interpolation.
 
-    Ranks come from a sort, which spills, so no state grows with the distinct values; only the rows at the needed ranks go on.
+    A sketch first brackets each percentile: its bounds are `SKETCH` exact, and taken three times as
+    far apart.  A second pass counts the values below each bracket and the distinct values in it, so that
+    exact ranks need a sort of less than a thousandth of the rows, without repeats, and no task holds a key.
     """
-    whole = W.partitionBy(*keys)
-    ranked = frame.where(finite(F.col(x)).isNotNull()).select(*keys, F.col(x).alias("_x"), F.row_number().over(whole.orderBy(x)).alias("_r"), F.count("*").over(whole).alias("_n"))
-    at = [F.lit(p) * (F.col("_n") - 1) + 1 for p in places]
-    wanted = F.lit(False)
-    for a in at:
-        wanted = wanted | (F.col("_r") == F.floor(a)) | (F.col("_r") == F.ceil(a))
-
-    def value(a: Column) -> Column:
-        low = F.max(F.when(F.col("_r") == F.floor(a), F.col("_x")))
-        high = F.max(F.when(F.col("_r") == F.ceil(a), F.col("_x")))
-        return low + (high - low) * F.max(a - F.floor(a))
-
-    return ranked.where(wanted).groupBy(*keys).agg(F.array(*map(value, at)).alias("p"))
+    rows = frame.where(finite(F.col(x)).isNotNull()).select(*keys, F.col(x).alias("_x"))
+    if not keys:
+        rows = rows.withColumn("_all", F.lit(0))
+    own = keys or ["_all"]
+    ends = [min(1.0, max(0.0, p + d * 3 / SKETCH)) for p in places for d in (-1, 1)]
+    sketch = rows.groupBy(*own).agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.percentile_approx("_x", ends, SKETCH).alias("_q"))
+    few = F.col("_n") <= 10 * SKETCH  # a bracket is then a few ranks wide: the whole range is small enough
+    bracket = lambda i, p: F.struct(
+        F.lit(i).alias("i"), (F.lit(p) * (F.col("_n") - 1) + 1).alias("rank"),
+        F.when(few | F.lit(ends[2 * i] == 0.0), F.col("_lo")).otherwise(F.col("_q")[2 * i]).alias("lo"),
+        F.when(few | F.lit(ends[2 * i + 1] == 1.0), F.col("_hi")).otherwise(F.col("_q")[2 * i + 1]).alias("hi"),
+    )
+    brackets = cut(sketch.select(*own, F.array(*[bracket(i, p) for i, p in enumerate(places)]).alias("_b")))
+    brackets = F.broadcast(brackets) if brackets.count() <= BROADCAST_KEYS else brackets
+    # One row a key and value or, below a bracket, one count: repeats meet before the shuffle.
+    met = rows.join(brackets, own).select(*own, "_x", F.explode(F.filter("_b", lambda b: F.col("_x") <= b["hi"])).alias("b"))
+    place = F.when(F.col("_x") >= F.col("b.lo"), F.col("_x"))  # null: below
+    counts = met.groupBy(*own, "b.i", "b.rank", place.alias("_v")).agg(F.count("*").alias("c"))
+    run = W.partitionBy(*own, "i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    ranked = counts.withColumn("_r", F.sum("c").over(run)).where("_v is not null")
+    low = F.min(F.when(F.col("_r") >= F.floor("rank"), F.col("_v")))
+    high = F.min(F.when(F.col("_r") >= F.ceil("rank"), F.col("_v")))
+    found = ranked.groupBy(*own, "i").agg((low + (high - low) * (F.max("rank") - F.floor(F.max("rank")))).alias("v"))
+    out = found.groupBy(*own).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("p"))  # one row a place
+    return out.select(*keys, "p")
 
 
 def month_histogram(frame: DataFrame, ts: Column) -> DataFrame:

@@ -26,6 +26,11 @@ def two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row", "col", F.col("p.hh").cast("double").alias("hh"), F.col("p.hv").cast("double").alias("hv"))
 
 
+def height(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the raster."""
+    return table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0] + 1
+
+
 def quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row, col, g: ras in 256 grey levels."""
     level = F.floor((F.col("v") + 0.6) / 1.2 * 256).cast("int")

@@ -16,10 +16,6 @@ catalog = Registry()
 query = catalog.query
 
 
-def _height(spark, sf_dir) -> int:
-    return fx.table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0] + 1
-
-
 def _rounded(frame, *bands, places=6):
     return frame.select("row", "col", *[F.round(b, places).alias(b) for b in bands])
 
@@ -43,7 +39,7 @@ def _conv_sql(source: str, taps: str, axis: str, size: str, value: str = "v", ou
 @query(f"""WITH {fx.RAS}, h AS (SELECT (max(row) + 1) // 6 * 6 AS n FROM ras)
     SELECT (row // 6)::INTEGER AS row, (col // 6)::INTEGER AS col, round(avg(v), 6) AS v FROM ras, h WHERE row < n AND col < 60 GROUP BY 1, 2""")
 def block_average(spark, sf_dir):
-    out = raster.block_average(fx.ras(spark, sf_dir), ["v"], 6, _height(spark, sf_dir), fx.WIDTH)
+    out = raster.block_average(fx.ras(spark, sf_dir), ["v"], 6, fx.height(spark, sf_dir), fx.WIDTH)
     return _rounded(out, "v")
 
 
@@ -57,21 +53,21 @@ def resample_area_weighted(spark, sf_dir):
     """dB to linear, area-weighted mean over 1.5 rows x 4 columns, back to dB; missing pixels weigh nothing."""
     linear = F.when(F.col("row") % 50 != 49, db_to_linear(F.col("v") * 10))
     pixels = fx.ras(spark, sf_dir).withColumn("v", linear)
-    out = raster.area_average(pixels, ["v"], _height(spark, sf_dir), fx.WIDTH, 1.5, 4.0)
+    out = raster.area_average(pixels, ["v"], fx.height(spark, sf_dir), fx.WIDTH, 1.5, 4.0)
     return _rounded(out.withColumn("v", linear_to_db(F.col("v"))), "v")
 
 
 @query(f"""WITH {fx.RAS} SELECT r.i::INTEGER AS row, c.i::INTEGER AS col, v FROM range(40) r(i), range(48) c(i), (SELECT max(row) + 1 AS n FROM ras) h, ras
     WHERE ras.row = least(n - 1, floor((r.i + 0.5::DOUBLE) * n / 40)::BIGINT) AND ras.col = least(63, floor((c.i + 0.5::DOUBLE) * 64 / 48)::BIGINT)""")
 def resize_nearest(spark, sf_dir):
-    return raster.resize_nearest(fx.ras(spark, sf_dir), ["v"], (_height(spark, sf_dir), fx.WIDTH), (40, 48))
+    return raster.resize_nearest(fx.ras(spark, sf_dir), ["v"], (fx.height(spark, sf_dir), fx.WIDTH), (40, 48))
 
 
-@query(f"""WITH {fx.RAS} SELECT r.i::INTEGER AS row, c.i::INTEGER AS col, v FROM range(96) r(i), range(128) c(i), ras
-    WHERE ras.row = floor(r.i * 48::DOUBLE / 96)::BIGINT AND ras.col = floor(c.i * 64::DOUBLE / 128)::BIGINT""")
+@query(f"WITH {fx.RAS} SELECT (2 * row + i)::INTEGER AS row, (2 * col + j)::INTEGER AS col, v FROM ras, range(2) r(i), range(2) c(j)")
 def upsample_nearest(spark, sf_dir):
-    """Corner-aligned nearest upsampling of the first 48 rows."""
-    return raster.resize_nearest(fx.ras(spark, sf_dir).where("row < 48"), ["v"], (48, fx.WIDTH), (96, 128), centred=False)
+    """Corner-aligned nearest upsampling to twice the size."""
+    n = fx.height(spark, sf_dir)
+    return raster.resize_nearest(fx.ras(spark, sf_dir), ["v"], (n, fx.WIDTH), (2 * n, 2 * fx.WIDTH), centred=False)
 
 
 @query(f"""WITH {fx.RAS}, g AS (SELECT r.i::INTEGER AS row, c.i::INTEGER AS col, r.i * (n - 1)::DOUBLE / 40 AS y, c.i * 63::DOUBLE / 40 AS x
@@ -80,7 +76,7 @@ def upsample_nearest(spark, sf_dir):
         FROM g, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(di, dj), ras WHERE ras.row = floor(y)::BIGINT + di AND ras.col = floor(x)::BIGINT + dj)
     SELECT row, col, round(sum(w * v), 6) AS v FROM t WHERE w > 0 GROUP BY row, col""")
 def resize_bilinear(spark, sf_dir):
-    return _rounded(raster.resize_bilinear(fx.ras(spark, sf_dir), "v", (_height(spark, sf_dir), fx.WIDTH), (40, 40)), "v")
+    return _rounded(raster.resize_bilinear(fx.ras(spark, sf_dir), "v", (fx.height(spark, sf_dir), fx.WIDTH), (40, 40)), "v")
 
 
 @query(f"""WITH {fx.RAS}, p AS (SELECT row, unnest([col, -col - 1, 127 - col]) AS col, v FROM ras) SELECT row, col::INTEGER AS col, v FROM p WHERE col >= -5 AND col < 69""")
@@ -107,7 +103,7 @@ _G, _D = raster.gaussian_taps(1.0), raster.derivative_taps(1.0)
 
 @query(f"WITH {fx.RAS}, {_taps_sql('g', _G)}, h AS {_conv_sql('ras', 'g', 'col', '64')} SELECT row, col, round(v, 6) AS v FROM {_conv_sql('h', 'g', 'row', _H)}")
 def gaussian_smooth(spark, sf_dir):
-    return _rounded(raster.smooth(fx.ras(spark, sf_dir), ["v"], 1.0, _height(spark, sf_dir), fx.WIDTH), "v")
+    return _rounded(raster.smooth(fx.ras(spark, sf_dir), ["v"], 1.0, fx.height(spark, sf_dir), fx.WIDTH), "v")
 
 
 def _gradient_sql(source: str, band: str, width: int, height: str) -> str:
@@ -125,7 +121,7 @@ _H2 = "(SELECT max(row) + 1 FROM two)"
     SELECT row, col, round(g / max(g) OVER (), 6) AS g FROM m""")
 def gradient_bdvf(spark, sf_dir):
     """Normalised two-band gradient."""
-    out = raster.gradients(fx.two(spark, sf_dir), ["hh", "hv"], 1.0, _height(spark, sf_dir), fx.HALF)
+    out = raster.gradients(fx.two(spark, sf_dir), ["hh", "hv"], 1.0, fx.height(spark, sf_dir), fx.HALF)
     out = out.withColumn("g", raster.bdvf([F.col("hh_dx"), F.col("hv_dx")], [F.col("hh_dy"), F.col("hv_dy")]))
     top = out.agg(F.max("g").alias("top"))
     return out.crossJoin(F.broadcast(top)).select("row", "col", F.round(F.col("g") / F.nullif("top", F.lit(0.0)), 6).alias("g"))  # top is one row
@@ -134,7 +130,7 @@ def gradient_bdvf(spark, sf_dir):
 @query(f"""WITH {fx.RAS}, {_taps_sql('g', _G)}, {_taps_sql('d', _D)}, {_gradient_sql('ras', 'v', 64, _H)}
     SELECT row, col, round(sqrt(a.v * a.v + b.v * b.v), 6) AS g FROM v_dx a JOIN v_dy b USING (row, col)""")
 def gradient_l2(spark, sf_dir):
-    out = raster.gradients(fx.ras(spark, sf_dir), ["v"], 1.0, _height(spark, sf_dir), fx.WIDTH)
+    out = raster.gradients(fx.ras(spark, sf_dir), ["v"], 1.0, fx.height(spark, sf_dir), fx.WIDTH)
     return out.select("row", "col", F.round(raster.l2norm([F.col("v_dx")], [F.col("v_dy")]), 6).alias("g"))
 
 
@@ -145,20 +141,20 @@ def _separable_sql(taps) -> str:
 
 @query(_separable_sql(raster.SOBEL))
 def gradient_sobel(spark, sf_dir):
-    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.SOBEL, _height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
+    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.SOBEL, fx.height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
 
 
 @query(_separable_sql(raster.PREWITT))
 def gradient_prewitt(spark, sf_dir):
-    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.PREWITT, _height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
+    return _rounded(raster.separable_gradients(fx.ras(spark, sf_dir), ["v"], raster.PREWITT, fx.height(spark, sf_dir), fx.WIDTH), "v_dx", "v_dy")
 
 
-@query(f"""WITH {fx.RAS}, s AS (SELECT a.row, a.col, avg(b.v * b.v) - avg(b.v) * avg(b.v) AS v FROM ras a JOIN ras b ON b.row BETWEEN a.row AND a.row + 6 AND b.col BETWEEN a.col AND a.col + 6
-        WHERE a.row < 54 AND b.row < 60 AND a.col < 58 GROUP BY a.row, a.col),
+@query(f"""WITH {fx.RAS}, s AS (SELECT b.row - i AS row, b.col - j AS col, avg(v * v) - avg(v) * avg(v) AS v FROM ras b, range(7) r(i), range(7) c(j)
+        WHERE b.row >= i AND b.col >= j GROUP BY 1, 2 HAVING count(*) = 49),
     e AS (SELECT min(v) AS low, (max(v) - min(v)) / 256 AS step FROM s), h AS (SELECT least(255, floor((v - low) / step)::INTEGER) AS bin, count(*) AS n, max(low) AS low, max(step) AS step FROM s, e GROUP BY 1)
     SELECT round(low + (bin + 0.5::DOUBLE) * step, 6) AS noise FROM h ORDER BY n DESC, bin LIMIT 1""")
 def noise_variance(spark, sf_dir):
-    return raster.noise_variance(fx.ras(spark, sf_dir).where("row < 60"), ["v"], 60, fx.WIDTH).select(F.round("noise", 6).alias("noise"))
+    return raster.noise_variance(fx.ras(spark, sf_dir), ["v"], fx.height(spark, sf_dir), fx.WIDTH).select(F.round("noise", 6).alias("noise"))
 
 
 @query(f"WITH {fx.RAS} SELECT least(63, greatest(0, floor((v + 0.6::DOUBLE) / 1.2::DOUBLE * 64)::INTEGER)) AS bin, count(*) AS n FROM ras GROUP BY 1")
@@ -172,12 +168,11 @@ def histogram_mode(spark, sf_dir):
     return fx.quantised(spark, sf_dir).groupBy("g").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "g").limit(1).select(F.col("g").alias("mode"), "n")
 
 
-@query(f"""WITH {fx.RAS}, lv AS (SELECT a.row, a.col, avg(b.v) AS m, avg(b.v * b.v) - avg(b.v) * avg(b.v) AS s
-        FROM ras a JOIN ras b ON b.row BETWEEN a.row - 3 AND a.row + 3 AND b.col BETWEEN a.col - 3 AND a.col + 3 AND a.row < 60 AND b.row < 60 GROUP BY a.row, a.col)
-    SELECT row, col, round(m, 6) AS mean, round(greatest(s, 0), 6) AS variance FROM lv""")
+@query(f"""WITH {fx.RAS}, lv AS (SELECT (b.row - i)::INTEGER AS row, (b.col - j)::INTEGER AS col, avg(v) AS m, avg(v * v) - avg(v) * avg(v) AS s FROM ras b, range(-3, 4) r(i), range(-3, 4) c(j) GROUP BY 1, 2)
+    SELECT ras.row, ras.col, round(m, 6) AS mean, round(greatest(s, 0), 6) AS variance FROM ras JOIN lv ON lv.row = ras.row AND lv.col = ras.col""")
 def local_variance(spark, sf_dir):
-    """Mean and variance over 7x7 squares of the first 60 rows' image."""
-    return _rounded(raster.local_moments(fx.ras(spark, sf_dir).where("row < 60"), "v", 3), "mean", "variance")
+    """Mean and variance over 7x7 squares."""
+    return _rounded(raster.local_moments(fx.ras(spark, sf_dir), "v", 3), "mean", "variance")
 
 
 @query(f"""WITH {fx.QUANTISED}, h AS (SELECT g, count(*) AS n FROM q GROUP BY g),
@@ -195,23 +190,23 @@ def otsu_threshold(spark, sf_dir):
     return out.select(F.col("g").alias("threshold"), F.round("v", 4).alias("variance"))
 
 
-@query("""WITH d AS (SELECT c_custkey AS id, (100 + c_custkey % 700)::INTEGER AS h FROM customer WHERE c_custkey <= 200),
+@query("""WITH d AS (SELECT c_custkey AS id, (100 + c_custkey % 700)::INTEGER AS h FROM customer),
     s AS (SELECT id, h, least(96, h) AS crop, CASE WHEN 96 < h THEN 96 - 24 ELSE h END AS stride FROM d),
     w AS (SELECT id, unnest(range(0, greatest(h - crop + stride - 1, 0) // stride + 1)) AS i, h, crop, stride FROM s)
     SELECT id, i::INTEGER AS i, greatest(least(i * stride + crop, h) - crop, 0)::INTEGER AS lo, least(i * stride + crop, h)::INTEGER AS hi FROM w""")
 def sliding_windows(spark, sf_dir):
-    sizes = fx.table(spark, sf_dir, "customer").where("c_custkey <= 200").select(F.col("c_custkey").alias("id"), (100 + F.col("c_custkey") % 700).cast("int").alias("h"))
+    sizes = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (100 + F.col("c_custkey") % 700).cast("int").alias("h"))
     return sizes.select("id", F.posexplode(raster.window_columns(F.col("h"), 96, 0.25)).alias("i", "w")).select("id", "i", "w.lo", "w.hi")
 
 
 def _windowed(spark, sf_dir):
-    pixels = fx.two(spark, sf_dir).where("row < 120").withColumn("invalid", (F.col("row") % 50 == 49) | (F.col("row") < 40) & (F.col("col") < 20))
-    rows, cols = raster.windows(120, 16, 0.25), raster.windows(fx.HALF, 16, 0.25)
+    pixels = fx.two(spark, sf_dir).withColumn("invalid", (F.col("row") % 50 == 49) | (F.col("row") < 40) & (F.col("col") < 20))
+    rows, cols = raster.windows(fx.height(spark, sf_dir), 16, 0.25), raster.windows(fx.HALF, 16, 0.25)
     return raster.window_members(pixels, rows, cols), rows, cols
 
 
-_WIN = f"""{fx.TWO}, px AS (SELECT *, (row % 50 = 49 OR (row < 40 AND col < 20)) AS invalid FROM two WHERE row < 120),
-    wr(i, a, b) AS (VALUES {_values([(i, a, b) for i, (a, b) in enumerate(raster.windows(120, 16, 0.25))])}),
+_WIN = f"""{fx.TWO}, px AS (SELECT *, (row % 50 = 49 OR (row < 40 AND col < 20)) AS invalid FROM two), size AS (SELECT max(row) + 1 AS h FROM two),
+    wr AS (SELECT i::INTEGER AS i, least(i * 12, h - 16) AS a, least(i * 12, h - 16) + 16 AS b FROM size, range(100000) t(i) WHERE i <= (h - 16 + 11) // 12),
     wc(j, c, d) AS (VALUES {_values([(i, a, b) for i, (a, b) in enumerate(raster.windows(32, 16, 0.25))])}),
     held AS (SELECT i, j, count(*) AS n, count(*) FILTER (invalid) AS bad FROM px, wr, wc WHERE row >= a AND row < b AND col >= c AND col < d GROUP BY i, j HAVING NOT bool_and(invalid)),
     named AS (SELECT *, row_number() OVER (ORDER BY i, j) - 1 AS patch FROM held)"""
@@ -248,49 +243,53 @@ def invalid_mask(spark, sf_dir):
 RINGS = [[(10.5, 10.5), (40.5, 10.5), (40.5, 20.5), (10.5, 20.5)], [(5.2, 30.1), (50.7, 60.3), (20.4, 90.9)]]
 _EDGES = [(p, x1, y1, x2, y2) for p, _, x1, y1, x2, y2 in spatial.rings_to_edges(RINGS)]
 _PIP = f"""{fx.RAS}, ed(poly, x1, y1, x2, y2) AS (VALUES {_values(_EDGES)}),
-    hit AS (SELECT row, col, poly, count(*) AS n FROM ras, ed WHERE row < 100 AND y1 <> y2 AND (y1 > row + 0.5::DOUBLE) <> (y2 > row + 0.5::DOUBLE)
+    hit AS (SELECT row, col, poly, count(*) AS n FROM ras, ed WHERE y1 <> y2 AND (y1 > row + 0.5::DOUBLE) <> (y2 > row + 0.5::DOUBLE)
         AND col + 0.5::DOUBLE < (x2 - x1) * (row + 0.5::DOUBLE - y1) / (y2 - y1) + x1 GROUP BY row, col, poly)"""
 
 
-@query(f"WITH {_PIP} SELECT row, col, coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = ras.row AND hit.col = ras.col), FALSE) AS ocean FROM ras WHERE row < 100")
+@query(f"WITH {_PIP} SELECT row, col, coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = ras.row AND hit.col = ras.col), FALSE) AS ocean FROM ras")
 def land_mask_pip(spark, sf_dir):
-    pixels = fx.ras(spark, sf_dir).where("row < 100")
+    pixels = fx.ras(spark, sf_dir)
     return pixels.select("row", "col", spatial.inside(F.col("col") + 0.5, F.col("row") + 0.5, RINGS).alias("ocean"))
 
 
 @query(f"""WITH {_PIP}, ax AS (SELECT row, col, CASE WHEN x2 = x1 THEN CASE WHEN x1 < col OR x1 > col + 1 THEN 2 ELSE 0 END ELSE least((col - x1) / nullif(x2 - x1, 0), (col + 1 - x1) / nullif(x2 - x1, 0)) END AS a1,
         CASE WHEN x2 = x1 THEN 1 ELSE greatest((col - x1) / nullif(x2 - x1, 0), (col + 1 - x1) / nullif(x2 - x1, 0)) END AS b1,
         CASE WHEN y2 = y1 THEN CASE WHEN y1 < row OR y1 > row + 1 THEN 2 ELSE 0 END ELSE least((row - y1) / nullif(y2 - y1, 0), (row + 1 - y1) / nullif(y2 - y1, 0)) END AS a2,
-        CASE WHEN y2 = y1 THEN 1 ELSE greatest((row - y1) / nullif(y2 - y1, 0), (row + 1 - y1) / nullif(y2 - y1, 0)) END AS b2 FROM ras, ed WHERE row < 100),
+        CASE WHEN y2 = y1 THEN 1 ELSE greatest((row - y1) / nullif(y2 - y1, 0), (row + 1 - y1) / nullif(y2 - y1, 0)) END AS b2 FROM ras, ed),
     tc AS (SELECT row, col, bool_or(greatest(0, a1, a2) <= least(1, b1, b2)) AS t FROM ax GROUP BY row, col)
     SELECT tc.row, tc.col, (t OR coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = tc.row AND hit.col = tc.col), FALSE)) AS ocean FROM tc""")
 def land_mask_touched(spark, sf_dir):
     """Cells that a polygon covers at their centre or whose area one of its edges meets."""
-    pixels = fx.ras(spark, sf_dir).where("row < 100")
+    pixels = fx.ras(spark, sf_dir)
     sea = spatial.inside(F.col("col") + 0.5, F.col("row") + 0.5, RINGS) | spatial.touched(F.col("row").cast("double"), F.col("col").cast("double"), RINGS)
     return pixels.select("row", "col", sea.alias("ocean"))
 
 
-@query(f"WITH {_PIP} SELECT row * 64 + col AS id, coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = ras.row AND hit.col = ras.col), FALSE) AS inside FROM ras WHERE row < 100")
+@query(f"WITH {_PIP} SELECT row * 64 + col AS id, coalesce((SELECT bool_or(n % 2 = 1) FROM hit WHERE hit.row = ras.row AND hit.col = ras.col), FALSE) AS inside FROM ras")
 def land_mask_table(spark, sf_dir):
     """The same with polygons as an edge table, joined by horizontal bands."""
     edges = spark.createDataFrame(_EDGES, "poly int, x1 double, y1 double, x2 double, y2 double")
-    points = fx.ras(spark, sf_dir).where("row < 100").select((F.col("row") * 64 + F.col("col")).alias("id"), (F.col("col") + 0.5).alias("x"), (F.col("row") + 0.5).alias("y"))
+    points = fx.ras(spark, sf_dir).select((F.col("row") * 64 + F.col("col")).alias("id"), (F.col("col") + 0.5).alias("x"), (F.col("row") + 0.5).alias("y"))
     return spatial.inside_table(points, edges, 16.0).select("id", "inside")
 
 
-_TR, _TC = [0.0, 250.0, 499.0], [0.0, 32.0, 63.0]
-_LAT = [[70 + r / 1000 + (c / 63) ** 2 / 10 for c in _TC] for r in _TR]
+_TC = [0.0, 32.0, 63.0]
 
 
-@query(f"""WITH {fx.RAS}, tie(i, j, r, c, lat) AS (VALUES {_values([(i, j, r, c, _LAT[i][j]) for i, r in enumerate(_TR) for j, c in enumerate(_TC)])}),
-    cell AS (SELECT row, col, CASE WHEN row >= 250 THEN 1 ELSE 0 END AS i, CASE WHEN col >= 32 THEN 1 ELSE 0 END AS j FROM ras WHERE row < 500),
+@query(f"""WITH {fx.RAS}, size AS (SELECT max(row) + 1 AS h FROM ras),
+    tie AS (SELECT i, j, r, c, 70 + r / 1000 + pow(c / 63::DOUBLE, 2) / 10 AS lat
+        FROM (SELECT unnest([0, 1, 2]) AS i, unnest([0, h // 2, h - 1])::DOUBLE AS r FROM size) a, (VALUES (0, 0::DOUBLE), (1, 32::DOUBLE), (2, 63::DOUBLE)) b(j, c)),
+    cell AS (SELECT row, col, CASE WHEN row >= h // 2 THEN 1 ELSE 0 END AS i, CASE WHEN col >= 32 THEN 1 ELSE 0 END AS j FROM ras, size),
     u AS (SELECT cell.row, cell.col, least(1, greatest(0, (cell.row - a.r) / (d.r - a.r))) AS u, least(1, greatest(0, (cell.col - a.c) / (d.c - a.c))) AS v, a.lat AS a, b.lat AS b, c.lat AS c, d.lat AS d
         FROM cell JOIN tie a ON a.i = cell.i AND a.j = cell.j JOIN tie b ON b.i = cell.i AND b.j = cell.j + 1 JOIN tie c ON c.i = cell.i + 1 AND c.j = cell.j JOIN tie d ON d.i = cell.i + 1 AND d.j = cell.j + 1)
     SELECT row, col, round((1 - u) * ((1 - v) * a + v * b) + u * ((1 - v) * c + v * d), 6) AS lat FROM u""")
 def tie_point_interp(spark, sf_dir):
-    at = spatial.grid_interpolate(F.col("row").cast("double"), F.col("col").cast("double"), _TR, _TC, _LAT)
-    return fx.ras(spark, sf_dir).where("row < 500").select("row", "col", F.round(at, 6).alias("lat"))
+    n = fx.height(spark, sf_dir)
+    rows = [0.0, float(n // 2), float(n - 1)]
+    lat = [[70 + r / 1000 + (c / 63) ** 2 / 10 for c in _TC] for r in rows]
+    at = spatial.grid_interpolate(F.col("row").cast("double"), F.col("col").cast("double"), rows, _TC, lat)
+    return fx.ras(spark, sf_dir).select("row", "col", F.round(at, 6).alias("lat"))
 
 
 @query(f"""WITH {fx.RAS}, p AS (SELECT row, col, row * 0.83::DOUBLE + 0.4::DOUBLE AS y, col * 1.07::DOUBLE - 1.3::DOUBLE AS x FROM ras),
@@ -362,8 +361,8 @@ def image_arithmetic(spark, sf_dir):
     return _rounded(out.select("row", "col", (v + w).alias("plus"), (v * w).alias("times"), F.abs(v - w).alias("gap"), F.least(F.lit(0.2), F.greatest(F.lit(-0.2), v)).alias("clipped")), "plus", "times", "gap", "clipped")
 
 
-@query("""WITH e AS (SELECT vec_id, unnest(range(10)) AS k, unnest(embedding[1:10]) AS x FROM embeddings)
+@query("""WITH e AS (SELECT vec_id, unnest(range(64)) AS k, unnest(embedding) AS x FROM embeddings)
     SELECT vec_id, k::INTEGER AS class FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, k) AS r FROM e) WHERE r = 1""")
 def argmax_logits(spark, sf_dir):
-    logits = F.slice("embedding", 1, 10)
+    logits = F.col("embedding")
     return fx.table(spark, sf_dir, "embeddings").select("vec_id", (F.array_position(logits, F.array_max(logits)) - 1).cast("int").alias("class"))

@@ -13,8 +13,7 @@ from rasterloom.plans.registry import Registry
 catalog = Registry()
 query = catalog.query
 
-_ROWS = 96  # the fixture's image: the first rows of the two-band raster
-_REG = fx.REGIONS.replace("FROM two)", f"FROM two WHERE row < {_ROWS})")
+_REG = fx.REGIONS
 _STATS = f"""{_REG}, st AS (SELECT region, count(*) AS n, avg(hh) AS m1, avg(hv) AS m2, avg(hh * hh) AS c11, avg(hh * hv) AS c12, avg(hv * hv) AS c22,
     avg(col) AS cx, avg(row) AS cy, min(row) AS top, max(row) AS bottom, min(col) AS "left", max(col) AS "right" FROM reg WHERE region >= 0 GROUP BY region)"""
 _SITES = f"""{fx.NEIGHBOURS}, near AS (SELECT p.row, p.col, k, q.region AS other FROM reg p CROSS JOIN off JOIN reg q ON q.row = p.row + dr AND q.col = p.col + dc WHERE p.region < 0 AND q.region >= 0),
@@ -27,7 +26,7 @@ _CLASSES = "rc AS (SELECT region, (CASE WHEN m1 < -0.01::DOUBLE THEN 0 WHEN m1 <
 
 
 def _pixels(spark, sf_dir):
-    return fx.region_map(spark, sf_dir).where(F.col("row") < _ROWS)
+    return fx.region_map(spark, sf_dir)
 
 
 def _stats(spark, sf_dir):
@@ -61,10 +60,10 @@ def region_stats(spark, sf_dir):
 
 
 @query(f"""WITH {_REG}, {fx.NEIGHBOURS}, m AS (SELECT *, row % 50 = 49 AS masked FROM reg)
-    SELECT DISTINCT region FROM (SELECT region FROM m WHERE region >= 0 AND (row = 0 OR col = 0 OR row = {_ROWS - 1} OR col = 31)
+    SELECT DISTINCT region FROM (SELECT region FROM m WHERE region >= 0 AND (row = 0 OR col = 0 OR row = (SELECT max(row) FROM reg) OR col = 31)
     UNION ALL SELECT p.region FROM m p CROSS JOIN off JOIN m q ON q.row = p.row + dr AND q.col = p.col + dc WHERE p.region >= 0 AND q.masked)""")
 def region_border(spark, sf_dir):
-    return regions.border_regions(_pixels(spark, sf_dir), _ROWS, fx.HALF, F.col("row") % 50 == 49)
+    return regions.border_regions(_pixels(spark, sf_dir), fx.height(spark, sf_dir), fx.HALF, F.col("row") % 50 == 49)
 
 
 @query(f"WITH {_REG}, {_SITES} SELECT a, b, length FROM adj")
@@ -202,14 +201,10 @@ def sort_map(spark, sf_dir):
     return regions.sort_by_mean(_stats(spark, sf_dir))
 
 
-_CC = f"""{fx.CLASSES}, sm AS (SELECT row, col, k FROM cls WHERE row < 24 AND col < 24), {fx.NEIGHBOURS}"""
-
-
-@query(f"""WITH RECURSIVE {_CC}, reach AS (SELECT row, col, row * 2147483648 + col AS o FROM sm UNION
-        SELECT q.row, q.col, r.o FROM reach r JOIN sm p ON p.row = r.row AND p.col = r.col CROSS JOIN off JOIN sm q ON q.row = r.row + dr AND q.col = r.col + dc AND q.k = p.k)
-    SELECT row, col, min(o) AS component FROM reach GROUP BY row, col""")
+@query()
 def connected_components(spark, sf_dir):
-    pixels = fx.ras(spark, sf_dir).where("row < 24 and col < 24").withColumn("k", fx.class_of(F.col("v")))
+    """Eight-connected components of the class map; the tests flood the whole map."""
+    pixels = fx.ras(spark, sf_dir).withColumn("k", fx.class_of(F.col("v")))
     return regions.components(pixels, "k")
 
 
@@ -287,15 +282,14 @@ def kmeans_step(spark, sf_dir):
     return _round(cluster.kmeans_update(cluster.kmeans_assign(_stats(spark, sf_dir), centres)), ["k"], "c1", "c2")
 
 
-_PGMM = f"""{fx.TWO}, px AS (SELECT *, CASE WHEN hh < -0.05::DOUBLE THEN 0 WHEN hh < 0.05::DOUBLE THEN 1 ELSE 2 END AS k FROM two WHERE row < {_ROWS}),
+_PGMM = f"""{fx.TWO}, px AS (SELECT *, CASE WHEN hh < -0.05::DOUBLE THEN 0 WHEN hh < 0.05::DOUBLE THEN 1 ELSE 2 END AS k FROM two),
     pm AS (SELECT k, count(*) / sum(count(*)) OVER ()::DOUBLE AS prior, avg(hh) AS mu1, avg(hv) AS mu2, avg(hh * hh) - avg(hh) * avg(hh) AS v11, avg(hh * hv) - avg(hh) * avg(hv) AS v12,
         avg(hv * hv) - avg(hv) * avg(hv) AS v22 FROM px GROUP BY k),
     pg AS (SELECT *, v22 / (v11 * v22 - v12 * v12) AS i11, -v12 / (v11 * v22 - v12 * v12) AS i12, v11 / (v11 * v22 - v12 * v12) AS i22, sqrt(v11 * v22 - v12 * v12) AS cov_det FROM pm)"""
 
 
-def _pixel_gmm(spark, sf_dir, whole=False):
+def _pixel_gmm(spark, sf_dir):
     pixels = fx.two(spark, sf_dir).withColumn("k", fx.class_of(F.col("hh")))
-    pixels = pixels if whole else pixels.where(F.col("row") < _ROWS)
     return pixels, cluster.gmm_of_pixels(pixels)
 
 
@@ -327,18 +321,17 @@ def mrf_sweep(spark, sf_dir):
 @query()
 def pixel_em(spark, sf_dir):
     """Class parameters after up to five steps over the whole raster."""
-    pixels, gmm = _pixel_gmm(spark, sf_dir, whole=True)
+    pixels, gmm = _pixel_gmm(spark, sf_dir)
     return _round(cluster.em(pixels.drop("k"), gmm, 5), ["k"], "prior", "mu1", "mu2", places=4)
 
 
 @query()
 def region_kmeans(spark, sf_dir):
     """Centres over all regions of the raster."""
-    whole = regions.region_stats(fx.region_map(spark, sf_dir))
-    return _round(cluster.kmeans(whole.select("m1", "m2", "n"), 3), ["k"], "c1", "c2")
+    return _round(cluster.kmeans(_stats(spark, sf_dir).select("m1", "m2", "n"), 3), ["k"], "c1", "c2")
 
 
-@query(f"WITH {fx.REGIONS.replace('FROM two)', f'FROM two WHERE row < {_ROWS})')}, {_SITES}, both_ways AS (SELECT a, b FROM adj UNION ALL SELECT b, a FROM adj) SELECT a AS node, count(*) AS degree FROM both_ways GROUP BY a")
+@query(f"WITH {_REG}, {_SITES}, both_ways AS (SELECT a, b FROM adj UNION ALL SELECT b, a FROM adj) SELECT a AS node, count(*) AS degree FROM both_ways GROUP BY a")
 def region_degrees(spark, sf_dir):
     return graphs.degrees(regions.adjacency(_sites(spark, sf_dir)))
 
@@ -361,7 +354,7 @@ def boundary_fill_same_class(spark, sf_dir):
     return regions.fill_boundaries(named, means).select("row", "col", "filled")
 
 
-_GL = f"""{fx.QUANTISED}, w AS (SELECT row // 16 AS tile, row, col, floor(g * 16 / 256)::INTEGER AS g FROM q WHERE row < 64 AND col < 16), dir(dr, dc) AS (VALUES (0, 1), (-1, 1), (-1, 0), (-1, -1)),
+_GL = f"""{fx.QUANTISED}, w AS (SELECT row // 16 * 4 + col // 16 AS tile, row, col, floor(g * 16 / 256)::INTEGER AS g FROM q), dir(dr, dc) AS (VALUES (0, 1), (-1, 1), (-1, 0), (-1, -1)),
     pr AS (SELECT a.tile, a.g::DOUBLE AS i, b.g::DOUBLE AS j FROM w a CROSS JOIN dir JOIN w b ON b.tile = a.tile AND b.row = a.row + dr AND b.col = a.col + dc),
     sm AS (SELECT tile, count(*) AS n, sum(pow(i - j, 2)) AS con, sum(abs(i - j)) AS dis, sum(1 / (1 + pow(i - j, 2))) AS hom, sum(1 / (1 + abs(i - j))) AS inv, sum(i + j) AS s, sum(i * i + j * j) AS q2, sum(i * j) AS x FROM pr GROUP BY tile),
     sy AS (SELECT tile, i, j, count(*) AS c FROM (SELECT tile, i, j FROM pr UNION ALL SELECT tile, j, i FROM pr) GROUP BY tile, i, j),
@@ -369,31 +362,35 @@ _GL = f"""{fx.QUANTISED}, w AS (SELECT row // 16 AS tile, row, col, floor(g * 16
     mv AS (SELECT *, s / (2 * n) AS mu, greatest(q2 / (2 * n) - pow(s / (2 * n), 2), 0) AS var FROM sm JOIN sh USING (tile))"""
 
 
+def _texture_tiles(spark, sf_dir):
+    """Tiles of 16 x 16 pixels in 16 grey levels."""
+    pixels = fx.quantised(spark, sf_dir).withColumn("tile", F.floor(F.col("row") / 16) * 4 + F.floor(F.col("col") / 16))
+    return texture.quantise(pixels, 16)
+
+
 @query(f"""WITH {_GL} SELECT tile, round(asm, 6) AS asm, round(ent, 6) AS ent, round(con / n, 6) AS con, round(dis / n, 6) AS dis, round(hom / n, 6) AS hom, round(inv / n, 6) AS inv, round(mu, 6) AS mu,
     round(sqrt(var), 6) AS std, round(CASE WHEN sqrt(var) <= 1e-12::DOUBLE THEN 1 ELSE (x / n - mu * mu) / var END, 6) AS cor FROM mv""")
 def glcm_measures(spark, sf_dir):
-    pixels = fx.quantised(spark, sf_dir).where("row < 64 and col < 16").withColumn("tile", F.floor(F.col("row") / 16))
-    found = texture.measures(texture.pairs(texture.quantise(pixels, 16), ["tile"]), ["tile"])
+    found = texture.measures(texture.pairs(_texture_tiles(spark, sf_dir), ["tile"]), ["tile"])
     return _round(found, ["tile"], "asm", "ent", "con", "dis", "hom", "inv", "mu", "std", "cor")
 
 
-@query("""WITH p AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 5 AS x, embedding[2]::DOUBLE * 5 AS y, embedding[3]::DOUBLE AS w FROM embeddings WHERE vec_id < 200)
+@query("""WITH p AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 5 AS x, embedding[2]::DOUBLE * 5 AS y, embedding[3]::DOUBLE AS w FROM embeddings)
     SELECT a.id, round(sum(b.w * exp(-0.5::DOUBLE * (pow(a.x - b.x, 2) + pow(a.y - b.y, 2)))), 6) AS g FROM p a, p b GROUP BY a.id""")
 def gauss_transform_exact(spark, sf_dir):
     e = lambda i: F.element_at("embedding", i).cast("double")
-    points = fx.table(spark, sf_dir, "embeddings").where("vec_id < 200").select(F.col("vec_id").alias("id"), (e(1) * 5).alias("x"), (e(2) * 5).alias("y"), e(3).alias("w"))
+    points = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (e(1) * 5).alias("x"), (e(2) * 5).alias("y"), e(3).alias("w"))
     return _round(cluster.gauss_transform(points.withColumnRenamed("w", "value"), ["x", "y"], "value"), ["id"], "g")
 
 
-_MAP = f"{fx.CLASSES}, km AS (SELECT row, col, CASE WHEN row % 8 = 7 THEN -2 ELSE k END AS k FROM cls WHERE row < 64), {fx.NEIGHBOURS}"
+_MAP = f"{fx.CLASSES}, km AS (SELECT row, col, CASE WHEN row % 8 = 7 THEN -2 ELSE k END AS k FROM cls), {fx.NEIGHBOURS}"
 _FLAGS = f"""{_MAP}, fl AS (SELECT p.row, p.col, p.k, bool_or(p.k <> q.k) AS unlike, list(DISTINCT q.k ORDER BY q.k) FILTER (q.k >= 0) AS candidates,
     count(DISTINCT q.k) FILTER (q.k >= 0) >= 2 AS two_regions, count(DISTINCT q.k) FILTER (q.k >= 0 AND off.k % 2 = 0) >= 2 AS inner_two
     FROM km p CROSS JOIN off JOIN km q ON q.row = p.row + dr AND q.col = p.col + dc GROUP BY p.row, p.col, p.k)"""
 
 
 def _class_map(spark, sf_dir):
-    pixels = fx.ras(spark, sf_dir).where("row < 64")
-    return pixels.withColumn("k", F.when(F.col("row") % 8 == 7, -2).otherwise(fx.class_of(F.col("v")))).select("row", "col", "k")
+    return fx.ras(spark, sf_dir).withColumn("k", F.when(F.col("row") % 8 == 7, -2).otherwise(fx.class_of(F.col("v")))).select("row", "col", "k")
 
 
 @query(f"WITH {_FLAGS} SELECT row, col, unlike, array_to_string(candidates, ',') AS candidates, two_regions, inner_two AS inner FROM fl")
@@ -412,9 +409,10 @@ def label_counts(spark, sf_dir):
     return regions.label_counts(_pixels(spark, sf_dir), "region")
 
 
-@query(f"WITH {fx.RAS} SELECT count(*) AS n FROM ras a FULL JOIN (SELECT row, col, CASE WHEN row % 9 = 0 THEN v + 1 ELSE v END AS v FROM ras WHERE col < 60) b ON a.row = b.row AND a.col = b.col WHERE a.v IS DISTINCT FROM b.v")
+@query(f"WITH {fx.RAS} SELECT count(*) AS n FROM ras a FULL JOIN (SELECT row, col + 4 AS col, CASE WHEN row % 9 = 0 THEN v + 1 ELSE v END AS v FROM ras) b ON a.row = b.row AND a.col = b.col WHERE a.v IS DISTINCT FROM b.v")
 def image_difference(spark, sf_dir):
-    other = fx.ras(spark, sf_dir).where("col < 60").withColumn("v", F.when(F.col("row") % 9 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    """Against the raster moved by four columns, with every ninth row brighter."""
+    other = fx.ras(spark, sf_dir).withColumns({"col": F.col("col") + 4, "v": F.when(F.col("row") % 9 == 0, F.col("v") + 1).otherwise(F.col("v"))})
     return regions.difference(fx.ras(spark, sf_dir), other, "v")
 
 
@@ -430,14 +428,16 @@ def same_class_regions(spark, sf_dir):
     return regions.same_class_regions(regions.adjacency(_sites(spark, sf_dir)), _classes(spark, sf_dir))
 
 
-_BLOCKS = "be AS (SELECT DISTINCT least(l_partkey % 60, l_suppkey % 60) AS a, greatest(l_partkey % 60, l_suppkey % 60) AS b FROM lineitem WHERE l_orderkey < 100 AND l_partkey % 60 <> l_suppkey % 60)"
+_BLOCKS = """ln AS (SELECT l_orderkey, l_linenumber, l_partkey * 8 + l_linenumber AS node FROM lineitem),
+    be AS (SELECT DISTINCT least(x.node, y.node) AS a, greatest(x.node, y.node) AS b FROM ln x JOIN ln y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber < y.l_linenumber AND y.l_linenumber <= x.l_linenumber + 2)"""
 _TRIPLES = f"{_BLOCKS}, tr AS (SELECT x.a, x.b, y.b AS c FROM be x JOIN be y ON y.a = x.b JOIN be z ON z.a = x.a AND z.b = y.b)"
 
 
 def _triples(spark, sf_dir):
-    items = fx.table(spark, sf_dir, "lineitem").where("l_orderkey < 100")
-    edges = items.select((F.col("l_partkey") % 60).alias("a"), (F.col("l_suppkey") % 60).alias("b")).where("a <> b")
-    return regions.cliques3(edges)
+    """Triples of an order graph: lines of a part are adjacent if an order has them next to each other or one apart."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("x"), (F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("a"))
+    after = lines.select("l_orderkey", F.explode(F.array(F.col("x") - 1, F.col("x") - 2)).alias("x"), F.col("a").alias("b"))
+    return regions.cliques3(lines.join(after, ["l_orderkey", "x"]).select("a", "b"))
 
 
 @query(f"WITH {_TRIPLES} SELECT a, b, c FROM tr")
@@ -445,18 +445,17 @@ def region_cliques(spark, sf_dir):
     return _triples(spark, sf_dir)
 
 
-@query(f"""WITH {_TRIPLES}, nm AS (SELECT a * 10000 + b * 100 + c AS id, unnest([a, b, c]) AS region FROM tr)
+@query(f"""WITH {_TRIPLES}, nm AS (SELECT a || '-' || b || '-' || c AS id, unnest([a, b, c]) AS region FROM tr)
     SELECT x.id AS x, y.id AS y, count(*) AS shared FROM nm x JOIN nm y ON x.region = y.region AND x.id < y.id GROUP BY 1, 2""")
 def clique_graph(spark, sf_dir):
-    return regions.clique_graph(_triples(spark, sf_dir).withColumn("id", F.col("a") * 10000 + F.col("b") * 100 + F.col("c")))
+    return regions.clique_graph(_triples(spark, sf_dir).withColumn("id", F.concat_ws("-", "a", "b", "c")))
 
 
 @query(f"""WITH {_GL}, ms AS (SELECT tile, con / n AS con, hom / n AS hom, mu, asm, ent FROM mv)
     SELECT tile, round(con / 225, 6) AS con, round((hom - 1 / 226::DOUBLE) / (1 - 1 / 226::DOUBLE), 6) AS hom, round(mu / 15, 6) AS mu, round((asm - 1 / 256::DOUBLE) / (1 - 1 / 256::DOUBLE), 6) AS asm,
         round(ent / ln(256::DOUBLE), 6) AS ent FROM ms""")
 def glcm_normalised(spark, sf_dir):
-    pixels = fx.quantised(spark, sf_dir).where("row < 64 and col < 16").withColumn("tile", F.floor(F.col("row") / 16))
-    found = texture.measures(texture.pairs(texture.quantise(pixels, 16), ["tile"]), ["tile"])
+    found = texture.measures(texture.pairs(_texture_tiles(spark, sf_dir), ["tile"]), ["tile"])
     return _round(texture.normalised(found, ["tile"], 16, 930), ["tile"], "con", "hom", "mu", "asm", "ent")
 
 
@@ -468,11 +467,11 @@ def schedules(spark, sf_dir):
     return rows.select("iteration", r(energy.alpha(i, 8.0, 0.9), "alpha"), r(energy.pixel_alpha(i, 8.0, 0.9, 2), "pixel_alpha"), r(energy.temperature(i, 2.0), "temperature"))
 
 
-@query("""WITH e AS (SELECT label, vec_id AS row, unnest(range(8))::INTEGER AS col, (unnest(embedding[1:8]) > 0)::INTEGER * CASE WHEN label = 3 THEN 0 ELSE 255 END AS v FROM embeddings),
+@query("""WITH e AS (SELECT label, vec_id AS row, unnest(range(64))::INTEGER AS col, (unnest(embedding) > 0)::INTEGER * CASE WHEN label = 3 THEN 0 ELSE 255 END AS v FROM embeddings),
     r AS (SELECT label, min(v) AS lo, max(v) AS hi FROM e GROUP BY label) SELECT label, row, col, (lo = hi OR v >= (lo + hi) / 2) AS valid FROM e JOIN r USING (label)""")
 def mask_threshold(spark, sf_dir):
     """Masks by label; that of label 3 is constant, hence valid everywhere."""
-    rows = fx.table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row"), F.posexplode(F.slice("embedding", 1, 8)).alias("col", "x"))
+    rows = fx.table(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row"), F.posexplode("embedding").alias("col", "x"))
     rows = rows.withColumn("v", F.when((F.col("x") > 0) & (F.col("label") != 3), 255).otherwise(0))
     w = W.partitionBy("label")
     return rows.select("label", "row", "col", energy.mask_of(F.col("v"), F.min("v").over(w), F.max("v").over(w)).alias("valid"))

@@ -110,9 +110,9 @@ def scene_presence(spark, sf_dir):
     return counts.groupBy("scene").agg(F.array_sort(F.collect_set("label")).alias("present"))
 
 
-def _split_sql(where: str, percentage: int) -> str:
+def _split_sql(scene: str, percentage: int) -> str:
     return f"""{fx.SCENES},
-    wi AS (SELECT scene AS id, count(*) FILTER (label = 0 AND {where}) AS water, count(*) FILTER (label = 1 AND {where}) AS ice FROM sc GROUP BY scene),
+    wi AS (SELECT {scene} AS id, count(*) FILTER (label = 0) AS water, count(*) FILTER (label = 1) AS ice FROM sc GROUP BY 1),
     scored AS (SELECT *, CASE WHEN water + ice > 0 THEN abs(water::DOUBLE / (water + ice) - 0.5::DOUBLE) ELSE 1.0::DOUBLE END AS score FROM wi),
     best AS (SELECT (SELECT id FROM scored WHERE water > 0 AND ice > 0 ORDER BY score, id LIMIT 1) AS both_id,
         (SELECT min(id) FROM scored WHERE water > 0) AS fw, (SELECT min(id) FROM scored WHERE ice > 0) AS fi, (SELECT count(*) FROM scored) AS n),
@@ -122,28 +122,27 @@ def _split_sql(where: str, percentage: int) -> str:
     parts AS (SELECT id, water, ice, CASE WHEN p <= n - CASE WHEN n > 1 THEN least(greatest(1, n * {percentage} // 100), n - 1) ELSE 1 END THEN 'val' ELSE 'train' END AS split FROM placed)"""
 
 
-def _split(spark, sf_dir, where, percentage):
-    pixels = fx.scene_pixels(spark, sf_dir)
-    count = lambda k: F.count_if((F.col("label") == k) & where).alias("water" if k == 0 else "ice")
-    return labels.split(pixels.groupBy(F.col("scene").alias("id")).agg(count(0), count(1)), percentage)
+def _split(spark, sf_dir, scene, percentage):
+    count = lambda k: F.count_if(F.col("label") == k).alias("water" if k == 0 else "ice")
+    return labels.split(fx.scene_pixels(spark, sf_dir).groupBy(scene.alias("id")).agg(count(0), count(1)), percentage)
 
 
-@query(f"WITH {_split_sql('TRUE', 80)} SELECT * FROM parts")
+@query(f"WITH {_split_sql('scene', 80)} SELECT * FROM parts")
 def split_train_val(spark, sf_dir):
-    return _split(spark, sf_dir, F.lit(True), 80)
+    return _split(spark, sf_dir, F.col("scene"), 80)
 
 
-@query(f"WITH {_split_sql('event_id % 40 = 0', 60)} SELECT * FROM parts")
+@query(f"WITH {_split_sql('scene * 40 + event_id % 40', 60)} SELECT * FROM parts")
 def split_train_val_sparse(spark, sf_dir):
     """Scenes of which many have one class or none."""
-    return _split(spark, sf_dir, F.col("event_id") % 40 == 0, 60)
+    return _split(spark, sf_dir, F.col("scene") * 40 + F.col("event_id") % 40, 60)
 
 
-@query(f"""WITH {_split_sql('TRUE', 80)} SELECT coalesce(split, 'total') AS split, count(*) AS scenes,
+@query(f"""WITH {_split_sql('scene', 80)} SELECT coalesce(split, 'total') AS split, count(*) AS scenes,
     round(100.0::DOUBLE * sum(water) / sum(water + ice), 6) AS water_percentage, round(100.0::DOUBLE * sum(ice) / sum(water + ice), 6) AS ice_percentage
     FROM parts GROUP BY ROLLUP (split)""")
 def split_summary(spark, sf_dir):
-    out = labels.split_summary(_split(spark, sf_dir, F.lit(True), 80))
+    out = labels.split_summary(_split(spark, sf_dir, F.col("scene"), 80))
     return out.withColumns({c: F.round(c, 6) for c in ("water_percentage", "ice_percentage")})
 
 
@@ -202,10 +201,11 @@ def product_names(spark, sf_dir):
     return rows.select("c_custkey", names.basename(path).alias("name"), names.spacing_tag(F.col("c_nationkey") / 2).alias("tag"), names.patch_name(F.col("c_custkey")).alias("patch"))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 7 = 0)")
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
 def product_label_anti(spark, sf_dir):
     """Products without an annotation."""
-    return fx.table(spark, sf_dir, "customer").join(fx.table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    marked = fx.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    return fx.table(spark, sf_dir, "orders").join(marked, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select("o_orderkey", "o_orderpriority")
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")

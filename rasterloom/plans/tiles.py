@@ -12,6 +12,7 @@ catalog = Registry()
 query = catalog.query
 
 _SIDE = 32
+_EPX = 20  # divides the rasters' heights
 
 
 def _tiles(spark, sf_dir):
@@ -54,17 +55,17 @@ def gabor_tile(spark, sf_dir):
     return out.select("tile", F.transform("response", lambda x: F.round(x, 6)).alias("response"), "ok")
 
 
-@query(f"""WITH {fx.TWO}, q AS (SELECT row, col, floor(hh * 4) AS v FROM two WHERE row < {_SIDE}),
-    s AS (SELECT c.row, c.col, c.v, coalesce(u.v, c.v) AS u, coalesce(d.v, c.v) AS d, coalesce(l.v, c.v) AS l, coalesce(r.v, c.v) AS r FROM q c LEFT JOIN q u ON u.row = c.row - 1 AND u.col = c.col
-        LEFT JOIN q d ON d.row = c.row + 1 AND d.col = c.col LEFT JOIN q l ON l.row = c.row AND l.col = c.col - 1 LEFT JOIN q r ON r.row = c.row AND r.col = c.col + 1)
-    SELECT round(sum(CASE WHEN l = u AND l <> d AND u <> r THEN l ELSE v END), 3) AS q00, round(sum(CASE WHEN u = r AND u <> l AND r <> d THEN u ELSE v END), 3) AS q01,
-        round(sum(CASE WHEN d = l AND d <> r AND l <> u THEN d ELSE v END), 3) AS q10, round(sum(CASE WHEN r = d AND r <> u AND d <> l THEN r ELSE v END), 3) AS q11 FROM s""")
+@query(f"""WITH {fx.TWO}, q AS (SELECT row, col, floor(hh * 4) AS v FROM two),
+    s AS (SELECT c.row, c.col, c.v, coalesce(u.v, c.v) AS u, coalesce(d.v, c.v) AS d, coalesce(l.v, c.v) AS l, coalesce(r.v, c.v) AS r FROM q c LEFT JOIN q u ON u.row = c.row - 1 AND u.col = c.col AND u.row // {_EPX} = c.row // {_EPX}
+        LEFT JOIN q d ON d.row = c.row + 1 AND d.col = c.col AND d.row // {_EPX} = c.row // {_EPX} LEFT JOIN q l ON l.row = c.row AND l.col = c.col - 1 LEFT JOIN q r ON r.row = c.row AND r.col = c.col + 1)
+    SELECT row // {_EPX} AS tile, round(sum(CASE WHEN l = u AND l <> d AND u <> r THEN l ELSE v END), 3) AS q00, round(sum(CASE WHEN u = r AND u <> l AND r <> d THEN u ELSE v END), 3) AS q01,
+        round(sum(CASE WHEN d = l AND d <> r AND l <> u THEN d ELSE v END), 3) AS q10, round(sum(CASE WHEN r = d AND r <> u AND d <> l THEN r ELSE v END), 3) AS q11 FROM s GROUP BY 1""")
 def epx_upsample(spark, sf_dir):
-    """Sums of the four quarters of an edge-preserving doubling."""
-    pixels = fx.two(spark, sf_dir).where(F.col("row") < _SIDE).withColumns({"tile": F.lit(0), "hh": F.floor(F.col("hh") * 4).cast("double")})
-    out = tiles.epx_tiles(tiles.to_tiles(pixels, ["tile"], ["hh"], F.lit(0), F.lit(0), _SIDE, fx.HALF), ["tile"], "hh")
-    cells = out.select(F.posexplode("doubled").alias("i", "v")).withColumns({"r": F.floor(F.col("i") / (2 * fx.HALF)) % 2, "c": F.col("i") % 2})
+    """Sums of the four quarters of an edge-preserving doubling, tile by tile."""
+    pixels = fx.two(spark, sf_dir).withColumns({"tile": F.floor(F.col("row") / _EPX), "hh": F.floor(F.col("hh") * 4).cast("double")})
+    out = tiles.epx_tiles(tiles.to_tiles(pixels, ["tile"], ["hh"], F.col("tile") * _EPX, F.lit(0), _EPX, fx.HALF), ["tile"], "hh")
+    cells = out.select("tile", F.posexplode("doubled").alias("i", "v")).withColumns({"r": F.floor(F.col("i") / (2 * fx.HALF)) % 2, "c": F.col("i") % 2})
     part = lambda r, c: F.round(F.sum(F.when((F.col("r") == r) & (F.col("c") == c), F.col("v"))), 3).alias(f"q{r}{c}")
-    return cells.agg(part(0, 0), part(0, 1), part(1, 0), part(1, 1))
+    return cells.groupBy("tile").agg(part(0, 0), part(0, 1), part(1, 0), part(1, 1))
 
 

@@ -55,3 +55,19 @@ def test_region_kmeans_reads_all_rows(spark, bands):
         before = now
     found = sorted(tuple(r) for r in catalog.queries()["region_kmeans"](spark, SF).collect())
     assert np.allclose([r[1:] for r in found], centres, atol=2e-6)
+
+
+def test_components_of_the_whole_raster(spark, bands):
+    whole = np.concatenate(bands, axis=1)
+    classes = np.digitize(whole, (-0.05, 0.05))
+    name = np.full(classes.shape, -1)
+    for r, c in np.ndindex(*classes.shape):
+        todo = [(r, c)] if name[r, c] < 0 else []
+        own = r * 2**31 + c
+        while todo:
+            y, x = todo.pop()
+            if 0 <= y < len(classes) and 0 <= x < 64 and name[y, x] < 0 and classes[y, x] == classes[r, c]:
+                name[y, x] = own
+                todo += [(y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    found = catalog.queries()["connected_components"](spark, SF).collect()
+    assert len(found) == classes.size and all(r["component"] == name[r["row"], r["col"]] for r in found)
