@@ -1,7 +1,9 @@
 """A filter of bounded size over 64-bit keys: it may pass a key that is absent, never stops one that is present.
 
 It only spares rows a shuffle.  The exact joins that follow do not rely on it: beyond
-`MAX_WORDS` it passes more keys than needed and the result stays the same.
+`MAX_WORDS` it passes more keys than needed and the result stays the same.  Keys are dealt by
+the part of the filter that they mark, so each part is made by one task and comes to the driver once:
+32 MB at most in all, however many keys there are.
 """
 
 from __future__ import annotations
@@ -38,11 +40,16 @@ class KeyFilter:
 
 
 def build(keys: DataFrame, column: str) -> KeyFilter:
-    """The filter over a long column; 16 bits a key up to 32 MB.  Each task makes one part of it."""
+    """The filter over a long column; 16 bits a key up to 32 MB."""
     n = keys.count()
     words = min(MAX_WORDS, max(64, 1 << int(n // 4).bit_length()))
     part = min(words, PART_WORDS)
 
+    def deal(batches):
+        for batch in batches:
+            word, _ = _place(batch.column(0).to_numpy(zero_copy_only=False), words)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((word // part).astype(np.int32))], ["key", "part"])
+
     def mark(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -53,10 +60,10 @@ def build(keys: DataFrame, column: str) -> KeyFilter:
         for p, bits in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["part", "bits"])
 
-    tasks = max(1, min(64, words // part))
     dealt = keys.where(F.col(column).isNotNull()).select(F.col(column).cast("long").alias("key"))
-    rows = dealt.coalesce(tasks).mapInArrow(mark, "part int, bits binary").toLocalIterator()
+    parts = words // part
+    dealt = dealt.mapInArrow(deal, "key long, part int").repartition(parts, "part") if parts > 1 else dealt.withColumn("part", F.lit(0)).coalesce(1)
     out = np.zeros(words, dtype=U64)
-    for row in rows:  # at most tasks x 32 MB pass through, one at a time
-        out[row["part"] * part : (row["part"] + 1) * part] |= np.frombuffer(bytes(row["bits"]), dtype=U64)
+    for row in dealt.mapInArrow(mark, "part int, bits binary").toLocalIterator():
+        out[row["part"] * part : (row["part"] + 1) * part] = np.frombuffer(bytes(row["bits"]), dtype=U64)
     return KeyFilter(out)

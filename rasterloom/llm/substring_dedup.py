@@ -3,7 +3,7 @@
 Every window of `k` consecutive words is an edge of the de Bruijn graph whose nodes are the
 (k-1)-word overlaps.  Each edge belongs to the smallest `m`-gram hash inside it; consecutive
 edges of a document with the same smallest m-gram form a path, held as one row
-(anchor, content, doc_id, start, n).  Equal edges have equal anchors, so
+(anchor, content, check, doc_id, start, n).  Equal edges have equal anchors, so
 
 1. anchors met in one document only are dropped (one shuffle of path rows; a filter of bounded
    size keeps the others' paths out of later shuffles),
@@ -11,9 +11,12 @@ edges of a document with the same smallest m-gram form a path, held as one row
    settles all of their edges at once,
 3. paths whose anchor has several contents branch: they are taken apart into edges, which a
    join on the edge settles,
-4. the source coordinates (document, first word, number of words) of the settled spans go to
-   their documents, where the words found there must hash to the span's content before they
-   are cut.
+4. a settled span carries the coordinates of its source (the first document that has it, and the word
+   where it starts there) and the digest of the words found there; the words at its own place must
+   have the same digest before they are cut.
+
+Words decide through two independent 64-bit hashes, content and check, taken together: keys of
+joins and digests have 128 bits, and anchors, which have 64, only say where to look.
 
 Hot passages: minima and maxima are pre-aggregated before each shuffle; the rows of hot edges are
 not shuffled for the join back, and the join on anchors is a plain sort-merge join, whose skewed
@@ -21,7 +24,8 @@ partitions adaptive execution splits.
 
 Defined results.  Null or empty text: no words, hash of the empty string.  Documents under k
 words lose nothing.  Rows that repeat a doc_id are judged one by one: a span is cut only where
-its content is found.  A null doc_id is neither source nor target.  Other columns are ignored.
+its content is found.  A null doc_id is neither source nor target.  A text of any length is read
+whole, by itself if it is longer than a slice.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import keyfilter, textscan
 from rasterloom.llm.staging import staged
+from rasterloom.llm.textscan import U64
 
 WINDOW = 13
 ANCHOR = 5
@@ -53,11 +58,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Paths:
-    """Edges of one slice of texts, and the runs of them that share an anchor."""
+    """Edges of one slice of texts, and the runs of them that share an anchor; contents are cut to `bits` for tests of collisions."""
 
-    def __init__(self, scan: textscan.Scan, k: int, m: int):
+    def __init__(self, scan: textscan.Scan, k: int, m: int, bits: int = 64):
+        self.scan, self.k, self.mask = scan, k, U64((1 << bits) - 1)
         self.hashes = scan.word_hashes()
-        self.edge, self.row, self.edge_hash = textscan.word_windows(self.hashes, scan.first, k)
+        self.edge, self.row, _ = textscan.word_windows(self.hashes, scan.first, k)
         if not len(self.edge):
             self.start = self.stop = np.zeros(0, np.int64)
             return
@@ -68,18 +74,29 @@ class Paths:
         new[1:] = (anchor[1:] != anchor[:-1]) | (self.row[1:] != self.row[:-1])
         self.start = np.flatnonzero(new)  # first edge of each path
         self.stop = np.append(self.start[1:], len(anchor))
-        self.anchor = textscan.signed(anchor[self.start])
+        self.anchor = textscan.signed(anchor[self.start] & self.mask)
         self.first = scan.first
 
-    def content(self, k: int) -> np.ndarray:
-        return textscan.signed(textscan.words_hash(self.hashes, self.edge[self.start], self.edge[self.stop - 1] + k))
+    def digests(self, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """content and check of the words first..stop."""
+        content = textscan.words_hash(self.hashes, first, stop) & self.mask
+        return textscan.signed(content), textscan.signed(textscan.words_hash(self.scan.word_hashes(1), first, stop, 1))
+
+    def of_paths(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.digests(self.edge[self.start[own]], self.edge[self.stop[own] - 1] + self.k)
+
+    def edges_of(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the edges of the paths, and the bounds of each path among them."""
+        n = (self.stop - self.start)[own]
+        bounds = np.append(0, np.cumsum(n))
+        return np.arange(bounds[-1]) + np.repeat(self.start[own] - bounds[:-1], n), bounds
 
 
-def _anchors(k: int, m: int):
+def _anchors(k: int, m: int, bits: int):
     def run(batches):
         for batch in batches:
             for part, scan in textscan.slices(batch, "text"):
-                p = Paths(scan, k, m)
+                p = Paths(scan, k, m, bits)
                 if len(p.start):
                     ids = part.column(0).take(pa.array(p.row[p.start]))
                     yield pa.RecordBatch.from_arrays([pa.array(p.anchor), ids], ["anchor", "doc_id"])
@@ -87,66 +104,87 @@ def _anchors(k: int, m: int):
     return run
 
 
-def _paths(k: int, m: int, wanted):
+def _paths(k: int, m: int, bits: int, wanted):
     def run(batches):
         keep = wanted.value
         for batch in batches:
             for part, scan in textscan.slices(batch, "text"):
-                p = Paths(scan, k, m)
-                if not len(p.start):
+                p = Paths(scan, k, m, bits)
+                own = np.flatnonzero(keep.passes(p.anchor)) if len(p.start) else p.start
+                if not len(own):
                     continue
-                own = np.flatnonzero(keep.passes(p.anchor))
+                start, row = p.start[own], p.row[p.start[own]]
+                content, check = p.of_paths(own)
+                place = (p.edge[start] - p.first[row]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p.anchor[own]), pa.array(content), pa.array(check), part.column(0).take(pa.array(row)), pa.array(place), pa.array((p.stop - p.start)[own].astype(np.int32))],
+                    ["anchor", "content", "check", "doc_id", "start", "n"],
+                )
+
+    return run
+
+
+def _edges(k: int, m: int, bits: int, branching):
+    def run(batches):
+        keep = branching.value
+        for batch in batches:
+            for part, scan in textscan.slices(batch, "text"):
+                p = Paths(scan, k, m, bits)
+                own = np.flatnonzero(keep.passes(p.anchor)) if len(p.start) else p.start
                 if not len(own):
                     continue
-                start, n = p.start[own], (p.stop - p.start)[own]
-                row = p.row[start]
-                bounds = np.append(0, np.cumsum(n))
-                edges = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], n)
+                row = p.row[p.start[own]]
+                edges, bounds = p.edges_of(own)
+                content, check = p.digests(p.edge[edges], p.edge[edges] + k)
+                place = (p.edge[p.start[own]] - p.first[row]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(p.anchor[own]), pa.array(p.content(k)[own]), part.column(0).take(pa.array(row)),
-                        pa.array((p.edge[start] - p.first[row]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                        textscan.list_column(textscan.signed(p.edge_hash[edges]), bounds),
-                    ],
-                    ["anchor", "content", "doc_id", "start", "n", "edges"],
-                )
+                    [part.column(0).take(pa.array(row)), pa.array(place), textscan.list_column(content, bounds), textscan.list_column(check, bounds)], ["doc_id", "start", "contents", "checks"]
+                )
 
     return run
 
 
-def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
+SPAN = ("doc_id", "start", "n", "content", "check", "source", "source_start")
+
+
+def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, bits: int = 64) -> DataFrame:
     """Spans whose every k-word window also starts in a document of smaller doc_id.
 
-    doc_id, start (index of the first word), n (windows in a row), content (hash of their words).
+    doc_id, start (index of the first word), n (windows in a row), content and check (digest of the words at
+    the source), source and source_start (the first document that has the span, and the word where it starts there).
     """
     spark = docs.sparkSession
     texts = textscan.bounded(docs).where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = texts.mapInArrow(_anchors(k, m), "anchor long, doc_id long").groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    seen = texts.mapInArrow(_anchors(k, m, bits), "anchor long, doc_id long").groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = staged(seen.where("lo < hi").select("anchor"), "anchors")
     wanted = spark.sparkContext.broadcast(keyfilter.build(shared, "anchor"))  # 32 MB at most
-    paths = texts.mapInArrow(_paths(k, m, wanted), "anchor long, content long, doc_id long, start int, n int, edges array<long>")
+    paths = texts.mapInArrow(_paths(k, m, bits, wanted), "anchor long, content long, check long, doc_id long, start int, n int")
+    paths = staged(paths, "paths")
     sources = paths.groupBy("anchor").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min("content").alias("one"), F.max("content").alias("other")
-    ).where("lo < hi")
-    joined = paths.join(sources, "anchor").selectExpr("doc_id", "start", "n", "content", "lo", "if(one = other, null, edges) as edges")
-    joined = staged(joined.where("edges is not null or doc_id > lo"), "paths")
-    straight = joined.where("edges is null").select("doc_id", "start", "n", "content")
-    edges = joined.where("edges is not null").selectExpr("doc_id", "start", "posexplode(edges) as (i, edge)")
-    branching = _later(edges, "edge").selectExpr("doc_id", "start + i as start", "1 as n", "edge as content")
-    return straight.unionByName(branching)
-
-
-def _later(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key also has a smaller doc_id.
-
-    Keys with more than one in `HOT_SHARE` of the rows - fewer than `HOT_SHARE`, hence a bounded
+        F.min("doc_id").alias("source"), F.max("doc_id").alias("hi"), F.min_by("start", "doc_id").alias("source_start"),
+        (F.min("content").eqNullSafe(F.max("content")) & F.min("check").eqNullSafe(F.max("check"))).alias("straight"),
+    ).where("source < hi")
+    sources = staged(sources.drop("hi"), "sources")
+    straight = paths.join(sources.where("straight").drop("straight"), "anchor").where("doc_id > source").select(*SPAN)
+    branches = spark.sparkContext.broadcast(keyfilter.build(sources.where("not straight"), "anchor"))  # 32 MB at most
+    arrays = staged(texts.mapInArrow(_edges(k, m, bits, branches), "doc_id long, start int, contents array<long>, checks array<long>"), "edges")
+    edges = arrays.select("doc_id", "start", F.posexplode(F.arrays_zip("contents", "checks")).alias("i", "e"))
+    edges = edges.select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.col("e.contents").alias("content"), F.col("e.checks").alias("check"))
+    return straight.unionByName(_later(edges).withColumn("n", F.lit(1)).select(*SPAN))
+
+
+def _later(rows: DataFrame) -> DataFrame:
+    """The rows whose words also start in a smaller doc_id, with that source.
+
+    Words with more than one in `HOT_SHARE` of the rows - fewer than `HOT_SHARE`, hence a bounded
     broadcast - are joined where their rows are; only the others are shuffled for the join.
     """
-    first = rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows"))
-    hot = staged(first.where(F.col("rows") > rows.count() / HOT_SHARE).select(key, "lo"), "hot")
+    key = ["content", "check"]
+    first = rows.groupBy(*key).agg(F.min("doc_id").alias("source"), F.min_by("start", "doc_id").alias("source_start"), F.count("*").alias("rows"))
+    hot = staged(first.where(F.col("rows") > rows.count() / HOT_SHARE).drop("rows"), "hot")
     often = rows.join(F.broadcast(hot), key)
-    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(first.select(key, "lo"), key)
-    return often.unionByName(others).where("doc_id > lo")
+    others = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(first.drop("rows"), key)
+    return often.unionByName(others).where("doc_id > source")
 
 
 def _untouched(touched):
@@ -177,7 +215,7 @@ def _touched(touched):
     return run
 
 
-def _cut(k: int, keep_text: bool):
+def _cut(k: int, keep_text: bool, bits: int):
     def run(batches):
         for batch in batches:
             rows = ([], [], [], [])
@@ -190,12 +228,12 @@ def _cut(k: int, keep_text: bool):
                 if found is not None and len(found):
                     start = found.field("start").to_numpy(zero_copy_only=False).astype(np.int64)
                     stop = start + found.field("n").to_numpy(zero_copy_only=False) + k - 1
-                    content = found.field("content").to_numpy(zero_copy_only=False)
                     inside = stop <= len(parts)
-                    start, stop, content = start[inside], stop[inside], content[inside]
+                    start, stop = start[inside], stop[inside]
                     data = np.frombuffer(raw, np.uint8)
-                    hashes = textscan.scan(data, np.array([0, len(data)])).word_hashes()
-                    good = textscan.signed(textscan.words_hash(hashes, start, stop)) == content
+                    own = Paths(textscan.scan(data, np.array([0, len(data)])), k, k, bits).digests(start, stop)
+                    at_source = [found.field(c).to_numpy(zero_copy_only=False)[inside] for c in ("content", "check")]
+                    good = (own[0] == at_source[0]) & (own[1] == at_source[1])
                     np.add.at(gone, start[good], 1)
                     np.add.at(gone, stop[good], -1)
                 cut = np.cumsum(gone[:-1]) > 0
@@ -210,16 +248,16 @@ def _cut(k: int, keep_text: bool):
     return run
 
 
-def _with_spans(texts: DataFrame, k: int, m: int) -> DataFrame:
-    spans = repeated_spans(texts, k, m)
-    return staged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "content")).alias("spans")), "spans")
+def _with_spans(texts: DataFrame, k: int, m: int, bits: int = 64) -> DataFrame:
+    spans = repeated_spans(texts, k, m, bits)
+    return staged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "content", "check")).alias("spans")), "spans")
 
 
-def deduplicate(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
+def deduplicate(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, bits: int = 64) -> DataFrame:
     """doc_id and kept_text: each document's words, joined by one space, without its repeated spans."""
     texts = textscan.bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = texts.join(_with_spans(texts, k, m), "doc_id", "left").select("doc_id", "text", "spans")
-    return cut.mapInArrow(_cut(k, True), RESULT + ", kept_text string").select("doc_id", "n_words", "n_removed", "kept_text")
+    cut = texts.join(_with_spans(texts, k, m, bits), "doc_id", "left").select("doc_id", "text", "spans")
+    return cut.mapInArrow(_cut(k, True, bits), RESULT + ", kept_text string").select("doc_id", "n_words", "n_removed", "kept_text")
 
 
 def digest(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
@@ -232,5 +270,5 @@ def digest(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
     touched = docs.sparkSession.sparkContext.broadcast(keyfilter.build(spans, "doc_id"))  # 32 MB at most
     plain = texts.mapInArrow(_untouched(touched), RESULT)
     own = texts.mapInArrow(_touched(touched), "doc_id long, text string")
-    cut = own.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut(k, False), RESULT)
+    cut = own.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut(k, False, 64), RESULT)
     return plain.unionByName(cut)

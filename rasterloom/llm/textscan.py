@@ -21,8 +21,9 @@ SLICE_BYTES = 1 << 18
 BATCH_BYTES = 4 << 20
 U64 = np.uint64
 _MUL_A, _MUL_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
-_BYTE_BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
-_WORD_BASE = 0xD6E8FEB86659FD93
+# Two families of hashes; bases are odd, hence invertible modulo 2**64.
+_BYTE_BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_WORD_BASE = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -37,10 +38,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(_BYTE_BASE))
+CODES = tuple(mix(np.arange(1, 257, dtype=U64) * U64(base)) for base in _BYTE_BASE)
+BYTE_CODE = CODES[0]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i up to size."""
 
@@ -85,16 +87,24 @@ class Scan:
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.texts), np.diff(self.first))
 
-    def word_hashes(self) -> np.ndarray:
-        return stretch_hash(prefix_hash(BYTE_CODE[self.raw], _BYTE_BASE), self.start, self.stop, _BYTE_BASE)
+    def word_hashes(self, family: int = 0) -> np.ndarray:
+        base = _BYTE_BASE[family]
+        return stretch_hash(prefix_hash(CODES[family][self.raw], base), self.start, self.stop, base)
 
     def text_bytes(self, row: int) -> bytes:
         return self.raw[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
 
 def bounded(frame: DataFrame) -> DataFrame:
-    """The frame, in a session whose Arrow batches are small: a Python worker keeps what its largest batch took."""
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """The frame, in a session whose Arrow batches are small: a Python worker keeps what its largest batch took.
+
+    Spark reads the setting when a frame runs, so it can't be put back here; one that the session
+    has been given as small or smaller stays as it is.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = frame.sparkSession.conf.get(setting, "64MB").strip().lower()
+    if not own.isdigit() or not 0 < int(own) <= BATCH_BYTES:
+        frame.sparkSession.conf.set(setting, str(BATCH_BYTES))
     return frame
 
 
@@ -138,12 +148,13 @@ def word_windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.n
     n = np.maximum(counts - size + 1, 0)
     row = np.repeat(np.arange(len(n)), n)
     begin = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[:-1][row]
-    return begin, row, stretch_hash(prefix_hash(hashes, _WORD_BASE), begin, begin + size, _WORD_BASE)
+    return begin, row, words_hash(hashes, begin, begin + size)
 
 
-def words_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Hash of the word sequence hashes[start:stop] for each pair of bounds."""
-    return stretch_hash(prefix_hash(hashes, _WORD_BASE), start, stop, _WORD_BASE)
+def words_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hash of the word sequence hashes[start:stop] for each pair of bounds; hashes of the same family."""
+    base = _WORD_BASE[family]
+    return stretch_hash(prefix_hash(hashes, base), start, stop, base)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -112,6 +112,37 @@ def test_substring_dedup_equals_brute_force(documents, seed):
     assert kept == {d: x[3] for d, x in want.items()}
 
 
+def test_colliding_hashes_cut_nothing_wrong(documents):
+    rows = texts(3)
+    want = brute_dedup(rows)
+    got = {r["doc_id"]: r["kept_text"] for r in substring_dedup.deduplicate(documents(rows), bits=5).collect()}
+    assert got == {d: x[3] for d, x in want.items()}
+
+
+def test_spans_carry_their_source(documents):
+    rows = texts(4)
+    words = {d: (t or "").split() for d, t in rows}
+    spans = substring_dedup.repeated_spans(documents(rows)).collect()
+    assert spans
+    for s in spans:
+        size = s["n"] + substring_dedup.WINDOW - 1
+        own, there = words[s["doc_id"]][s["start"] :][:size], words[s["source"]][s["source_start"] :][:size]
+        assert s["source"] < s["doc_id"] and own == there and len(own) == size
+
+
+def test_words_that_differ_from_the_source_stay(documents):
+    import pyarrow as pa
+
+    text = " ".join(WORDS[:20])
+    data = np.frombuffer(text.encode(), np.uint8)
+    content, check = substring_dedup.Paths(substring_dedup.textscan.scan(data, np.array([0, len(data)])), 13, 5).digests(np.array([0]), np.array([13]))
+    span = lambda c: {"start": 0, "n": 1, "content": int(content[0]), "check": c}
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("content", pa.int64()), ("check", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text]), pa.array([[span(int(check[0]))], [span(int(check[0]) ^ 1)]], kind)], ["doc_id", "text", "spans"])
+    (out,) = substring_dedup._cut(13, False, 64)([batch])
+    assert out.column(2).to_pylist() == [13, 0]
+
+
 def test_substring_dedup_edges(documents):
     long = " ".join(WORDS[:20])
     assert substring_dedup.digest(documents([(1, long)]).limit(0)).count() == 0
