@@ -1,7 +1,8 @@
 """Intermediate tables in the shared folder that the cluster names in spark.checkpoint.dir.
 
 Staged tables cut lineage: a lost executor costs no more than the stage that reads them.
-They are Parquet, so later steps read only the columns that they use.
+They are Parquet, so later steps read only the columns that they use.  Frames are lazy, so the tables
+live as long as the application; they go when its driver ends, or with `release`.
 """
 
 from __future__ import annotations
@@ -23,13 +24,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Writes the frame as a Parquet table in the shared folder and returns a frame that reads it."""
-    path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    folder = shared_folder(frame.sparkSession)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    _files(frame.sparkSession, folder, lambda files, own: files.deleteOnExit(own))
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
     """Removes all tables that this application has staged; frames that read them end with it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _files(spark, shared_folder(spark), lambda files, own: files.delete(own, True))
+
+
+def _files(spark: SparkSession, folder: str, use) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    use(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path)
