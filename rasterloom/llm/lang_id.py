@@ -7,9 +7,13 @@ Forward-backward gives each word's posterior over the languages, so words of cod
 text get labels of their own; a text's language is the one with the largest sum of posteriors
 over words with letters, and its score the mean posterior of that language.
 
-Training uses a bounded sample of labelled rows (`TRAIN_DOCS` a language, chosen by a hash of
-the id; texts over `TRAIN_CHARS` characters are passed over), cut into chains; some chains join
-stretches of two languages, from which the transitions learn that switches are possible but rare.
+Training uses a bounded sample of labelled rows: about `TRAIN_DOCS` different ones a language, at most
+twice as many, chosen by a hash of id and text; a text over `TRAIN_CHARS` characters lends a stretch
+of that length, from a place chosen by the hash.  The sample is cut into chains, all of which
+are used; some chains join stretches of two languages, from which the transitions learn that
+switches are possible but rare.  Steps follow the exact gradient of the likelihood, for the
+weights and the transitions (expected neighbour pairs come from the same forward-backward pass).
+The model takes 256 KB a language, and the languages of the labels are taken to be few.
 
 Prediction reads every text whole.  Forward-backward runs over blocks of words: the product of
 a block's transfer matrices carries the state across it, so all blocks of a slice advance
@@ -17,7 +21,9 @@ together and the result is that of the plain recursion.
 
 Defined results.  Null, empty or letterless texts: language `und`, score 0.  Without any labelled
 row every text is `und`.  A single learned language is predicted with score 1.  Repeated rows get
-equal results.  Columns other than doc_id and text are ignored in prediction.
+equal results, and count once in training.  Equal sums: the first language by name.  A text of any
+length is read whole, by itself if it is longer than a slice.  Columns other than doc_id and text
+are ignored in prediction, whatever their names; `keep_known` returns all columns as they are.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rasterloom.llm import textscan
@@ -38,7 +45,6 @@ TRAIN_DOCS = 400
 TRAIN_CHARS = 20_000
 CHAIN = 32
 EPOCHS = 2
-MAX_CHAINS = 12_000
 BLOCK = 32
 
 
@@ -110,11 +116,15 @@ def emissions(model: Model, scan: textscan.Scan) -> tuple[np.ndarray, np.ndarray
     return scores[index], has[index]
 
 
-def posteriors(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, block: int = BLOCK) -> np.ndarray:
-    """Forward-backward over chains (chain c has words first[c]..first[c+1]): posteriors [words, languages]."""
+def posteriors(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, block: int = BLOCK, pairs: bool = False):
+    """Forward-backward over chains (chain c has words first[c]..first[c+1]): posteriors [words, languages].
+
+    Before its first word a chain is in any state, all alike.  With pairs, also the expected number of
+    transitions [languages, languages], those into the first words included.
+    """
     words, k = scores.shape
     if not words:
-        return scores
+        return (scores, np.zeros((k, k))) if pairs else scores
     a = np.exp(transitions - transitions.max()).astype(np.float64)
     e = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float64)
     size = np.diff(first)
@@ -146,14 +156,37 @@ def posteriors(scores: np.ndarray, transitions: np.ndarray, first: np.ndarray, b
         v /= v.sum(axis=1, keepdims=True)
         alpha[begin[live] + i] = v
         state[live] = v
+    entered = np.zeros((len(begin), k)) if pairs else None
+    if pairs:  # the state before each block, which `state` has overwritten
+        entered[:] = 1.0 / k
+        inner = np.flatnonzero(begin > first[:-1][own][chain])
+        entered[inner] = alpha[begin[inner] - 1]
+    joint = np.zeros((k, k))
+    gamma = np.empty((words, k)) if pairs else alpha
     for i in range(len(step) - 1, -1, -1):
         live = step[i]
         at = begin[live] + i
+        ahead = e[at] * leave[live]
         g = alpha[at] * leave[live]
-        alpha[at] = g / g.sum(axis=1, keepdims=True)
-        v = (e[at] * leave[live]) @ a.T
+        gamma[at] = g / g.sum(axis=1, keepdims=True)
+        if pairs:  # before(i) A(i, j) e(j) beta(j)
+            before = alpha[at - 1] if i else entered[live]
+            x = before[:, :, None] * a[None] * ahead[:, None, :]
+            joint += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        v = ahead @ a.T
         leave[live] = v / v.max(axis=1, keepdims=True)
-    return alpha
+    return (gamma, joint) if pairs else gamma
+
+
+def transition_gradient(transitions: np.ndarray, hit: np.ndarray, first: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """Gradient of the chains' log-likelihood: observed less expected transitions; hit has a 1 for each word's own label."""
+    inside = np.ones(len(hit), dtype=bool)
+    starts = first[:-1][np.diff(first) > 0]
+    inside[starts] = False
+    at = np.flatnonzero(inside)
+    a = np.exp(transitions - transitions.max()).astype(np.float64)
+    into = a / a.sum(axis=0, keepdims=True) * hit[starts].sum(axis=0)  # from the unknown state before a first word
+    return np.einsum("ni,nj->ij", hit[at - 1].astype(np.float64), hit[at].astype(np.float64)) + into - joint
 
 
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
@@ -177,7 +210,6 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     chains = [np.arange(lo, min(lo + CHAIN, hi)) for lo, hi in zip(ends[:-1], ends[1:], strict=True) for lo in range(lo, hi, CHAIN)]
     rng.shuffle(chains)
-    chains = chains[:MAX_CHAINS]
     for i in range(0, len(chains) - 1, 8):  # code-switched chains: two halves of others
         cut = int(rng.integers(4, CHAIN - 4))
         chains[i] = np.concatenate([chains[i][:cut], chains[i + 1][: CHAIN - cut]])
@@ -193,7 +225,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
             edge = np.append(0, np.cumsum(n))
             feats = bucket[np.arange(edge[-1]) + np.repeat(bounds[local] - edge[:-1], n)]
             scores = _sums(model.weights[feats], edge)[where]
-            gamma = posteriors(scores, model.transitions, first)
+            gamma, joint = posteriors(scores, model.transitions, first, pairs=True)
             hit = np.eye(k, dtype=np.float32)[truth[words]]
             delta = np.zeros((len(local), k), np.float32)
             np.add.at(delta, where, hit - gamma)
@@ -203,27 +235,25 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
             grad = grad / 64 - 1e-5 * model.weights[touched]
             squares_w[touched] += grad**2
             model.weights[touched] += 0.2 * grad / np.sqrt(squares_w[touched])
-            # Expected transitions from neighbouring posteriors' joint: alpha(i) A(i,j) e(j) beta(j).
-            inside = np.ones(len(words), dtype=bool)
-            inside[first[1:] - 1] = False
-            at = np.flatnonzero(inside)
-            joint = gamma[at][:, :, None] * np.exp(model.transitions)[None] * gamma[at + 1][:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            grad_t = (np.einsum("ni,nj->ij", hit[at], hit[at + 1]) - joint.sum(axis=0)) / 64
+            grad_t = transition_gradient(model.transitions, hit, first, joint) / 64
             squares_t += grad_t**2
             model.transitions += (0.1 * grad_t / np.sqrt(squares_t)).astype(np.float32)
     return model
 
 
 def training_rows(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], list[str]]:
-    """A bounded sample of (text, lang) rows: about `per_language` of each language, chosen by a hash of doc_id."""
-    usable = labelled.where("lang is not null and text is not null").where(F.length("text").between(1, TRAIN_CHARS))
-    usable = usable.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    """A bounded sample of (text, lang) rows: about `per_language` different ones of each language, at most twice as many."""
+    usable = labelled.where("lang is not null and text is not null and text <> ''").withColumn("key", F.xxhash64("doc_id", "text"))
+    usable = usable.withColumn("place", F.pmod("key", F.lit(1 << 30)))
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).collect()}  # a row a language
     chosen = F.lit(False)
     for lang, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("place") < int((1 << 30) * min(1.0, per_language / n))))
-    rows = usable.where(chosen).select("text", "lang", "place").collect()
+        chosen = chosen | ((F.col("lang") == lang) & (F.col("place") < int((1 << 30) * min(1.0, per_language / max(1, n)))))
+    begin = F.pmod(F.shiftright("key", 32), F.greatest(F.lit(1), F.length("text") - TRAIN_CHARS + 1)).cast("int") + 1
+    excerpt = F.when(F.length("text") > TRAIN_CHARS, F.substring("text", begin, F.lit(TRAIN_CHARS))).otherwise(F.col("text"))
+    rows = usable.where(chosen).select("key", "place", "lang", excerpt.alias("text")).groupBy("lang", "key").agg(F.min("place").alias("place"), F.min("text").alias("text"))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("place", "key"))
+    rows = rows.withColumn("first", first).where(F.col("first") <= 2 * per_language).select("place", "lang", "text").collect()
     rows = sorted((r["place"], r["lang"], r["text"]) for r in rows)
     return [r[2] for r in rows], [r[1] for r in rows]
 

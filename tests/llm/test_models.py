@@ -31,6 +31,44 @@ def test_forward_backward_equals_plain_recursion():
         assert np.allclose(got[lo:hi], want / want.sum(1, keepdims=True), atol=1e-6)
 
 
+def test_transition_gradient_equals_finite_differences():
+    rng = np.random.default_rng(1)
+    sizes = [1, 2, 9, 40, 0, 33]
+    first = np.append(0, np.cumsum(sizes))
+    scores, trans = rng.normal(size=(first[-1], 3)), rng.normal(size=(3, 3))
+    truth = rng.integers(0, 3, first[-1])
+
+    def likelihood(t):
+        total = 0.0
+        for lo, hi in zip(first[:-1], first[1:], strict=True):
+            if lo == hi:
+                continue
+            a, e = np.exp(t), np.exp(scores[lo:hi])
+            own = a[:, truth[lo]].sum() * e[0, truth[lo]]
+            alpha = (np.ones(3) @ a) * e[0]
+            for i in range(1, hi - lo):
+                own *= a[truth[lo + i - 1], truth[lo + i]] * e[i, truth[lo + i]]
+                alpha = (alpha @ a) * e[i]
+            total += np.log(own) - np.log(alpha.sum())
+        return total
+
+    gamma, joint = lang_id.posteriors(scores, trans, first, pairs=True)
+    assert np.allclose(gamma, lang_id.posteriors(scores, trans, first)) and joint.sum() == pytest.approx(first[-1])
+    got = lang_id.transition_gradient(trans, np.eye(3)[truth], first, joint)
+    for i, j in np.ndindex(3, 3):
+        step = np.zeros((3, 3))
+        step[i, j] = 1e-5
+        assert got[i, j] == pytest.approx((likelihood(trans + step) - likelihood(trans - step)) / 2e-5, abs=1e-4)
+
+
+def test_training_sample_is_bounded_and_whole(spark, documents, corpus):
+    same = [(None, "ka mo ti", "aa", "s", 0)] * 3000
+    long = [(5000 + i, sentence(random.Random(i), PARTS["bb"], 9000), "zz", "s", 0) for i in range(3)]
+    texts, langs = lang_id.training_rows(documents(corpus + same + long).select("doc_id", "text", "lang"), 20)
+    assert all(len(t) <= lang_id.TRAIN_CHARS for t in texts) and texts.count("ka mo ti") <= 1
+    assert set(langs) == {"aa", "bb", "cc", "zz"} and all(0 < langs.count(k) <= 40 for k in set(langs)) and langs.count("zz") == 3
+
+
 def sentence(rng, parts, n):
     return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(n))
 
