@@ -24,11 +24,12 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, cut=cut) -> DataFrame:
     """node, component (smallest node): point nodes at their smallest neighbour, follow the pointers to
     their ends by doubling, rename the edges, and repeat until none is left.
 
-    Every round at least halves the nodes of each component, also along chains.
+    Every round at least halves the nodes of each component, also along chains.  Loops, repeated edges and nulls
+    are ignored; no edges give no rows.  `cut` says how intermediate tables are kept; nothing is collected.
     """
     rest = cut(edges.where("a <> b").select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct())
     names = None
