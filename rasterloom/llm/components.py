@@ -1,41 +1,15 @@
-"""Connected components of an edge table by repeated contraction, with joins only."""
+"""Connected components of an edge table, with intermediate tables as Parquet in the shared folder."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rasterloom.llm.staging import staged
+from rasterloom.operators import graphs
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of edges (a long, b long); a component is named by its smallest node.
-
-    Each round points every node at its smallest neighbour or itself, follows the pointers to
-    their ends by doubling, renames both ends of all edges through them and drops loops and
-    repeats.  Stars vanish in one round, and every round at least halves the nodes of each
-    component, also along chains.  Loops, repeated edges and nulls are ignored; no edges give
-    no rows.  Nothing is collected.
-    """
-    rest = staged(edges.where("a <> b").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct(), "edges")
-    names = None
-    while not rest.isEmpty():
-        both = rest.unionByName(rest.selectExpr("b as a", "a as b"))
-        hook = staged(both.groupBy("a").agg(F.min("b").alias("low")).selectExpr("a as node", "least(a, low) as component"), "hook")
-        while True:
-            step = hook.selectExpr("node as component", "component as next")
-            further = hook.join(step, "component").selectExpr("node", "component as before", "next as component")
-            if further.where("component <> before").isEmpty():
-                break
-            hook = staged(further.drop("before"), "hook")
-        if names is None:
-            names = hook
-        else:
-            step = hook.selectExpr("node as component", "component as next")
-            names = staged(names.join(step, "component", "left").selectExpr("node", "coalesce(next, component) as component"), "names")
-        left, right = hook.selectExpr("node as a", "component as x"), hook.selectExpr("node as b", "component as y")
-        rest = rest.join(left, "a").join(right, "b").where("x <> y").selectExpr("least(x, y) as a", "greatest(x, y) as b").distinct()
-        rest = staged(rest, "edges")
-    if names is None:
-        return edges.sparkSession.createDataFrame([], "node long, component long")
-    return names
+    """(node, component) for every node of edges (a long, b long); a component is named by its smallest node."""
+    return graphs.connected_components(edges, partial(staged, name="components"))
