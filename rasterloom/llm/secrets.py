@@ -1,31 +1,36 @@
 """Secret scan with built-in functions only: fixed patterns, and character Markov models.
 
-Two first-order Markov models over character classes - of random strings and of ordinary
+Two first-order Markov models over the 67 key characters - of random strings and of ordinary
 identifiers - are estimated from labelled samples: random strings drawn here from the usual key
-alphabets, and ordinary words of a bounded number of documents without pattern matches joined
-to identifiers.  A run of key characters is a secret if the log-likelihood ratio of the two models exceeds
-`MARGIN`.  Such spans (kind `markov`) are added to those of the patterns unless they overlap one.
+alphabets, and ordinary words of a bounded number of different documents without pattern matches
+(about `SAMPLE_DOCS`, chosen by a hash of id and text, at most twice as many), plain and joined to
+identifiers.  Transitions that a sample lacks get what the character's own counts leave open (Witten-Bell),
+by the counts of its kind (lower, upper, digit, sign), and `NOISE` of all transitions may be any, so that
+no single one (as in `mail1` or `3D`) makes a secret.  A run of
+key characters is a secret if the log-likelihood ratio of the two models exceeds `MARGIN`.  Runs
+of any length are scored, but those so short that the model's largest ratios could not
+add up to the margin.  Such spans (kind `markov`) are added to those of the patterns unless they overlap one.
 
 Positions come from splitting a text by a pattern: a match starts where the lengths of the pieces
 and matches before it end.  They count code points, end exclusive.
 
-All work is per row: nothing is shuffled but the sample's few hundred class-pair counts.
+All work is per row: nothing is shuffled but the sample and its few thousand pair counts.
 
-Defined results.  Null and empty texts have no spans.  Adding up the spans of one text takes
-time with the square of their number.  Rows are judged one by one, so repeated rows and ids
-get equal results.  Other columns are kept by `redact` and ignored by `find`.
+Defined results.  Null and empty texts have no spans.  A text of any length is scanned whole; adding
+up its spans takes time with the square of their number.  Rows are judged one by one, so
+repeated rows and ids get equal results.  Without documents only the random sample speaks.  Other
+columns are kept by `redact` and ignored by `find`, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
-import random
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_DOCS = 2_000
 MARGIN = 12.0
+NOISE = 0.02
 KINDS = ("assign", "access", "hex", "markov")
 # The patterns of the base kinds; each letter of a keyword in either case.
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -33,9 +38,8 @@ _EITHER = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in wo
 ASSIGN = rf"({_EITHER})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # runs are maximal, so the lengths can be asked for within the pattern
 HEX = r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-CLASSES = "abcdefghijklmnopqrstuvwxyzA0_"
-_UPPER, _DIGITS, _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_=-"
+CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+_KIND_SIZES = (26, 26, 10, 5)
 # Key alphabets that random strings use.
 ALPHABETS = (
     "0123456789abcdef",
@@ -46,59 +50,58 @@ ALPHABETS = (
 )
 
 
-def _classes(text: Column) -> Column:
-    """Lower-case letters stay, upper-case ones become A, digits 0 and signs _."""
-    return F.translate(text, _UPPER + _DIGITS + _SIGNS, "A" * 26 + "0" * 10 + "_" * 5)
-
-
-def _class_of(c: str) -> str:
-    return "A" if c in _UPPER else "0" if c in _DIGITS else "_" if c in _SIGNS else c
-
-
-def random_pairs(seed: int = 11, strings: int = 400, size: int = 40) -> dict[str, float]:
-    """Class pairs in random strings over the key alphabets, all alphabets weighing the same."""
-    rng, out = random.Random(seed), {}
+def random_pairs(seed: int = 11, strings: int = 4000, size: int = 40) -> np.ndarray:
+    """Counts of character pairs in random strings over the key alphabets, all alphabets weighing the same."""
+    rng, k = np.random.default_rng(seed), len(CHARACTERS)
+    out = np.zeros((k, k))
     for alphabet in ALPHABETS:
-        for _ in range(strings):
-            text = "".join(_class_of(rng.choice(alphabet)) for _ in range(size))
-            for i in range(size - 1):
-                out[text[i : i + 2]] = out.get(text[i : i + 2], 0.0) + 1.0
+        codes = np.array([CHARACTERS.index(c) for c in alphabet])[rng.integers(0, len(alphabet), (strings, size))]
+        np.add.at(out, (codes[:, :-1].ravel(), codes[:, 1:].ravel()), 1)
     return out
 
 
-def ordinary_pairs(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, float]:
-    """Class pairs in words of a bounded sample of documents without pattern matches, plain and joined to identifiers."""
-    texts = docs.where("text is not null").select("doc_id", "text")
-    share = min(1.0, sample / max(1, docs.select("doc_id").count()))
-    chosen = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * share))
+def ordinary_pairs(docs: DataFrame, sample: int = SAMPLE_DOCS) -> np.ndarray:
+    """Counts of character pairs in words of a bounded sample of documents without pattern matches, plain and joined to identifiers."""
+    texts = docs.where("text is not null and text <> ''").select("text", F.xxhash64("doc_id", "text").alias("key"))
+    share = min(1.0, sample / max(1, texts.agg(F.approx_count_distinct("key", 0.02)).first()[0]))
+    chosen = texts.withColumn("place", F.pmod("key", F.lit(1 << 30))).where(F.col("place") < int((1 << 30) * share))
     chosen = chosen.where(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
-    words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{3,}"), F.lit(0))).alias("word"))
-    # Every word counts as it is, and as one part of snake_case and of CamelCase names.
-    forms = F.array("word", F.concat(F.lit("_"), F.lower("word"), F.lit("_")), F.concat(F.initcap("word"), F.lit("A")))
-    text = words.select(F.explode(forms).alias("word")).select(_classes(F.col("word")).alias("word"))
-    pairs = text.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("pair"))
-    return {r["pair"]: float(r["count"]) for r in pairs.groupBy("pair").count().collect()}  # len(CLASSES) squared at most
+    chosen = chosen.groupBy("key").agg(F.min("place").alias("place"), F.min("text").alias("text")).orderBy("place", "key").limit(2 * sample).repartition(32, "key")
+    words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{3,}"), F.lit(0))).alias("word")).groupBy("word").count()
+    # Every word counts as it is, and as one part of snake_case, of CamelCase and of CONSTANT names.
+    forms = F.array("word", F.concat(F.lit("_"), F.lower("word"), F.lit("_")), F.concat(F.initcap("word"), F.lit("A")), F.concat(F.lit("_"), F.upper("word"), F.lit("_")))
+    text = words.select(F.explode(forms).alias("word"), "count")
+    pairs = text.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("pair"), "count")
+    out = np.zeros((len(CHARACTERS),) * 2)
+    for r in pairs.groupBy("pair").agg(F.sum("count").alias("count")).collect():  # len(CHARACTERS) squared at most
+        out[CHARACTERS.index(r["pair"][0]), CHARACTERS.index(r["pair"][1])] = r["count"]
+    return out
 
 
-def ratios(random: dict[str, float], ordinary: dict[str, float]) -> list[float]:
-    """log P(b | a) under the random model less that under the ordinary one, for each class pair in order of CLASSES."""
-    k = len(CLASSES)
+def transitions(pairs: np.ndarray) -> np.ndarray:
+    """P(b | a) from counts: what a character's own counts leave open, as much as it has different successors, goes by kind."""
+    kind = np.repeat(np.arange(len(_KIND_SIZES)), _KIND_SIZES)
+    member = np.eye(len(_KIND_SIZES))[kind]
+    kinds = member.T @ (pairs + 0.5) @ member
+    of_kind = (kinds / kinds.sum(axis=1, keepdims=True) / np.array(_KIND_SIZES))[kind][:, kind]
+    total, different = pairs.sum(axis=1, keepdims=True), (pairs > 0).sum(axis=1, keepdims=True) + 1
+    return (1 - NOISE) * (pairs + different * of_kind) / (total + different) + NOISE / len(CHARACTERS)
 
-    def model(pairs: dict[str, float]) -> list[list[float]]:
-        out = []
-        for a in CLASSES:
-            row = [pairs.get(a + b, 0.0) + 0.5 for b in CLASSES]
-            out.append([x / sum(row) for x in row])
-        return out
 
-    p, q = model(random), model(ordinary)
-    return [math.log(p[i][j] / q[i][j]) for i in range(k) for j in range(k)]
+def ratios(random: np.ndarray, ordinary: np.ndarray) -> list[float]:
+    """log P(b | a) under the random model less that under the ordinary one, for each pair in order of CHARACTERS."""
+    return np.log(transitions(random) / transitions(ordinary)).ravel().tolist()
 
 
 def train(docs: DataFrame) -> list[float]:
     return ratios(random_pairs(), ordinary_pairs(docs))
 
 
+def candidates(table: list[float]) -> str:
+    """The pattern of the runs whose score can exceed the margin."""
+    return rf"[A-Za-z0-9+/_=-]{{{int(MARGIN / max(max(table), 1e-9)) + 2},}}" if max(table) * 1e6 > MARGIN else r"[^\s\S]"
+
+
 def _bind(value: Column, use) -> Column:
     """use(value) with value evaluated once, also where use has lambdas of its own."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -106,14 +109,14 @@ def _bind(value: Column, use) -> Column:
 
 def score(text: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a run of key characters."""
-    values, k = F.lit(table), len(CLASSES)
+    values, k = F.split(F.lit(" ".join(map(repr, table))), " ").cast("array<double>"), len(CHARACTERS)  # folded to one literal
 
     def ratio(codes: Column) -> Column:
         pair = lambda i: F.get(codes, i - 1) * k + F.get(codes, i)
         return F.aggregate(F.sequence(F.lit(1), F.size(codes) - 1), F.lit(0.0), lambda acc, i: acc + F.get(values, pair(i)))
 
     # One character a code, bound once: the time is linear in the run's length.
-    codes = F.transform(F.split(_classes(text), ""), lambda c: F.instr(F.lit(CLASSES), c) - 1)
+    codes = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(CHARACTERS), c) - 1)
     return F.when(F.length(text) > 1, _bind(codes, ratio)).otherwise(0.0)
 
 
@@ -148,9 +151,10 @@ def base_spans(text: Column) -> Column:
 def with_spans(docs: DataFrame, table: list[float]) -> DataFrame:
     """docs with base (spans of the patterns) and spans (all spans), by start, then kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    likely = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda w: score(w, table) > MARGIN)
+    runs = candidates(table)
+    likely = F.transform(F.regexp_extract_all(text, F.lit(runs), F.lit(0)), lambda w: score(w, table) > MARGIN)
     out = docs.withColumns({"base": base_spans(text), "likely": likely})
-    markov = _spans(text, CANDIDATE, "markov", F.col("likely"))
+    markov = _spans(text, runs, "markov", F.col("likely"))
     markov = F.when(F.exists("likely", lambda x: x), markov).otherwise(F.array().cast(SPANS))
     free = F.filter(markov, lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
     return out.withColumn("spans", F.array_sort(F.concat("base", free))).drop("likely")

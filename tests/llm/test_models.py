@@ -1,6 +1,7 @@
 """Language ID, quality and secrets."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -162,7 +163,7 @@ SECRETS = [
 
 def test_base_spans_equal_the_patterns(spark, documents):
     rows = list(enumerate(SECRETS))
-    found = {r["doc_id"]: r for r in secrets.find(documents(rows), [0.0] * len(secrets.CLASSES) ** 2).collect()}
+    found = {r["doc_id"]: r for r in secrets.find(documents(rows), [0.0] * len(secrets.CHARACTERS) ** 2).collect()}
     for d, text in rows:
         want = base(text or "")
         names = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in want)
@@ -182,25 +183,44 @@ def test_markov_model_tells_random_from_ordinary(spark, documents):
     assert np.mean(hits[:30]) > 0.95 and np.mean(hits[30:]) < 0.05
 
 
+def test_runs_of_every_length_that_can_pass_are_scored(spark, documents):
+    rng = random.Random(3)
+    words = ["connection", "manager", "internal", "response", "configuration", "handler", "default", "settings", "values", "retry"]
+    table = secrets.train(documents([(i, " ".join(rng.choice(words) for _ in range(50))) for i in range(60)]))
+    k = len(secrets.CHARACTERS)
+    value = lambda t: sum(table[secrets.CHARACTERS.index(a) * k + secrets.CHARACTERS.index(b)] for a, b in itertools.pairwise(t))
+    runs = ["".join(rng.choice(secrets.ALPHABETS[i % 5]) for _ in range(n)) for n in range(1, 24) for i in range(20)]
+    found = secrets.find(documents([(i, f"é {r} y") for i, r in enumerate(runs)]), table).orderBy("doc_id").collect()
+    for run, row in zip(runs, found, strict=True):
+        assert (f"markov:2:{2 + len(run)}" in row["spans"].split(",")) == (value(run) > secrets.MARGIN)
+    assert any(len(r) < 20 and value(r) > secrets.MARGIN for r in runs)
+    assert len(secrets.find(documents([(1, "a b")]), [-1.0] * k * k).first()["spans"]) == 0
+
+
+def test_sample_of_ordinary_words_is_bounded(spark, documents):
+    rows = [(None, "plain words here")] * 500 + [(i, f"other words {i}") for i in range(50)]
+    assert 0 < secrets.ordinary_pairs(documents(rows), 10).sum() < 20 * 3 * 60
+
+
 def test_score_equals_plain_sum(spark):
     rng = random.Random(5)
-    table = [rng.uniform(-2, 2) for _ in range(len(secrets.CLASSES) ** 2)]
+    table = [rng.uniform(-2, 2) for _ in range(len(secrets.CHARACTERS) ** 2)]
     texts = ["aB3+z", "zzz", "A_", "q"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(secrets.score(secrets.F.col("t"), table)).collect()]
     for t, g in zip(texts, got, strict=True):
-        c = [secrets.CLASSES.index(secrets._class_of(x)) for x in t]
-        assert g == pytest.approx(sum(table[a * len(secrets.CLASSES) + b] for a, b in zip(c, c[1:], strict=False)))
+        c = [secrets.CHARACTERS.index(x) for x in t]
+        assert g == pytest.approx(sum(table[a * len(secrets.CHARACTERS) + b] for a, b in zip(c, c[1:], strict=False)))
 
 
 def test_long_run_of_key_characters(spark, documents):
     run = "Ab1" * 100_000
-    row = secrets.find(documents([(1, f"x {run} y")]), [1.0] * len(secrets.CLASSES) ** 2).first()
+    row = secrets.find(documents([(1, f"x {run} y")]), [1.0] * len(secrets.CHARACTERS) ** 2).first()
     assert row["spans"] == f"markov:2:{2 + len(run)}"
 
 
 def test_redaction(spark, documents):
     rows = list(enumerate(SECRETS)) + [(50, "nothing here")]
-    out = secrets.redact(documents(rows), [0.0] * len(secrets.CLASSES) ** 2)
+    out = secrets.redact(documents(rows), [0.0] * len(secrets.CHARACTERS) ** 2)
     assert out.columns == documents(rows).columns
     found = {r["doc_id"]: r for r in out.collect()}
     for d, text in rows:
