@@ -18,9 +18,9 @@ Only the exploded windows meet the benchmark's, which are broadcast after a chec
 number (`BROADCAST_WINDOWS`; beyond it the join shuffles).  Nothing is grouped before the join,
 so hot sources or passages cost no more than others.
 
-Defined results.  Null and empty texts and items without words match nothing; template windows with under `LITERALS` ordinary words do not count.
-Rows with a null doc_id are not reported.  Repeated doc_ids are reported once.  Items of equal
-text are each reported.  Other columns are ignored.
+Defined results.  Null and empty texts and items without words match nothing; template windows with under `LITERALS` ordinary words do not count
+(items that have few others are found literally).  Rows with a null doc_id are not reported.  Repeated doc_ids are reported once.  Items of equal
+text are each reported.  A text of any length is searched whole, in one row's arrays.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -94,11 +94,13 @@ def _consistent(docs: DataFrame, benchmark: DataFrame, slotted: DataFrame, size:
     words = lambda frame, name: frame.select(
         f"{name}_id", F.xxhash64("text").alias(f"{name}_key"), _words(template(F.col("text"))).alias(f"{name}_template"), _words(_bare(_spaced(F.col("text")))).alias(f"{name}_words")
     )
-    found = slotted.join(words(docs, "doc"), "doc_id").join(words(benchmark, "item"), "item_id")
-    pairs = found.select("doc_id", "item_id", "doc_key", (F.col("dp") - F.col("ip")).alias("shift"), "dp", "ip", "doc_words", "doc_template", "item_words", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("k"))
-    at = lambda c, p: F.get(F.col(c), F.col(p) + F.col("k"))
-    pairs = pairs.where(at("doc_template", "dp").rlike(f"[{NUMBER}{NAME}{UNIT}]"))
-    values = pairs.select("doc_id", "item_id", "doc_key", "shift", at("item_words", "ip").alias("a"), at("doc_words", "dp").alias("b")).distinct()
+    own = docs.join(slotted.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = slotted.join(words(own, "doc"), "doc_id").join(words(benchmark.join(slotted.select("item_id").distinct(), "item_id", "left_semi"), "item"), "item_id")
+    # Only the window's words travel on, and of those only the slots.
+    held = lambda c, p: F.slice(c, F.col(p) + 1, size).alias(c)
+    found = found.select("doc_id", "item_id", "doc_key", (F.col("dp") - F.col("ip")).alias("shift"), held("doc_words", "dp"), held("doc_template", "dp"), held("item_words", "ip"))
+    zipped = F.explode(F.filter(F.arrays_zip("item_words", "doc_words", "doc_template"), lambda w: w["doc_template"].rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+    values = found.select("doc_id", "item_id", "doc_key", "shift", zipped.alias("w")).select("doc_id", "item_id", "doc_key", "shift", F.col("w.item_words").alias("a"), F.col("w.doc_words").alias("b")).distinct()
     each = values.groupBy("doc_id", "item_id", "doc_key", "shift").agg(F.count("*").alias("n"), F.countDistinct("a").alias("na"), F.countDistinct("b").alias("nb"))
     return each.where("n = na and n = nb").select("doc_id", "item_id", "shift").distinct()
 

@@ -4,14 +4,15 @@
 2. The votes of all documents are counted by pattern (at most 3**labellers patterns), and
    expectation-maximisation on these counts estimates each labeller's accuracy and the share of
    good texts, assuming labellers err independently given the label.  No labels are used.
-3. The posterior labels of a bounded sample (`TRAIN_DOCS` documents, chosen by a hash of the id; texts
-   over `TRAIN_CHARS` characters are passed over) train a linear scorer over hashed features: the words
-   and the shares and shapes of characters, words and lines.
+3. The posterior labels of a bounded sample (about `TRAIN_DOCS` different documents, at most twice as
+   many, chosen by a hash of id and text; texts over `TRAIN_CHARS` characters are passed over) train a
+   linear scorer over hashed features: the words and the shares and shapes of characters, words and lines.
 4. The scorer reads every text whole.
 
 Defined results.  Null, empty and blank texts: score 0, not kept.  Without any document that
 votes differ on, or without a sample, the score is the posterior of the votes.  Repeated rows
-get equal results.  Columns other than doc_id and text are ignored.
+get equal results, and count once in training.  A text of any length is read whole, by itself if it is
+longer than a slice.  Columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm import textscan
+from rasterloom.llm import sampling, textscan
 from rasterloom.llm.textscan import U64
 
 BUCKETS = 1 << 14
@@ -248,9 +249,7 @@ def train(texts: list[str], labels: LabelModel, seed: int = 5) -> Scorer:
 
 def fit(docs: DataFrame, sample: int = TRAIN_DOCS) -> Scorer:
     labels = fit_labels(docs)
-    share = min(1.0, sample / max(1, docs.select("doc_id").count()))
-    usable = docs.where(F.length("text").between(1, TRAIN_CHARS)).withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
-    rows = usable.where(F.col("place") < int((1 << 30) * share)).select("place", "text").collect()
+    rows = sampling.different_texts(docs, sample, F.length("text") <= TRAIN_CHARS).select("place", "text").collect()
     return train([r["text"] for r in sorted(rows)], labels)
 
 

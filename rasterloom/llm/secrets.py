@@ -28,6 +28,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm import sampling
+
 SAMPLE_DOCS = 2_000
 MARGIN = 12.0
 NOISE = 0.02
@@ -62,11 +64,8 @@ def random_pairs(seed: int = 11, strings: int = 4000, size: int = 40) -> np.ndar
 
 def ordinary_pairs(docs: DataFrame, sample: int = SAMPLE_DOCS) -> np.ndarray:
     """Counts of character pairs in words of a bounded sample of documents without pattern matches, plain and joined to identifiers."""
-    texts = docs.where("text is not null and text <> ''").select("text", F.xxhash64("doc_id", "text").alias("key"))
-    share = min(1.0, sample / max(1, texts.agg(F.approx_count_distinct("key", 0.02)).first()[0]))
-    chosen = texts.withColumn("place", F.pmod("key", F.lit(1 << 30))).where(F.col("place") < int((1 << 30) * share))
+    chosen = sampling.different_texts(docs, sample).repartition(32, "key")
     chosen = chosen.where(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
-    chosen = chosen.groupBy("key").agg(F.min("place").alias("place"), F.min("text").alias("text")).orderBy("place", "key").limit(2 * sample).repartition(32, "key")
     words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{3,}"), F.lit(0))).alias("word")).groupBy("word").count()
     # Every word counts as it is, and as one part of snake_case, of CamelCase and of CONSTANT names.
     forms = F.array("word", F.concat(F.lit("_"), F.lower("word"), F.lit("_")), F.concat(F.initcap("word"), F.lit("A")), F.concat(F.lit("_"), F.upper("word"), F.lit("_")))

@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from rasterloom.llm import lang_id, quality, secrets, textscan
+from rasterloom.llm import lang_id, quality, sampling, secrets, textscan
 
 
 def test_forward_backward_equals_plain_recursion():
@@ -197,6 +197,13 @@ def test_runs_of_every_length_that_can_pass_are_scored(spark, documents):
     assert len(secrets.find(documents([(1, "a b")]), [-1.0] * k * k).first()["spans"]) == 0
 
 
+def test_samples_hold_different_rows_only(spark, documents):
+    rows = [(None, f"text {i}") for i in range(600)] + [(7, "the same")] * 900 + [(9, None), (9, "")]
+    found = [r["text"] for r in sampling.different_texts(documents(rows), 50).collect()]
+    assert 10 < len(found) <= 100 and len(set(found)) == len(found)
+    assert len({r["text"] for r in sampling.different_texts(documents(rows), 5000).collect()}) == 601
+
+
 def test_sample_of_ordinary_words_is_bounded(spark, documents):
     rows = [(None, "plain words here")] * 500 + [(i, f"other words {i}") for i in range(50)]
     assert 0 < secrets.ordinary_pairs(documents(rows), 10).sum() < 20 * 3 * 60
