@@ -8,16 +8,22 @@
    threshold.  Classes are shuffled on (band, hash) and linked to the smallest class of each
    bucket - one row for each member, never all pairs.  Components of these links hold every
    pair that shares a band.
-3. Each component's full shingle sets go, once, to one task if they are few, else to blocks of
-   bounded size, every pair of blocks being one task.  There all similarities are computed
+3. The full shingle sets of a component that fits one block go to one task.  In a larger one, which
+   may be a chain of unlike texts, the links to the buckets' smallest classes are verified first and
+   closed into groups: a group's sets go to blocks of bounded size, every pair of blocks being
+   one task, and beyond that only buckets in which groups meet are compared, each pair of classes
+   in the first bucket that both share.  All similarities of a task are computed
    exactly as a matrix product and only counts and a spanning forest of the links leave it.
 4. Components of the true links are the duplicate groups.
 
 Rows are never dropped: a group with a third of all texts is spread over (m / block)^2 / 2 tasks.
+Classes are told apart by 128 bits and the number of their shingles, and numbered from there on.
 
 Defined results.  Texts that are null, empty or blank have no shingles: they link to nothing
 and are classes of their own.  Repeated rows and repeated doc_ids count as copies.  Rows with
-a null doc_id pass through with null columns.  Other columns are ignored.
+a null doc_id pass through with null columns.  Of rows equal in doc_id and text `keep_one` keeps the
+one whose other columns, as text, have the smallest hash.  A text of any length takes part whole; one larger than a
+block is a block of its own.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +46,7 @@ RECALL = 0.9995
 HASHES = 128
 BLOCK_SHINGLES = 400_000  # of one block: 3.2 MB of hashes
 BLOCK_NODES = 2_048  # in one block: a pair of blocks gives a matrix of 32 MB
+HUB_NODES = 1_024  # compared with one hub in a task
 
 
 @lru_cache(maxsize=8)
@@ -71,6 +78,13 @@ def shingle_sets(scan: textscan.Scan, size: int = SHINGLE) -> tuple[np.ndarray,
     return grams, np.searchsorted(row, np.arange(scan.texts + 1))
 
 
+def _names(grams: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over the distinct hashes of each set, which together name it."""
+    if not len(begin):
+        return np.zeros(0, U64), np.zeros(0, U64)
+    return np.add.reduceat(grams, begin), np.add.reduceat(textscan.mix(grams ^ U64(0x2545F4914F6CDD1D)), begin)
+
+
 def _signatures(size: int, bands: int, rows: int):
     seeds = textscan.mix(np.arange(1, bands * rows + 1, dtype=U64) * U64(0xA24BAED4963EE407)) | U64(1)
 
@@ -84,8 +98,7 @@ def _signatures(size: int, bands: int, rows: int):
                 out = np.zeros((len(n), bands), U64)
                 if len(full):
                     begin = bounds[:-1][full]
-                    node[full] = np.add.reduceat(grams, begin)  # of distinct hashes: names the set
-                    key[full] = np.add.reduceat(textscan.mix(grams ^ U64(0x2545F4914F6CDD1D)), begin)
+                    node[full], key[full] = _names(grams, begin)
                     for band in range(bands):
                         acc = np.full(len(full), band + 1, U64)
                         for seed in seeds[band * rows : band * rows + rows]:
@@ -109,11 +122,12 @@ def _sets(size: int, wanted):
             chosen = batch.filter(pa.array(keep.passes(ids)))
             for _, scan in textscan.slices(chosen, "text"):
                 grams, bounds = shingle_sets(scan, size)
-                full = np.flatnonzero(np.diff(bounds))
-                node = np.add.reduceat(grams, bounds[:-1][full]) if len(full) else np.zeros(0, U64)
+                n = np.diff(bounds)
+                full = np.flatnonzero(n)
+                node, key = _names(grams, bounds[:-1][full])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textscan.signed(node)), textscan.list_column(textscan.signed(grams), np.append(bounds[:-1][full], bounds[-1]))],
-                    ["node", "grams"],
+                    [pa.array(n[full].astype(np.int64)), pa.array(textscan.signed(node)), pa.array(textscan.signed(key)), textscan.list_column(textscan.signed(grams), np.append(bounds[:-1][full], bounds[-1]))],
+                    ["n", "node", "key", "grams"],
                 )
 
     return run
@@ -139,36 +153,41 @@ def shared_counts(sets: list[np.ndarray], left: int) -> np.ndarray:
 
 
 def _verify(threshold: float, batch: pa.Table) -> pa.Table:
-    """Links within a block, or between two: counts for each node and a spanning forest of the links.
+    """Links within a block, or between two: counts for each class and a spanning forest of the links.
 
     A pair of blocks of which one is empty has none: those within the other are counted in its own task.
+    In a bucket (band >= 0) only links between groups count, and only if no earlier band is shared.
     """
-    batch = batch.combine_chunks().sort_by([("side", "ascending"), ("node", "ascending")])
-    node = batch["node"].to_numpy()
+    batch = batch.combine_chunks().sort_by([("side", "ascending"), ("id", "ascending")])
+    names = batch["id"].to_numpy()
     side = batch["side"].to_numpy()
     copies = batch["copies"].to_numpy().astype(np.float64)
     flat = batch["grams"].chunk(0) if batch["grams"].num_chunks else batch["grams"].combine_chunks()
-    sets = [flat[i].values.to_numpy() for i in range(len(node))]
+    sets = [flat[i].values.to_numpy() for i in range(len(names))]
     split = bool(side[-1] != side[0])
     if not split and batch["p"][0] != batch["q"][0]:
         none = pa.array([], pa.int64())
-        return pa.table({"node": none, "root": none, "links": none})
+        return pa.table({"id": none, "root": none, "links": none})
     left = int((side == side[0]).sum())
     shared = shared_counts(sets, left)
     sizes = np.array([len(s) for s in sets], dtype=np.float32)
     linked = shared >= threshold * (sizes[:left, None] + sizes[None, :] - shared) - 1e-4
+    band = batch["band"][0].as_py()
+    if band >= 0:
+        group = batch["tight"].to_numpy()
+        linked &= group[:left, None] != group[None, :]
+        bands = np.array(batch["bands"].to_pylist(), dtype=np.int64)
+        for earlier in range(band):
+            linked &= bands[:left, earlier, None] != bands[None, :, earlier]
     if split:
         linked = linked[:, left:]
-        a, b = node[:left], node[left:]
         found = np.concatenate([linked @ copies[left:], linked.T @ copies[:left]])
     else:
         np.fill_diagonal(linked, False)
-        a = b = node
         found = linked @ copies
-    # Forest: from each unseen node, spread over its links.
-    n, at = len(a), len(a) if split else 0
-    links = lambda i: np.flatnonzero(linked[i]) + at if i < n else np.flatnonzero(linked[:, i - at])
-    names = np.concatenate([a, b]) if split else a
+    # Forest: from each unseen class, spread over its links.
+    at = left if split else 0
+    links = lambda i: np.flatnonzero(linked[i]) + at if i < left else np.flatnonzero(linked[:, i - at])
     group = np.arange(len(names))
     seen = np.zeros(len(names), dtype=bool)
     for root in range(len(names)):
@@ -180,7 +199,68 @@ def _verify(threshold: float, batch: pa.Table) -> pa.Table:
             seen[near] = True
             group[near] = root
             todo.extend(near.tolist())
-    return pa.table({"node": pa.array(names), "root": pa.array(names[group]), "links": pa.array(found.astype(np.int64))})
+    return pa.table({"id": pa.array(names), "root": pa.array(names[group]), "links": pa.array(found.astype(np.int64))})
+
+
+def _hub_links(threshold: float, batch: pa.Table) -> pa.Table:
+    """The members of one hub's share that are linked to it."""
+    hub = batch["hub"][0].as_py()
+    names = batch["id"].to_numpy()
+    flat = batch["grams"].combine_chunks()
+    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+    own = np.sort(flat[int(np.flatnonzero(names == hub)[0])].values.to_numpy())
+    near = []
+    for i in np.flatnonzero(names != hub):
+        other = flat[int(i)].values.to_numpy()
+        place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+        shared = int((own[place] == other).sum())
+        if shared >= threshold * (len(own) + len(other) - shared) - 1e-9:
+            near.append(int(names[i]))
+    return pa.table({"a": pa.array(near, pa.int64()), "b": pa.array([hub] * len(near), pa.int64())})
+
+
+def _blocks(members: DataFrame, unit: list[str]) -> DataFrame:
+    """members with blocks, the number of blocks that their unit's shingles and classes need, and size, its classes."""
+    count = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES)).cast("int")
+    return members.join(members.groupBy(*unit).agg(count.alias("blocks"), F.count("*").alias("size")), unit)
+
+
+UNIT = ["band", "component", "p", "q"]
+
+
+def _paired(members: DataFrame) -> DataFrame:
+    """A row for each member (band, component, blocks, id, n, copies, tight, bands) and each pair of blocks that its own is in."""
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.select(
+        "band", "component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.col("own").alias("side"), "id", "copies", "tight", "bands"
+    )
+
+
+def _units(classes: DataFrame, stars: DataFrame, grams: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """The comparisons that hold every pair of classes which shares a band, each pair once: UNIT, side, id, copies, tight, bands."""
+    plain = [F.lit(-1).alias("band"), "component", "blocks", "id", "copies", F.lit(None).cast("long").alias("tight"), F.lit(None).cast("array<long>").alias("bands")]
+    sized = staged(_blocks(members, ["component"]), "sized")
+    units = _paired(sized.where("blocks = 1").select(*plain))
+    large = sized.where("blocks > 1").select("id", "n", "copies")
+    if large.isEmpty():
+        return units
+    # Links to the buckets' smallest classes, verified and closed into groups.
+    own = staged(stars.join(large.select(F.col("id").alias("a")), "a", "left_semi").distinct(), "stars")
+    hubs = own.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / HUB_NODES).cast("int").alias("shares"))
+    share = F.pmod(F.xxhash64("id"), F.col("shares")).cast("int")
+    asked = own.select(F.col("a").alias("id"), F.col("b").alias("hub")).join(hubs, "hub").select("hub", share.alias("share"), "id")
+    asked = asked.unionByName(hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("hub").alias("id")))
+    true = asked.join(grams, "id").groupBy("hub", "share").applyInArrow(lambda t: _hub_links(threshold, t), "a long, b long")
+    tight = connected_components(staged(true, "hub-links")).withColumnRenamed("node", "id").withColumnRenamed("component", "tight")
+    large = staged(large.join(tight, "id", "left").withColumn("tight", F.coalesce("tight", "id")), "large")
+    groups = _blocks(large.withColumn("component", F.col("tight")), ["component"]).where("size > 1")
+    units = units.unionByName(_paired(groups.select(*plain)))
+    # Buckets in which groups meet.
+    met = large.join(classes.select("id", "bands"), "id").select("id", "n", "copies", "tight", "bands", F.posexplode("bands").alias("band", "component"))
+    mixed = met.groupBy("band", "component").agg(F.min("tight").alias("one"), F.max("tight").alias("other")).where("one <> other")
+    met = _blocks(met.join(mixed.select("band", "component"), ["band", "component"]), ["band", "component"])
+    return units.unionByName(_paired(met.select("band", "component", "blocks", "id", "copies", "tight", "bands")))
 
 
 def _found(docs: DataFrame, threshold: float, size: int, recall: float) -> DataFrame:
@@ -191,31 +271,25 @@ def _found(docs: DataFrame, threshold: float, size: int, recall: float) -> DataF
     signed = keyed.mapInArrow(_signatures(size, bands, rows), "doc_id long, text_key long, n long, node long, key long, bands array<long>")
     signed = staged(signed, "signatures")
     classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "node", "key")
-    classes = staged(classes.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "classes")
-    banded = classes.selectExpr("node", "posexplode(bands) as (band, hash)")
-    hubs = banded.groupBy("band", "hash").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    stars = banded.join(hubs.select("band", "hash", "hub"), ["band", "hash"]).where("node <> hub").selectExpr("node as a", "hub as b")
-    candidates = connected_components(stars)
-    members = staged(candidates.join(classes.select("node", "rep", "copies", "n"), "node"), "members")
-
-    # Blocks: as many as a component's shingles and nodes need; a node goes to the blocks by a hash.
-    count = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES))
-    blocks = members.groupBy("component").agg(count.cast("int").alias("blocks"))
+    classes = classes.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # the table fixes the numbers
+    banded = classes.selectExpr("id", "posexplode(bands) as (band, hash)")
+    hubs = banded.groupBy("band", "hash").agg(F.min("id").alias("hub"), F.count("*").alias("members")).where("members > 1")
+    stars = banded.join(hubs.select("band", "hash", "hub"), ["band", "hash"]).where("id <> hub").selectExpr("id as a", "hub as b")
+    stars = staged(stars.distinct(), "candidates")
+    candidates = connected_components(stars).withColumnRenamed("node", "id")
+    members = staged(candidates.join(classes.select("id", "n", "node", "key", "rep", "copies"), "id"), "members")
     wanted = docs.sparkSession.sparkContext.broadcast(keyfilter.build(members, "rep"))  # 32 MB at most
-    grams = texts.where("doc_id is not null and text is not null").mapInArrow(_sets(size, wanted), "node long, grams array<long>")
-    grams = grams.join(members, "node").dropDuplicates(["node"])
-    dealt = grams.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select(
-        "component", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), F.col("own").alias("side"), "node", "copies", "grams"
-    )
-    found = pairs.groupBy("component", "p", "q").applyInArrow(lambda t: _verify(threshold, t), "node long, root long, links long")
+    grams = texts.where("doc_id is not null and text is not null").mapInArrow(_sets(size, wanted), "n long, node long, key long, grams array<long>")
+    grams = staged(grams.join(members.select("id", "n", "node", "key"), ["n", "node", "key"]).dropDuplicates(["id"]).select("id", "grams"), "sets")
+    units = _units(classes, stars, grams, members.select("id", "n", "copies", "component"), threshold)
+    found = units.join(grams, "id").groupBy(*UNIT).applyInArrow(lambda t: _verify(threshold, t), "id long, root long, links long")
     found = staged(found, "links")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    groups = connected_components(found.where("node <> root").selectExpr("node as a", "root as b"))
+    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
+    groups = connected_components(found.where("id <> root").selectExpr("id as a", "root as b")).withColumnRenamed("node", "id")
 
-    known = classes.select("n", "node", "key", "rep", "copies").join(counts, "node", "left").join(groups, "node", "left")
-    known = known.withColumn("cluster", F.coalesce("component", "node"))
+    known = classes.select("n", "node", "key", "id", "rep", "copies").join(counts, "id", "left").join(groups, "id", "left")
+    known = known.withColumn("cluster", F.coalesce("component", "id"))
     known = known.join(known.groupBy("cluster").agg(F.min("rep").alias("least")), "cluster")
     out = signed.drop("bands").withColumn("n", F.when(F.col("doc_id").isNotNull(), F.col("n")))
     return out.join(known, ["n", "node", "key"], "left").selectExpr(
@@ -250,6 +324,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
     first = found.groupBy("cluster").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     first = staged(first.selectExpr("first.doc_id as _id", "first.text_key as _key"), "first")
     bare = F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    rest = docs.where(~bare).withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.xxhash64("text")})
-    once = rest.join(first, ["_id", "_key"]).dropDuplicates(["_id", "_key"])
-    return docs.where(bare).unionByName(once.select(*docs.columns))
+    other = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    rest = docs.where(~bare).select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)], F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"), other.alias("_other"))
+    rest = rest.join(first, ["_id", "_key"])
+    once = rest.groupBy("_id", "_key").agg(F.min("_other").alias("_other"))
+    once = rest.join(once, ["_id", "_key", "_other"]).dropDuplicates(["_id", "_key"])
+    return docs.where(bare).unionByName(once.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)]))

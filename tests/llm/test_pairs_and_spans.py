@@ -74,6 +74,21 @@ def test_ngram_join_equals_brute_force(documents, monkeypatch, shingles, nodes):
     assert all(r["copy_of"] == min([d, *(o for o in links[d] if sets[o] == sets[d])]) for d, r in found.items())
 
 
+def test_chains_of_unlike_texts_cost_no_squares(documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 4)
+    rng = random.Random(8)
+    stream = [rng.choice(WORDS) for _ in range(60 + 25 * 500)]
+    rows = [(i, " ".join(stream[25 * i : 25 * i + 60])) for i in range(500)]  # neighbours share 31 of 81 shingles
+    rows += [(900, rows[40][1].replace(" ", "  ")), (901, " ".join([*rows[77][1].split(), "end"]))]
+    sent = []
+    paired = ngram_join._paired
+    monkeypatch.setattr(ngram_join, "_paired", lambda members: sent.append(paired(members)) or sent[-1])
+    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.near_duplicates(documents(rows)).collect()}
+    want = {d: (d, 0) for d, _ in rows} | {40: (40, 1), 900: (40, 1), 77: (77, 1), 901: (77, 1)}
+    assert found == want
+    assert sum(f.count() for f in sent) < 20 * len(rows)
+
+
 def test_banding_reaches_its_recall():
     bands, rows = ngram_join.banding(0.8, 0.9995)
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8**rows) ** bands >= 0.9995
