@@ -14,7 +14,8 @@ message is the stretch of its (escaped) text, for assistants only.
 
 Defined results.  Null roles and texts are empty; a null turn or seq sorts first; ties sort by
 kind, role and text.  A null conv_id is a conversation of its own.  Repeated rows are messages
-each.  An empty table gives no rows.  Other columns are ignored.
+each.  An empty table gives no rows.  A text of any length is one message, held whole.  Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations

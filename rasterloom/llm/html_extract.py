@@ -14,21 +14,27 @@ A page's main text comes from the slots inside its article (else its main elemen
 either, from all slots.  One inside an element that only a word in its class or id marks counts
 if there is no article outside such elements, and before a main element if it is longer.  An article (or main element) with less than half of its text in slots is a copy
 and is taken whole.  Elements that hold navigation, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments - by tag, role or class - are passed over.
+adverts, forms, scripts (and what stands in for them), styles or reader comments - by tag, role or
+class - are passed over.  A class or id speaks by a word such as `comments`, with none beside it that
+is not about place or shape: `related-posts` is other content, `related-work` is not.
 
 A host's template has at most twice as many tokens as its mean page, so it travels as one row;
 it meets the pages in a plain join, which adaptive execution broadcasts or splits by size.
 
 Defined results.  Null and empty pages: empty text.  A null or odd url belongs to the host "".
 Unclosed and stray tags are read as browsers do: a paragraph ends with the next one, an end tag
-without a start is passed over.  Repeated rows are extracted each.  Other columns are ignored.
+without a start is passed over.  Repeated rows are extracted each, and count each among the pages
+of their host.  A page of any length is read whole, in one worker's memory.  Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-import zlib
+from functools import lru_cache
+
+import xxhash
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,7 +45,7 @@ from rasterloom.llm.staging import staged
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg select".split())
+RAW = frozenset("script style noscript template textarea title iframe select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 # Elements, roles and words in classes or ids that mark other content than the article.
@@ -50,6 +56,11 @@ ASIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs sidebar aside widget footer header masthead topbar comment comments respond reply replies disqus share sharing social related recommended "
     "newsletter subscribe signup login paywall pagination pager skip".split()
 )
+# Words that say where or how a part is shown, and leave its kind to the other words of a class.
+FRAME_WORDS = frozenset(
+    "area bar block body bottom box button col column container content global group head heading inner item items left links list main outer page panel "
+    "post posts right row section site slot small sticky text title top unit wrap wrapper".split()
+)
 MIN_SHARE = 0.5
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
@@ -67,8 +78,16 @@ def _aside(tag: str, attributes: str) -> tuple[int, str]:
     name = f"{tag}.{found['class'].replace('/', '|')}" if found.get("class") else tag
     if tag in ("html", "body", "main", "article") or found.get("role") == "main":
         return 0, name
-    words = set(_SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}"))
-    return 2 if tag in ASIDE_TAGS or found.get("role") in ASIDE_ROLES else int(bool(words & ASIDE_WORDS)), name
+    if tag in ASIDE_TAGS or found.get("role") in ASIDE_ROLES:
+        return 2, name
+    return int(any(map(_names_aside, f"{found.get('class', '')} {found.get('id', '')}".split()))), name
+
+
+@lru_cache(maxsize=1 << 14)
+def _names_aside(token: str) -> bool:
+    """Whether a class or id says that a part is other content: by a word for it, with no word for something else."""
+    words = {w for w in _SPLIT.split(token) if w}
+    return bool(words & ASIDE_WORDS) and words <= ASIDE_WORDS | FRAME_WORDS
 
 
 def texts(page: str):
@@ -134,8 +153,8 @@ def texts(page: str):
 
 def _key(path: str, text: str | None) -> int:
     """A 63-bit name of a token."""
-    data = f"{path}\x00{text}".encode() if text is not None else path.encode()
-    return (zlib.crc32(data) << 31) ^ zlib.crc32(data[::-1] + b"\x01")
+    data = f"{path}\x00{text}" if text is not None else path
+    return xxhash.xxh3_64_intdigest(data.encode("utf-8", "surrogatepass")) >> 1
 
 
 def _tokens(batches):
@@ -155,8 +174,7 @@ def _tokens(batches):
                     keys.append(k)
                     parents.append(parent)
                     counts.append(n)
-                    mark = f"{page_id}:{n}".encode()
-                    marks.append((zlib.crc32(mark) << 31) ^ zlib.crc32(b"\x02" + mark))
+                    marks.append(xxhash.xxh3_64_intdigest(f"{page_id}:{n}") >> 1)
             hosts = part.column(1).take(pa.array(owners, pa.int32()))
             yield pa.RecordBatch.from_arrays([hosts, pa.array(keys, pa.int64()), pa.array(parents, pa.int64()), pa.array(counts, pa.int64()), pa.array(marks, pa.int64())], ["host", "token", "parent", "n", "mark"])
 
@@ -171,11 +189,11 @@ def templates(pages: DataFrame, share: float = MIN_SHARE) -> DataFrame:
     own = textscan.bounded(pages).select("page_id", host(F.col("url")).alias("host"), F.col("html").alias("html"))
     size = own.groupBy("host").agg(F.count("*").alias("total"))
     vectors = own.mapInArrow(_tokens, "host string, token long, parent long, n long, mark long").groupBy("host", "token")
-    vectors = vectors.agg(F.min("parent").alias("parent"), F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"))
+    vectors = vectors.agg(F.min("parent").alias("parent"), F.count("*").alias("pages"), F.sum("n").alias("times"), F.bit_xor("mark").alias("digest"), F.sum(F.shiftright("mark", 24)).alias("marks"))
     vectors = staged(vectors, "vectors")
     size = size.join(vectors.groupBy("host").agg(F.count("*").alias("tokens")), "host")
     frequent = vectors.join(size, "host").where((F.col("pages") >= 2) & (F.col("pages") >= share * F.col("total")))
-    frequent = frequent.selectExpr("host", "token", "parent", "pages", "xxhash64(pages, times, digest) as vector", "total", "tokens")
+    frequent = frequent.selectExpr("host", "token", "parent", "pages", "xxhash64(pages, times, digest, marks) as vector", "total", "tokens")
     nested = frequent.groupBy("host").applyInArrow(_nest, "host string, token long, pages long, vector long, outer long, fixed boolean")
     return nested.selectExpr("host", "token", "pages", "xxhash64(vector, outer) as class", "outer", "fixed")
 

@@ -16,7 +16,8 @@ sources conflict with nothing.  The default cluster is the exact text.
 
 Defined results.  Null, empty and blank texts have no words: bin, piece start and length are
 null and 0, nothing is dropped.  Repeated rows are packed each; as copies they share no bin.
-Other columns are ignored.
+Equal lengths are placed by id, cluster and source.  A text of any length is cut into pieces.  Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def best_fit(sizes: list[int], conflicts: list[int], capacity: int) -> list[tupl
 def _pack(capacity: int):
     def run(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        table = table.sort_by([("n_words", "descending"), ("doc_id", "ascending"), ("cluster", "ascending")])
+        table = table.sort_by([("n_words", "descending"), ("doc_id", "ascending"), ("cluster", "ascending"), ("source", "ascending")])
         ids, words = table["doc_id"].to_pylist(), table["n_words"].to_pylist()
         sources = _bits(table["source"].to_pylist(), False)
         clusters = _bits(table["cluster"].to_pylist(), True)

@@ -40,5 +40,51 @@ def test_words_in_classes_do_not_reach_articles():
     assert html_extract.main_text("<aside><article>Teaser</article></aside><p>Story</p>") == "Story"
 
 
+def test_parts_of_articles_with_telling_names_stay():
+    inner = "<div class='{}'>Part</div>"
+    for name in ("related-work", "comments-on-method", "social-history", "title2 notice-of-motion", "x"):
+        assert html_extract.main_text(f"<article>Story {inner.format(name)}</article>") == "Story Part"
+    for name in ("related-posts", "comments", "comment-list", "ad ad-slot-1", "cookie-banner", "big sidebar", "notice"):
+        assert html_extract.main_text(f"<article>Story {inner.format(name)}</article>") == "Story"
+    assert html_extract.main_text("<article>See <svg><path d='M0'/><text>Axis</text></svg></article>") == "See Axis"
+
+
+def test_very_long_pages_are_read_whole():
+    page = "<body><nav>Menu</nav><article>" + "<p>word </p>" * 200_000 + "</article></body>"
+    assert html_extract.main_text(page) == " ".join(["word"] * 200_000)
+
+
+def test_classes_equal_brute_force(spark):
+    """Tokens of a host with the same counts on all pages, inside the same other vector, are one class."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(8):
+        body = "".join(f"<div class='c{j}'><p>T{j}</p>{'<i>S' + str(i) + '</i>' if rng.random() < 0.5 else ''}</div>" * (1 + (i % 2) * (j % 2)) for j in range(5) if rng.random() < 0.9)
+        rows.append((i, "http://h.example/", f"<body>{body}</body>"))
+    vectors, parent = {}, {}
+    for i, _, page in rows:
+        for path, text, *_ in html_extract.texts(page):
+            token = (path, text)
+            vectors.setdefault(token, [0] * 8)[i] += 1
+            parent[token] = (path, None) if text is not None else (path.rpartition("/")[0], None)
+    valid = {t: tuple(v) for t, v in vectors.items() if sum(map(bool, v)) >= 4}
+
+    def outer(token):
+        at = parent[token]
+        while valid.get(at) == valid[token] and at != parent.get(at):
+            at = parent[at]
+        return valid.get(at)
+
+    want = {}
+    for t, v in valid.items():
+        want.setdefault((v, outer(t)), set()).add(html_extract._key(*t))
+    got = {}
+    for r in html_extract.templates(spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault(r["class"], set()).add(r["token"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) > 3
+
+
 def test_math_is_kept():
     assert html_extract.main_text("<article>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</article>") == "If x = 2 holds"
