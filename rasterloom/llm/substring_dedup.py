@@ -15,8 +15,9 @@ edges of a document with the same smallest m-gram form a path, held as one row
    where it starts there) and the digest of the words found there; the words at its own place must
    have the same digest before they are cut.
 
-Words decide through two independent 64-bit hashes, content and check, taken together: keys of
-joins and digests have 128 bits, and anchors, which have 64, only say where to look.
+Words decide through two independent hashes, content of 64 and check of 32 bits, taken together: keys
+of joins and digests have 96 bits (among 1e13 different windows two collide with probability 0.0006),
+and anchors, which have 64, only say where to look.
 
 Hot passages: minima and maxima are pre-aggregated before each shuffle; the rows of hot edges are
 not shuffled for the join back, and the join on anchors is a plain sort-merge join, whose skewed
@@ -80,7 +81,8 @@ class Paths:
     def digests(self, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """content and check of the words first..stop."""
         content = textscan.words_hash(self.hashes, first, stop) & self.mask
-        return textscan.signed(content), textscan.signed(textscan.words_hash(self.scan.word_hashes(1), first, stop, 1))
+        check = textscan.words_hash(self.scan.word_hashes(1), first, stop, 1) >> U64(32)
+        return textscan.signed(content), check.astype(np.uint32).view(np.int32)
 
     def of_paths(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.digests(self.edge[self.start[own]], self.edge[self.stop[own] - 1] + self.k)
@@ -158,7 +160,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, bits: int
     seen = texts.mapInArrow(_anchors(k, m, bits), "anchor long, doc_id long").groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = staged(seen.where("lo < hi").select("anchor"), "anchors")
     wanted = spark.sparkContext.broadcast(keyfilter.build(shared, "anchor"))  # 32 MB at most
-    paths = texts.mapInArrow(_paths(k, m, bits, wanted), "anchor long, content long, check long, doc_id long, start int, n int")
+    paths = texts.mapInArrow(_paths(k, m, bits, wanted), "anchor long, content long, check int, doc_id long, start int, n int")
     paths = staged(paths, "paths")
     sources = paths.groupBy("anchor").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("hi"), F.min_by("start", "doc_id").alias("source_start"),
@@ -167,7 +169,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, bits: int
     sources = staged(sources.drop("hi"), "sources")
     straight = paths.join(sources.where("straight").drop("straight"), "anchor").where("doc_id > source").select(*SPAN)
     branches = spark.sparkContext.broadcast(keyfilter.build(sources.where("not straight"), "anchor"))  # 32 MB at most
-    arrays = staged(texts.mapInArrow(_edges(k, m, bits, branches), "doc_id long, start int, contents array<long>, checks array<long>"), "edges")
+    arrays = staged(texts.mapInArrow(_edges(k, m, bits, branches), "doc_id long, start int, contents array<long>, checks array<int>"), "edges")
     edges = arrays.select("doc_id", "start", F.posexplode(F.arrays_zip("contents", "checks")).alias("i", "e"))
     edges = edges.select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.col("e.contents").alias("content"), F.col("e.checks").alias("check"))
     return straight.unionByName(_later(edges).withColumn("n", F.lit(1)).select(*SPAN))

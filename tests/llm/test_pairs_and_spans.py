@@ -152,7 +152,7 @@ def test_words_that_differ_from_the_source_stay(documents):
     data = np.frombuffer(text.encode(), np.uint8)
     content, check = substring_dedup.Paths(substring_dedup.textscan.scan(data, np.array([0, len(data)])), 13, 5).digests(np.array([0]), np.array([13]))
     span = lambda c: {"start": 0, "n": 1, "content": int(content[0]), "check": c}
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("content", pa.int64()), ("check", pa.int64())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("content", pa.int64()), ("check", pa.int32())]))
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text]), pa.array([[span(int(check[0]))], [span(int(check[0]) ^ 1)]], kind)], ["doc_id", "text", "spans"])
     (out,) = substring_dedup._cut(13, False, 64)([batch])
     assert out.column(2).to_pylist() == [13, 0]
