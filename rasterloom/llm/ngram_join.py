@@ -47,6 +47,7 @@ HASHES = 128
 BLOCK_SHINGLES = 400_000  # of one block: 3.2 MB of hashes
 BLOCK_NODES = 2_048  # in one block: a pair of blocks gives a matrix of 32 MB
 HUB_NODES = 1_024  # compared with one hub in a task
+BROADCAST_UNITS = 100_000  # rows of 24 bytes
 
 
 @lru_cache(maxsize=8)
@@ -220,9 +221,14 @@ def _hub_links(threshold: float, batch: pa.Table) -> pa.Table:
 
 
 def _blocks(members: DataFrame, unit: list[str]) -> DataFrame:
-    """members with blocks, the number of blocks that their unit's shingles and classes need, and size, its classes."""
+    """members with blocks, the number of blocks that their unit's shingles and classes need.
+
+    Units of several blocks are few, so they are broadcast after a check of their number, and the members of a hot unit stay where they are.
+    """
     count = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES)).cast("int")
-    return members.join(members.groupBy(*unit).agg(count.alias("blocks"), F.count("*").alias("size")), unit)
+    several = staged(members.groupBy(*unit).agg(count.alias("blocks")).where("blocks > 1"), "blocks")
+    several = F.broadcast(several) if several.count() <= BROADCAST_UNITS else several
+    return members.join(several, unit, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
 
 
 UNIT = ["band", "component", "p", "q"]
@@ -253,8 +259,9 @@ def _units(classes: DataFrame, stars: DataFrame, grams: DataFrame, members: Data
     asked = asked.unionByName(hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("hub").alias("id")))
     true = asked.join(grams, "id").groupBy("hub", "share").applyInArrow(lambda t: _hub_links(threshold, t), "a long, b long")
     tight = connected_components(staged(true, "hub-links")).withColumnRenamed("node", "id").withColumnRenamed("component", "tight")
-    large = staged(large.join(tight, "id", "left").withColumn("tight", F.coalesce("tight", "id")), "large")
-    groups = _blocks(large.withColumn("component", F.col("tight")), ["component"]).where("size > 1")
+    large = staged(large.join(tight, "id", "left"), "large")
+    groups = _blocks(large.where("tight is not null").withColumn("component", F.col("tight")), ["component"])
+    large = large.withColumn("tight", F.coalesce("tight", "id"))
     units = units.unionByName(_paired(groups.select(*plain)))
     # Buckets in which groups meet.
     met = large.join(classes.select("id", "bands"), "id").select("id", "n", "copies", "tight", "bands", F.posexplode("bands").alias("band", "component"))
