@@ -41,17 +41,16 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "stats":
         pixels, found = scenes.load(spark, args.data_root, nodata=args.nodata)
         figures, months = scenes.statistics(pixels, found, args.spacings)
-        sinks.write_stats_json(figures, args.out_json)
-        months.coalesce(1).write.mode("overwrite").json(args.out_json.removesuffix(".json") + "_months.json")
+        sinks.write_stats_json(figures, months, args.out_json)
         sinks.write_failures(found.withColumnRenamed("product", "name"), args.out_json.removesuffix(".json") + "_failures.json")
         return
     names = products.product_list(spark, args.annotated_products_txt)
     if args.command == "split":
         marks = products.read_annotations(spark, args.labels_root).join(names.withColumnRenamed("name", "scene"), "scene", "left_semi")
-        shares, parts, summary = pipeline.class_split(marks, names.withColumnRenamed("name", "scene"), args.percentage)
+        shares, parts, report = pipeline.class_split(marks, names.withColumnRenamed("name", "scene"), args.percentage)
         sinks.write_split(parts, args.output, args.percentage)
         shares.write.mode("overwrite").json(f"{args.output}/classes")
-        summary.write.mode("overwrite").json(f"{args.output}/summary")
+        sinks.write_split_summary(report, f"{args.output}/summary")
         return
     pixels, found = scenes.load(spark, args.data_root, names, args.nodata)
     marks = products.read_annotations(spark, args.labels_root, classes=2)

@@ -72,6 +72,29 @@ def split(scenes: DataFrame, percentage: int) -> DataFrame:
     return ranked.select("id", "water", "ice", F.when(F.col("place") <= F.col("n") - train, "val").otherwise("train").alias("split"))
 
 
+def split_document(parts: DataFrame, counts: DataFrame, percentage: int) -> DataFrame:
+    """The split's report, one row: numbers of scenes, shares of all classes, scenes that have each class,
+    shares of the two balanced classes in all parts, and the scenes of each part in id order (a name a scene).
+
+    parts: id, water, ice, split; counts: scene, label, n (a row for each class of each scene).
+    """
+    names = F.create_map(*[x for i, c in enumerate(CLASSES) for x in (F.lit(i), F.lit(c))])
+    shares = percentages(counts).withColumn("name", names[F.col("label")])
+    by_name = lambda c: F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("label", "name", F.col(c).alias("x")))), lambda s: F.struct(s["name"], s["x"])))
+    classes = shares.agg(by_name("pixel_percentage").alias("total_pixel_percentages_all_classes"), by_name("scenes").alias("scene_counts_all_classes"))
+    own = lambda k: F.lit(True) if k == "total" else F.col("split") == k
+    sums = {k: (F.sum(F.when(own(k), F.col("water"))), F.sum(F.when(own(k), F.col("ice")))) for k in ("total", "train", "val")}
+    part = lambda a, b: F.when(a + b > 0, 100.0 * a / (a + b)).otherwise(0.0)
+    balanced = [F.struct(part(w, i).alias("WATER"), part(i, w).alias("ICE")).alias(f"{k}_pixel_percentages_balance_classes") for k, (w, i) in sums.items()]
+    scenes = [F.array_sort(F.collect_list(F.when(F.col("split") == k, F.col("id").cast("string")))).alias(f"{k}_scenes") for k in ("train", "val")]
+    split = parts.agg(
+        F.count("*").alias("n_scenes"), F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "val").alias("n_val"),
+        F.lit(percentage).alias("train_percentage"), F.lit(100 - percentage).alias("val_percentage"), F.array(F.lit("WATER"), F.lit("ICE")).alias("balance_classes"),
+        *balanced, *scenes,
+    )
+    return split.crossJoin(classes)  # one row each
+
+
 def split_summary(parts: DataFrame) -> DataFrame:
     """Scenes and water and ice percentages of train, val and total."""
     sums = parts.rollup("split").agg(F.count("*").alias("scenes"), F.sum("water").alias("water"), F.sum("ice").alias("ice"))

@@ -72,6 +72,23 @@ def exact_percentiles(frame: DataFrame, keys: list[str], x: str, places: tuple[f
     return out.select(*keys, "p")
 
 
+# Names of the months in reports.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def document(figures: DataFrame, months: DataFrame) -> DataFrame:
+    """The report, one row with one struct: a map of spacings to figures for each channel, and the months' counts by name.
+
+    figures: channel, spacing, mean, std, min, max; months: month, n.  Both are a few rows.
+    """
+    entry = F.struct(F.col("spacing").cast("string").alias("key"), F.struct("mean", "std", "min", "max").alias("value"))
+    channels = figures.groupBy("channel").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("stats"))
+    by_name = lambda a, b: F.when(a["channel"] < b["channel"], -1).when(a["channel"] > b["channel"], 1).otherwise(0)
+    channels = channels.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", "stats")), by_name)).alias("channels"))
+    counts = [F.coalesce(F.sum(F.when(F.col("month") == i + 1, F.col("n"))), F.lit(0)).alias(name) for i, name in enumerate(MONTHS)]
+    return channels.crossJoin(months.agg(F.struct(*counts).alias("acquisition_month_histogram")))  # one row each
+
+
 def month_histogram(frame: DataFrame, ts: Column) -> DataFrame:
     """month 1..12, n; months without rows count 0, null times are skipped."""
     months = frame.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))

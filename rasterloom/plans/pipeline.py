@@ -24,12 +24,12 @@ def resampled(pixels: DataFrame, height: int, width: int, spacing: tuple[float,
 
 
 def class_split(pixels: DataFrame, scenes: DataFrame, percentage: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Class percentages, the scenes' split and its summary; pixels have scene and label, scenes scene."""
+    """Class percentages, the scenes' split and its report; pixels have scene and label, scenes scene."""
     dense = labels.dense_counts(scenes, labels.class_counts(pixels))
     water = F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("water")
     ice = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("ice")
     parts = labels.split(dense.groupBy(F.col("scene").alias("id")).agg(water, ice), percentage)
-    return labels.percentages(dense), parts, labels.split_summary(parts)
+    return labels.percentages(dense), parts, labels.split_document(parts, dense, percentage)
 
 
 def patches(pixels: DataFrame, product: dict, height: int, width: int, size: int = 384, overlap: float = 0.0) -> DataFrame:

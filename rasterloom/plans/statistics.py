@@ -58,13 +58,24 @@ def stats_ranges_text(spark, sf_dir):
     return rows.groupBy("channel").agg(F.array_join(F.transform(parts, lambda p: p["t"]), ",").alias("ranges"))
 
 
-@query()
+_MONTHS = ", ".join(f"(SELECT count(*) FILTER (month(o_orderdate) = {i + 1}) FROM orders) AS {name.lower()}" for i, name in enumerate(stats.MONTHS))
+
+
+@query(f"""WITH {_CHANNELS}, f AS (SELECT channel, spacing::VARCHAR AS spacing, avg(x) AS mean, stddev_pop(x) AS std, min(x) AS lo, max(x) AS hi FROM ch GROUP BY channel, spacing)
+    SELECT channel, spacing, round(mean, 4) AS mean, round(std, 4) AS std, lo AS "min", hi AS "max", {_MONTHS} FROM f""")
 def stats_nested_json(spark, sf_dir):
-    """channel -> spacing -> figures as one JSON text a channel."""
+    """The report as one JSON document, read back from its text."""
     rows = stats.finalize(stats.partial_stats(_channel_rows(spark, sf_dir), ["channel", "spacing"]))
-    entry = F.struct(F.col("spacing").cast("string").alias("key"), F.struct("mean", "std", "min", "max").alias("value"))
-    nested = rows.groupBy("channel").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("stats"))
-    return nested.select("channel", F.to_json("stats").alias("json"))
+    report = stats.document(rows, stats.month_histogram(fx.table(spark, sf_dir, "orders"), F.col("o_orderdate")))
+    text = report.select(F.to_json(F.struct("channels", "acquisition_month_histogram")).alias("json"))
+    figures = "map<string,map<string,struct<mean:double,std:double,min:double,max:double>>>"
+    months = ",".join(f"{m}:bigint" for m in stats.MONTHS)
+    back = text.select(F.from_json("json", f"channels {figures}, acquisition_month_histogram struct<{months}>").alias("d"))
+    back = back.select(F.explode("d.channels").alias("channel", "s"), "d.acquisition_month_histogram").select("channel", F.explode("s").alias("spacing", "f"), "acquisition_month_histogram")
+    return back.select(
+        "channel", "spacing", F.round("f.mean", 4).alias("mean"), F.round("f.std", 4).alias("std"), "f.min", "f.max",
+        *[F.col(f"acquisition_month_histogram.{m}").alias(m.lower()) for m in stats.MONTHS],
+    )
 
 
 @query("""SELECT m::INTEGER AS month, count(o_orderdate) AS n FROM range(1, 13) t(m) LEFT JOIN orders ON month(o_orderdate) = m GROUP BY m""")
@@ -146,6 +157,25 @@ def split_summary(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("water_percentage", "ice_percentage")})
 
 
+@query(f"""WITH {_split_sql('scene', 80)}, full_grid AS (SELECT s.id AS scene, k::INTEGER AS label, coalesce(c.n, 0) AS n FROM parts s CROSS JOIN range(6) t(k)
+        LEFT JOIN (SELECT scene, label, count(*) AS n FROM sc WHERE label < 6 GROUP BY 1, 2) c ON c.scene = s.id AND c.label = k),
+    cl AS (SELECT label, 100.0::DOUBLE * sum(n) / sum(sum(n)) OVER () AS p, count(*) FILTER (n > 0) AS s FROM full_grid GROUP BY label)
+    SELECT count(*) AS n_scenes, count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val, 80 AS train_percentage, 20 AS val_percentage,
+        (SELECT string_agg(round(p, 4)::DECIMAL(18, 4), ',' ORDER BY label) FROM cl) AS pixel_percentages, (SELECT string_agg(s, ',' ORDER BY label) FROM cl) AS scene_counts,
+        round(100.0::DOUBLE * sum(water) FILTER (split = 'train') / sum(water + ice) FILTER (split = 'train'), 6) AS train_water,
+        round(100.0::DOUBLE * sum(ice) FILTER (split = 'val') / sum(water + ice) FILTER (split = 'val'), 6) AS val_ice,
+        string_agg(id::VARCHAR, ',' ORDER BY id::VARCHAR) FILTER (split = 'train') AS train_scenes, string_agg(id::VARCHAR, ',' ORDER BY id::VARCHAR) FILTER (split = 'val') AS val_scenes FROM parts""")
+def split_document(spark, sf_dir):
+    """The split's report, maps and lists as texts."""
+    out = labels.split_document(_split(spark, sf_dir, F.col("scene"), 80), _dense(spark, sf_dir), 80)
+    joined = lambda c, kind: F.array_join(F.transform(F.map_values(c), lambda x: x.cast(kind).cast("string")), ",")
+    return out.select(
+        "n_scenes", "n_train", "n_val", "train_percentage", "val_percentage", joined("total_pixel_percentages_all_classes", "decimal(18,4)").alias("pixel_percentages"),
+        joined("scene_counts_all_classes", "long").alias("scene_counts"), F.round("train_pixel_percentages_balance_classes.WATER", 6).alias("train_water"),
+        F.round("val_pixel_percentages_balance_classes.ICE", 6).alias("val_ice"), F.array_join("train_scenes", ",").alias("train_scenes"), F.array_join("val_scenes", ",").alias("val_scenes"),
+    )
+
+
 @query("SELECT l_orderkey, l_linenumber, round(pow(10::DOUBLE, -l_quantity / 10), 9) AS linear FROM lineitem")
 def db_to_linear(spark, sf_dir):
     return fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(radiometry.db_to_linear(-F.col("l_quantity")), 9).alias("linear"))

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.operators import stats
 
-def write_stats_json(stats: DataFrame, path: str) -> None:
-    """channel -> spacing -> figures, one JSON object a channel."""
-    entry = F.struct(F.col("spacing").cast("string").alias("key"), F.struct("mean", "std", "min", "max").alias("value"))
-    nested = stats.groupBy("channel").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("stats"))
-    nested.write.mode("overwrite").json(path)
+
+def write_stats_json(figures: DataFrame, months: DataFrame, path: str) -> None:
+    """One JSON document: channel -> spacing -> figures, and the months' counts."""
+    report = stats.document(figures, months)
+    held, rest = F.to_json("channels"), F.to_json(F.struct("acquisition_month_histogram"))
+    inner = F.expr("substring(held, 2, length(held) - 2)")
+    line = F.concat(F.lit("{"), inner, F.when(inner == "", "").otherwise(","), F.expr("substring(rest, 2)"))
+    report.select(held.alias("held"), rest.alias("rest")).select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_failures(status: DataFrame, path: str) -> bool:
@@ -22,6 +26,11 @@ def write_failures(status: DataFrame, path: str) -> bool:
     return True
 
 
+def write_split_summary(report: DataFrame, path: str) -> None:
+    """The split's report as one JSON document."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_split(parts: DataFrame, folder: str, percentage: int) -> None:
     """train_XX and val_YY name lists, a name a line in id order."""
     for kind, share in (("train", percentage), ("val", 100 - percentage)):

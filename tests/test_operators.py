@@ -1,5 +1,6 @@
 """Golden cases, invariants and readers."""
 
+import json
 import math
 import struct
 
@@ -249,11 +250,17 @@ def test_statistics_and_split_pipelines(spark, tmp_path):
     when = spark.createDataFrame([("2021-07-16", True), ("2021-01-02", False)], "t string, ok boolean").select(F.col("t").cast("timestamp").alias("acquired"), "ok")
     figures, months = pipeline.dataset_statistics(pixels, when)
     assert figures.count() == 4 and [r["n"] for r in months.orderBy("month").collect()] == [0] * 6 + [1] + [0] * 5
-    sinks.write_stats_json(figures, str(tmp_path / "stats"))
-    assert spark.read.json(str(tmp_path / "stats")).count() == 2
+    sinks.write_stats_json(figures, months, str(tmp_path / "stats"))
+    (line,) = [r["value"] for r in spark.read.text(str(tmp_path / "stats")).collect()]
+    document = json.loads(line)
+    assert set(document) == {"HH", "HV", "acquisition_month_histogram"} and document["HH"]["50"]["mean"] == -10 and document["acquisition_month_histogram"]["Jul"] == 1
     marks = spark.createDataFrame([(s, k) for s, ks in {1: [0, 0, 1], 2: [0], 3: [1, 255]}.items() for k in ks], "scene long, label int")
-    shares, parts, summary = pipeline.class_split(marks, marks, 60)
-    assert shares.count() == 6 and {r["split"] for r in parts.collect()} == {"train", "val"} and summary.count() == 3
+    shares, parts, report = pipeline.class_split(marks, marks, 60)
+    assert shares.count() == 6 and {r["split"] for r in parts.collect()} == {"train", "val"}
+    sinks.write_split_summary(report, str(tmp_path / "summary"))
+    (document,) = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "summary")).collect()]
+    assert (document["n_scenes"], document["n_train"], document["n_val"]) == (3, 1, 2) and document["scene_counts_all_classes"]["WATER"] == 2
+    assert sorted(document["train_scenes"] + document["val_scenes"]) == ["1", "2", "3"] and document["total_pixel_percentages_all_classes"]["ICE"] == 40
     sinks.write_split(parts, str(tmp_path / "lists"), 60)
     assert spark.read.text(str(tmp_path / "lists" / "train_60")).count() == 1
 
