@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rasterloom.operators.stats import beside
+
 # Annotation colours and class names.
 CLASSES = ("WATER", "ICE", "SHOALS", "SHIP", "ICEBERG", "UNKNOWN")
 COLOURS = ((0, 0, 128), (128, 0, 0), (0, 255, 0), (255, 255, 0), (255, 0, 255), (150, 150, 150))
@@ -92,7 +94,7 @@ def split_document(parts: DataFrame, counts: DataFrame, percentage: int) -> Data
         F.lit(percentage).alias("train_percentage"), F.lit(100 - percentage).alias("val_percentage"), F.array(F.lit("WATER"), F.lit("ICE")).alias("balance_classes"),
         *balanced, *scenes,
     )
-    return split.crossJoin(classes)  # one row each
+    return beside(split, classes)
 
 
 def split_summary(parts: DataFrame) -> DataFrame:

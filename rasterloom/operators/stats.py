@@ -72,6 +72,12 @@ def exact_percentiles(frame: DataFrame, keys: list[str], x: str, places: tuple[f
     return out.select(*keys, "p")
 
 
+def beside(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The columns of two frames of one row, as one row."""
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+
+
 # Names of the months in reports.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
@@ -86,7 +92,7 @@ def document(figures: DataFrame, months: DataFrame) -> DataFrame:
     by_name = lambda a, b: F.when(a["channel"] < b["channel"], -1).when(a["channel"] > b["channel"], 1).otherwise(0)
     channels = channels.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", "stats")), by_name)).alias("channels"))
     counts = [F.coalesce(F.sum(F.when(F.col("month") == i + 1, F.col("n"))), F.lit(0)).alias(name) for i, name in enumerate(MONTHS)]
-    return channels.crossJoin(months.agg(F.struct(*counts).alias("acquisition_month_histogram")))  # one row each
+    return beside(channels, months.agg(F.struct(*counts).alias("acquisition_month_histogram")))
 
 
 def month_histogram(frame: DataFrame, ts: Column) -> DataFrame:

@@ -1,5 +1,6 @@
 """Product folders to statistics, split and patches, through the command line."""
 
+import json
 import struct
 
 import numpy as np
@@ -58,13 +59,15 @@ def test_geolocation(spark, root):
 
 def test_command_line(spark, root, tmp_path):
     cli.main(["stats", "--data_root", str(root / "p"), "--out_json", str(tmp_path / "s.json"), "--spacings", "200", "400", "--nodata", "-999"])
-    figures = {r["channel"]: r["stats"] for r in spark.read.json(str(tmp_path / "s.json")).collect()}
-    assert set(figures) == {"HH", "HV"} and set(figures["HH"].asDict()) == {"200", "400"}
+    (document,) = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "s.json")).collect()]
+    assert set(document) == {"HH", "HV", "acquisition_month_histogram"} and set(document["HH"]) == {"200", "400"}
     assert spark.read.json(str(tmp_path / "s_failures.json")).first()["product"] == "bad"
     common = ["--data_root", str(root / "p"), "--labels_root", str(root / "l"), "--annotated_products_txt", str(root / "list.txt")]
     cli.main(["split", *common, "--output", str(tmp_path / "split"), "--percentage", "60"])
     names = [r["value"] for k in ("train_60", "val_40") for r in spark.read.text(str(tmp_path / "split" / k)).collect()]
     assert sorted(names) == ["bad", "one", "two"]
+    (summary,) = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "split" / "summary")).collect()]
+    assert summary["n_scenes"] == 3 and sorted(summary["train_scenes"] + summary["val_scenes"]) == ["bad", "one", "two"]
     ring = [(-46.0, 69.0), (-44.96, 69.0), (-44.96, 71.0), (-46.0, 71.0), (-46.0, 69.0)]
     body = struct.pack("<i4dii", 5, 0, 0, 0, 0, 1, len(ring)) + struct.pack("<i", 0) + b"".join(struct.pack("<2d", *p) for p in ring)
     (tmp_path / "o.shp").write_bytes(struct.pack(">i", 9994) + b"\0" * 96 + struct.pack(">ii", 1, len(body) // 2) + body)
