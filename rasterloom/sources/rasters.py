@@ -14,11 +14,12 @@ from rasterloom.functions.names import basename
 
 # TIFF tags and field sizes.
 _WIDTH, _HEIGHT, _BITS, _COMPRESSION, _OFFSETS, _SAMPLES, _ROWS, _COUNTS, _PLANAR, _FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 284, 339
-_FIELD = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4), 12: ("d", 8), 16: ("Q", 8)}
+_PREDICTOR, _TILE_WIDTH, _TILE_HEIGHT, _TILES, _TILE_COUNTS, _NODATA = 317, 322, 323, 324, 325, 42113
+_FIELD = {1: ("B", 1), 2: ("c", 1), 3: ("H", 2), 4: ("I", 4), 12: ("d", 8), 16: ("Q", 8)}
 
 
-def decode_tiff(data: bytes) -> np.ndarray:
-    """[bands, rows, cols] of a stripped TIFF of 8-, 16- or 32-bit samples, plain or deflated."""
+def read_tags(data: bytes) -> tuple[str, dict[int, tuple]]:
+    """Byte order and tags of the first image of a TIFF."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if order is None or struct.unpack(order + "H", data[2:4])[0] != 42:
         raise ValueError("not a TIFF")
@@ -32,16 +33,78 @@ def decode_tiff(data: bytes) -> np.ndarray:
             place = 8 if n * size <= 4 else None
             raw = entry[8 : 8 + n * size] if place else data[(p := struct.unpack(order + "I", entry[8:])[0]) : p + n * size]
             tags[tag] = struct.unpack(f"{order}{n}{code}", raw)
+    return order, tags
+
+
+def tiff_nodata(data: bytes) -> float | None:
+    """The no-data value that a TIFF names, or None."""
+    text = b"".join(read_tags(data)[1].get(_NODATA, ())).split(b"\0")[0].strip()
+    return float(text) if text else None
+
+
+def _unlzw(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, the highest bit first; 256 empties the table, 257 ends."""
+    start = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, last, out, held, bits = [*start], 9, b"", bytearray(), 0, 0
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, width, last = [*start], 9, b""
+            continue
+        if code > len(table) or code == len(table) and not last:
+            raise ValueError("broken LZW data")
+        word = table[code] if code < len(table) else last + last[:1]
+        if last:
+            table.append(last + word[:1])
+            width = min(12, (len(table) + 1).bit_length())
+        out += word
+        last = word
+    return bytes(out)
+
+
+_UNPACK = {1: bytes, 5: _unlzw, 8: zlib.decompress, 32946: zlib.decompress}
+
+
+def decode_tiff(data: bytes) -> np.ndarray:
+    """[bands, rows, cols] of a TIFF in strips or tiles of 8-, 16-, 32- or 64-bit samples: plain, LZW or deflated, with or without differences along rows.
+
+    Strips and tiles without bytes are zero.
+    """
+    order, tags = read_tags(data)
     rows, cols, bands = tags[_HEIGHT][0], tags[_WIDTH][0], tags.get(_SAMPLES, (1,))[0]
-    if tags.get(_COMPRESSION, (1,))[0] not in (1, 8, 32946):
-        raise ValueError("only plain and deflated TIFFs are read")
-    kind = {1: "u", 2: "i", 3: "f"}[tags.get(_FORMAT, (1,))[0]] + str(tags.get(_BITS, (8,))[0] // 8)
-    packed = tags.get(_COMPRESSION, (1,))[0] != 1
-    strips = [zlib.decompress(data[o : o + n]) if packed else data[o : o + n] for o, n in zip(tags[_OFFSETS], tags[_COUNTS], strict=True)]
-    flat = np.frombuffer(b"".join(strips), dtype=np.dtype(kind).newbyteorder(order))
-    if tags.get(_PLANAR, (1,))[0] == 2:
-        return flat.reshape(bands, rows, cols)
-    return flat.reshape(rows, cols, bands).transpose(2, 0, 1)
+    unpack = _UNPACK.get(tags.get(_COMPRESSION, (1,))[0])
+    if unpack is None:
+        raise ValueError("only plain, LZW and deflated TIFFs are read")
+    kind = np.dtype({1: "u", 2: "i", 3: "f"}[tags.get(_FORMAT, (1,))[0]] + str(tags.get(_BITS, (8,))[0] // 8))
+    predictor = tags.get(_PREDICTOR, (1,))[0]
+    if predictor not in (1, 2) or predictor == 2 and kind.kind == "f":
+        raise ValueError(f"predictor {predictor} is not read")
+    tiled = _TILES in tags
+    height, width = (tags[_TILE_HEIGHT][0], tags[_TILE_WIDTH][0]) if tiled else (min(tags.get(_ROWS, (rows,))[0], rows), cols)
+    across, down = -(-cols // width), -(-rows // height)
+    apart = tags.get(_PLANAR, (1,))[0] == 2
+    depth = 1 if apart else bands
+    out = np.zeros((bands, rows, cols), kind)
+    places = zip(tags[_TILES if tiled else _OFFSETS], tags[_TILE_COUNTS if tiled else _COUNTS], strict=True)
+    for i, (start, size) in enumerate(places):
+        if not size:
+            continue
+        band, place = divmod(i, across * down)
+        top, left = place // across * height, place % across * width
+        held = height if tiled else min(height, rows - top)
+        flat = np.frombuffer(unpack(data[start : start + size]), kind.newbyteorder(order), held * width * depth)
+        block = flat.astype(kind).reshape(held, width, depth)[:, : cols - left][: rows - top]
+        if predictor == 2:
+            block = np.cumsum(block, axis=1, dtype=kind)
+        target = out[band : band + 1] if apart else out
+        target[:, top : top + block.shape[0], left : left + block.shape[1]] = block.transpose(2, 0, 1)
+    return out
 
 
 def encode_tiff(image: np.ndarray) -> bytes:
@@ -61,7 +124,7 @@ def encode_tiff(image: np.ndarray) -> bytes:
 def read_pixels(spark: SparkSession, root: str, patterns: tuple[str, str] = ("*.img", "*.tif"), nodata: float | None = None) -> DataFrame:
     """product, row, col, hh, hv, error of two-band rasters; a product's .img is taken before its .tif.
 
-    Missing pixels are null.  A product whose raster is unreadable, doubled or not two-band has one row with an error.
+    Missing pixels - those of value nodata, or of the one that the file names - are null.  A product whose raster is unreadable, doubled or not two-band has one row with an error.
     """
     held = None
     for rank, pattern in enumerate(patterns):
@@ -79,13 +142,14 @@ def read_pixels(spark: SparkSession, root: str, patterns: tuple[str, str] = ("*.
                     if n > 1:
                         raise ValueError(f"{n} rasters of one kind")
                     image = decode_tiff(bytes(body)).astype(float)
+                    missing = tiff_nodata(bytes(body)) if nodata is None else nodata
                     if image.shape[0] != 2:
                         raise ValueError(f"{image.shape[0]} bands")
-                except (ValueError, KeyError, struct.error, zlib.error) as e:
+                except (ValueError, KeyError, IndexError, ZeroDivisionError, struct.error, zlib.error) as e:
                     yield pd.DataFrame({"product": [product], "row": [None], "col": [None], "hh": [None], "hv": [None], "error": [f"{type(e).__name__}: {e}"]})
                     continue
-                if nodata is not None:
-                    image[image == nodata] = np.nan
+                if missing is not None:
+                    image[image == missing] = np.nan
                 for r in range(image.shape[1]):  # a row of the raster at a time
                     yield pd.DataFrame({"product": product, "row": r, "col": range(image.shape[2]), "hh": image[0, r], "hv": image[1, r], "error": None})
 
