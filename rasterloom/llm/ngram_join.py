@@ -31,6 +31,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -326,14 +327,38 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
     """The rows of docs without near duplicates: one row of each group stays, that with the smallest doc_id.
 
     Rows without words or with a null doc_id all stay.  The columns are those of docs.
+
+    Texts hardly move: a filter of the ids that may lose a row lets most rows stay where they are, a second
+    one of the kept ids that the first passes lets most others go, and only what passes both is joined.
     """
     found = _found(docs.select("doc_id", "text"), threshold, size, recall).where("cluster is not null")
+    found = staged(found.select("doc_id", "text_key", "cluster", "class_id"), "found")
     first = found.groupBy("cluster").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     first = staged(first.selectExpr("first.doc_id as _id", "first.text_key as _key"), "first")
+    again = found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1")
+    unsure = found.where("doc_id <> class_id").select("doc_id").unionByName(again.select("doc_id")).distinct()
+    unsure = _passes(unsure, "doc_id")
+    likely = _passes(first.where(unsure("_id")), "_id")
+
     bare = F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    other = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
-    rest = docs.where(~bare).select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)], F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"), other.alias("_other"))
-    rest = rest.join(first, ["_id", "_key"])
+    # 0: stays, 1: must be looked up, 2: goes.
+    fate = F.when(bare | ~unsure("doc_id"), 0).when(likely("doc_id"), 1).otherwise(2)
+    own = [F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)]
+    as_docs = [F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)]
+    judged = docs.select(*own, fate.alias("_fate"), F.col("doc_id").cast("long").alias("_id"), "text")
+    other = F.xxhash64(*[F.col(f"own_{i}").cast("string") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")], F.lit(0))
+    rest = judged.where("_fate = 1").withColumns({"_key": F.xxhash64("text"), "_other": other}).join(first, ["_id", "_key"])
     once = rest.groupBy("_id", "_key").agg(F.min("_other").alias("_other"))
     once = rest.join(once, ["_id", "_key", "_other"]).dropDuplicates(["_id", "_key"])
-    return docs.where(bare).unionByName(once.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    return judged.where("_fate = 0").select(*as_docs).unionByName(once.select(*as_docs))
+
+
+def _passes(keys: DataFrame, column: str):
+    """A test of a column of ids against the filter of the keys, 32 MB at most; null passes as 0 does."""
+    held = keys.sparkSession.sparkContext.broadcast(keyfilter.build(keys, column))
+
+    @F.pandas_udf("boolean")
+    def passes(ids: pd.Series) -> pd.Series:
+        return pd.Series(held.value.passes(ids.to_numpy(dtype=np.int64)))
+
+    return lambda c: passes(F.coalesce(F.col(c).cast("long"), F.lit(0)))

@@ -2,7 +2,9 @@
 
 import random
 
-from rasterloom.llm import ngram_join, queries
+import pytest
+
+from rasterloom.llm import keyfilter, ngram_join, queries
 
 
 def test_near_copies_share_no_bin(spark, documents, tmp_path):
@@ -32,3 +34,19 @@ def test_giant_near_copies_count_their_links_once(spark, documents, monkeypatch)
         rows += [(len(rows) + c, " ".join([*base[:-1], f"end{c}"])) for c in range(2)]
     found = ngram_join.near_duplicates(documents(rows)).collect()
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found} == {d: (d - d % 2, 1) for d, _ in rows}
+
+
+@pytest.mark.parametrize("words", [1, keyfilter.MAX_WORDS])
+def test_one_of_each_group_stays_whatever_the_filters_pass(spark, documents, monkeypatch, words):
+    monkeypatch.setattr(keyfilter, "MAX_WORDS", words)  # a filter of one word passes nearly all
+    rng = random.Random(7)
+    rows, want = [], set()
+    for g in range(30):
+        base = [f"w{rng.randrange(500)}" for _ in range(60)]
+        copies = [(100 * g + c, " ".join([*base[:-1], f"end{c}"])) for c in range(1 + g % 3)]
+        want.add(copies[0])
+        rows += copies + copies[: g % 2]  # the first of every other group comes twice
+    shared = (100, "quite another text of some seven words")  # under a doc_id that a group's first has
+    loose = [(None, "a b c d e f"), (None, "a b c d e f"), (5000, None), (5001, " \t ")]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(documents([*rows, shared, *loose])).collect()]
+    assert sorted(kept, key=str) == sorted([*want, shared, *loose], key=str)
