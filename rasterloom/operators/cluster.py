@@ -56,12 +56,15 @@ def classify(energies: DataFrame) -> DataFrame:
     return energies.groupBy("region").agg(F.min(F.struct("u", "candidate")).alias("best")).select("region", F.col("best.candidate").alias("class"), F.col("best.u").alias("u"))
 
 
-def fisher(gmm: DataFrame, key: str = "class") -> DataFrame:
-    """Least separability over all pairs of classes, one row: distance against the prior-weighted within-class scatter."""
+def fisher(gmm: DataFrame, key: str = "class", normalised: bool = True) -> DataFrame:
+    """Least separability over all pairs of classes, one row: distance against the prior-weighted within-class scatter.
+
+    The priors of a pair sum to one if normalised, as for regions; for pixels they are taken as they are.
+    """
     side = lambda s: gmm.select(F.col(key).alias(f"k{s}"), *[F.col(c).alias(f"{c}{s}") for c in ("prior", "mu1", "mu2", "v11", "v12", "v22")])
     pairs = side("_i").join(F.broadcast(side("_j")), F.col("k_i") < F.col("k_j"))
-    wi = F.col("prior_i") / (F.col("prior_i") + F.col("prior_j"))
-    v = {c: F.col(f"{c}_i") * wi + F.col(f"{c}_j") * (1 - wi) for c in ("v11", "v12", "v22")}
+    both = F.col("prior_i") + F.col("prior_j") if normalised else F.lit(1.0)
+    v = {c: (F.col(f"{c}_i") * F.col("prior_i") + F.col(f"{c}_j") * F.col("prior_j")) / both for c in ("v11", "v12", "v22")}
     d1, d2 = F.col("mu1_i") - F.col("mu1_j"), F.col("mu2_i") - F.col("mu2_j")
     value = (d1 * d1 * v["v22"] - 2 * d1 * d2 * v["v12"] + d2 * d2 * v["v11"]) / energy.det2(v["v11"], v["v12"], v["v22"])
     return pairs.agg(F.least(F.lit(1e8), F.min(value)).alias("fisher"))

@@ -15,6 +15,11 @@ def degrees(edges: DataFrame) -> DataFrame:
     return directed(edges).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree"))
 
 
+def max_degree(edges: DataFrame) -> DataFrame:
+    """One row: degree, the largest of any node; 0 without edges."""
+    return degrees(edges).agg(F.coalesce(F.max("degree"), F.lit(0)).alias("degree"))
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Cuts the lineage by a checkpoint in the cluster's shared folder."""
     context = frame.sparkSession.sparkContext

@@ -107,3 +107,21 @@ def histogram(frame: DataFrame, keys: list[str], value: Column, bins: int, low:
     place = F.floor((value - low) / (high - low) * bins).cast("int")
     clamped = F.greatest(F.lit(0), F.least(F.lit(bins - 1), place))
     return frame.where(finite(value).isNotNull()).groupBy(*keys, clamped.alias("bin")).agg(F.count("*").alias("n"))
+
+
+def otsu(counts: DataFrame) -> DataFrame:
+    """threshold, variance: the level with the largest variance between classes, the first on ties; counts (g, n) has a row a level."""
+    run, whole = W.orderBy("g").rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
+    mass = F.col("n") * F.col("g")
+    sums = counts.select("g", F.sum("n").over(run).alias("w"), F.sum(mass).over(run).alias("s"), F.sum("n").over(whole).alias("t"), F.sum(mass).over(whole).alias("a"))
+    part = F.col("w") / F.col("t")
+    gap = F.col("s") / F.col("w") - F.try_divide(F.col("a") - F.col("s"), F.col("t") - F.col("w"))
+    out = sums.select(F.col("g").alias("threshold"), (part * (1 - part) * gap * gap).alias("variance")).where("variance is not null")
+    return out.orderBy(F.desc(F.round("variance", 6)), "threshold").limit(1)
+
+
+def otsu_classes(pixels: DataFrame, masked: Column) -> DataFrame:
+    """row, col, class of pixels (g): 2 above the threshold of the unmasked ones, 1 up to it, -2 where masked; 1 if all have one level."""
+    counts = pixels.where(~masked).groupBy("g").agg(F.count("*").alias("n"))
+    held = pixels.crossJoin(F.broadcast(otsu(counts).agg(F.max("threshold").alias("threshold"))))  # one row
+    return held.select("row", "col", F.when(masked, -2).when(F.col("g") > F.col("threshold"), 2).otherwise(1).alias("class"))

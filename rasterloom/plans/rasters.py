@@ -181,13 +181,17 @@ def local_variance(spark, sf_dir):
     SELECT g AS threshold, round(between_class, 4) AS variance FROM v WHERE between_class IS NOT NULL ORDER BY round(between_class, 6) DESC, g LIMIT 1""")
 def otsu_threshold(spark, sf_dir):
     """The grey level with the largest between-class variance, the first on ties."""
-    counts = fx.quantised(spark, sf_dir).groupBy("g").agg(F.count("*").alias("n"))
-    run, whole = W.orderBy("g").rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
-    sums = counts.select("g", F.sum("n").over(run).alias("w"), F.sum(F.col("n") * F.col("g")).over(run).alias("s"), F.sum("n").over(whole).alias("t"), F.sum(F.col("n") * F.col("g")).over(whole).alias("a"))
-    part = F.col("w") / F.col("t")
-    gap = F.col("s") / F.col("w") - F.try_divide(F.col("a") - F.col("s"), F.col("t") - F.col("w"))
-    out = sums.select("g", (part * (1 - part) * gap * gap).alias("v")).where("v is not null").orderBy(F.desc(F.round("v", 6)), "g").limit(1)
-    return out.select(F.col("g").alias("threshold"), F.round("v", 4).alias("variance"))
+    out = stats.otsu(fx.quantised(spark, sf_dir).groupBy("g").agg(F.count("*").alias("n")))
+    return out.select("threshold", F.round("variance", 4).alias("variance"))
+
+
+@query(f"""WITH {fx.QUANTISED}, h AS (SELECT g, count(*) AS n FROM q WHERE row % 50 <> 49 GROUP BY g),
+    c AS (SELECT g, sum(n) OVER (ORDER BY g) AS w, sum(n * g) OVER (ORDER BY g) AS s, sum(n) OVER () AS t, sum(n * g) OVER () AS a FROM h),
+    v AS (SELECT g, w / t::DOUBLE * (1 - w / t::DOUBLE) * pow(s::DOUBLE / w - (a - s)::DOUBLE / nullif(t - w, 0), 2) AS between_class FROM c),
+    o AS (SELECT g AS threshold FROM v WHERE between_class IS NOT NULL ORDER BY round(between_class, 6) DESC, g LIMIT 1)
+    SELECT row, col, CASE WHEN row % 50 = 49 THEN -2 WHEN g > threshold THEN 2 ELSE 1 END AS class FROM q, o""")
+def otsu_classes(spark, sf_dir):
+    return stats.otsu_classes(fx.quantised(spark, sf_dir), F.col("row") % 50 == 49)
 
 
 @query("""WITH d AS (SELECT c_custkey AS id, (100 + c_custkey % 700)::INTEGER AS h FROM customer),

@@ -251,6 +251,13 @@ def min_fisher(spark, sf_dir):
     return cluster.fisher(_gmm(spark, sf_dir)).select(F.round("fisher", 5).alias("fisher"))
 
 
+@query(f"""WITH {_MODEL}, {_FISHER}, pairs AS (SELECT x.mu1 - y.mu1 AS d1, x.mu2 - y.mu2 AS d2, x.prior * x.v11 + y.prior * y.v11 AS v11,
+        x.prior * x.v12 + y.prior * y.v12 AS v12, x.prior * x.v22 + y.prior * y.v22 AS v22 FROM g x JOIN g y ON x.class < y.class)
+    SELECT round(least(1e8::DOUBLE, min((d1 * d1 * v22 - 2 * d1 * d2 * v12 + d2 * d2 * v11) / (v11 * v22 - v12 * v12))), 5) AS fisher FROM pairs""")
+def pixel_fisher(spark, sf_dir):
+    return cluster.fisher(_gmm(spark, sf_dir), normalised=False).select(F.round("fisher", 5).alias("fisher"))
+
+
 @query(f"WITH {_MODEL}, {_FISHER} SELECT round(0.7::DOUBLE * 3 * (fisher / 0.4::DOUBLE) / (1 + fisher / 0.4::DOUBLE), 6) AS beta FROM fs")
 def beta_fisher(spark, sf_dir):
     return cluster.fisher(_gmm(spark, sf_dir)).select(F.round(energy.fisher_beta(F.lit(0.7), F.col("fisher")), 6).alias("beta"))
@@ -336,6 +343,11 @@ def region_degrees(spark, sf_dir):
     return graphs.degrees(regions.adjacency(_sites(spark, sf_dir)))
 
 
+@query(f"WITH {_REG}, {_SITES}, both_ways AS (SELECT a, b FROM adj UNION ALL SELECT b, a FROM adj), d AS (SELECT a, count(*) AS degree FROM both_ways GROUP BY a) SELECT coalesce(max(degree), 0) AS degree FROM d")
+def max_degree(spark, sf_dir):
+    return graphs.max_degree(regions.adjacency(_sites(spark, sf_dir)))
+
+
 @query(f"WITH {_PGMM} SELECT k, (SELECT count(*) FROM px WHERE px.k = pm.k) AS n, round(mu1, 6) AS mu1, round(mu2, 6) AS mu2, round(v11, 6) AS v11, round(v12, 6) AS v12, round(v22, 6) AS v22 FROM pm")
 def segment_stats(spark, sf_dir):
     pixels, _ = _pixel_gmm(spark, sf_dir)
