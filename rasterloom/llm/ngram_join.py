@@ -31,7 +31,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -357,8 +356,8 @@ def _passes(keys: DataFrame, column: str):
     """A test of a column of ids against the filter of the keys, 32 MB at most; null passes as 0 does."""
     held = keys.sparkSession.sparkContext.broadcast(keyfilter.build(keys, column))
 
-    @F.pandas_udf("boolean")
-    def passes(ids: pd.Series) -> pd.Series:
-        return pd.Series(held.value.passes(ids.to_numpy(dtype=np.int64)))
+    @F.arrow_udf("boolean")
+    def passes(ids: pa.Array) -> pa.Array:
+        return pa.array(held.value.passes(ids.to_numpy(zero_copy_only=False)))
 
     return lambda c: passes(F.coalesce(F.col(c).cast("long"), F.lit(0)))
