@@ -200,12 +200,22 @@ def _grid(pixels: DataFrame, rows: int, cols: int) -> DataFrame:
 
 
 def resize_nearest(pixels: DataFrame, bands: list[str], size: tuple[int, int], target: tuple[int, int], centred: bool = True) -> DataFrame:
-    """Nearest source pixel of each target pixel's centre (or corner)."""
+    """Nearest source pixel of each target pixel's centre (or corner).
+
+    Each source pixel is sent to the target cells that take it, found among those around its own
+    place, so there is no target grid to join with, however large it is.
+    """
     shift = 0.5 if centred else 0.0
-    place = lambda axis, n, m: F.least(F.lit(n - 1), F.floor((F.col(axis) + shift) * n / m).cast("int"))
-    grid = _grid(pixels, *target).withColumns({"sr": place("row", size[0], target[0]), "sc": place("col", size[1], target[1])})
-    source = pixels.select(F.col("row").alias("sr"), F.col("col").alias("sc"), *bands)
-    return grid.join(source, ["sr", "sc"]).select("row", "col", *bands)
+
+    def cells(axis: str, n: int, m: int) -> Column:
+        x = F.col(axis)
+        low, high = F.floor(x * F.lit(m / n) - shift) - 1, F.ceil((x + 1) * F.lit(m / n) - shift) + 1
+        near = F.sequence(F.greatest(F.lit(0), low.cast("int")), F.least(F.lit(m - 1), high.cast("int")))
+        return F.explode(F.filter(near, lambda i: F.least(F.lit(n - 1), F.floor((i + shift) * n / m).cast("int")) == x))
+
+    inside = pixels.where(F.col("row").between(0, size[0] - 1) & F.col("col").between(0, size[1] - 1))
+    sent = inside.select(cells("row", size[0], target[0]).alias("to_row"), "col", *bands)
+    return sent.select(F.col("to_row").alias("row"), cells("col", size[1], target[1]).alias("col"), *bands)
 
 
 def resize_bilinear(pixels: DataFrame, band: str, size: tuple[int, int], target: tuple[int, int]) -> DataFrame:

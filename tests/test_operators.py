@@ -363,3 +363,18 @@ def test_watermark_plan(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert [r["n"] for r in spark.table("windows").collect()] == [1]
+
+
+@pytest.mark.parametrize(("size", "target"), [((5, 4), (10, 8)), ((7, 6), (3, 4)), ((3, 5), (10, 7)), ((6, 1), (1, 9)), ((4, 4), (4, 4))])
+@pytest.mark.parametrize("centred", [True, False])
+def test_nearest_resizing_without_a_target_grid(spark, size, target, centred):
+    """The grid of targets was broadcast, twice the raster's size, through the driver."""
+    source = [(r, c, r * 100.0 + c) for r in range(size[0]) for c in range(size[1]) if (r, c) != (1, 0)]  # one is missing
+    outside = [(-1, 0, -7.0), (size[0], 0, -7.0), (0, size[1], -7.0), (None, 0, -7.0)]
+    frame = raster.resize_nearest(spark.createDataFrame(source + outside, "row long, col int, v double"), ["v"], size, target, centred)
+    assert "Join" not in frame._jdf.queryExecution().executedPlan().toString()
+    held, shift = {(r, c): v for r, c, v in source}, 0.5 if centred else 0.0
+    place = lambda i, n, m: min(n - 1, math.floor((i + shift) * n / m))
+    want = {(r, c): held.get((place(r, size[0], target[0]), place(c, size[1], target[1]))) for r in range(target[0]) for c in range(target[1])}
+    got = [tuple(r) for r in frame.collect()]
+    assert sorted(got) == sorted((*k, v) for k, v in want.items() if v is not None)
