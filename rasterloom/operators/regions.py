@@ -107,11 +107,15 @@ def edge_weights(edges: DataFrame, active: Column) -> DataFrame:
 
 
 def best_merges(edges: DataFrame) -> DataFrame:
-    """A set of independent merges: edges of negative weight that are the smallest at both ends."""
+    """A set of independent merges: edges of negative weight that are the smallest at both ends.
+
+    Both ends come from one row: sums of floats differ in their last bits where a plan computes them twice,
+    and an edge would not meet itself.
+    """
     both = edges.where("weight < 0").select("a", "b", "weight")
-    ends = both.select(F.col("a").alias("node"), "a", "b", "weight").unionByName(both.select(F.col("b").alias("node"), "a", "b", "weight"))
+    ends = both.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "weight")
     least = ends.groupBy("node").agg(F.min(F.struct("weight", "a", "b")).alias("e"))
-    return least.groupBy("e.a", "e.b", "e.weight").count().where("count = 2").select("a", "b", "weight")
+    return least.groupBy("e.a", "e.b").agg(F.count("*").alias("count"), F.min("e.weight").alias("weight")).where("count = 2").select("a", "b", "weight")
 
 
 def merge_regions(regions: DataFrame, merges: DataFrame) -> DataFrame:
