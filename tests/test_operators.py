@@ -391,3 +391,9 @@ def test_best_merges_of_weights_that_are_computed_again(spark):
     edges = [(i, i + 1, -1.0 - i % 2) for i in range(40)] + [(100, 101, -3.0), (101, 102, 1.0), (200, 201, 0.0)]
     got = sorted((r["a"], r["b"], round(r["weight"], 6)) for r in regions.best_merges(_restless(spark, edges)).collect())
     assert got == [(i, i + 1, -2.0) for i in range(1, 40, 2)] + [(100, 101, -3.0)]
+
+
+def test_contracted_edges_after_merges_that_are_computed_again(spark):
+    edges = _restless(spark, [(0, 1, -2.0), (0, 2, 1.0), (1, 2, 1.0), (2, 3, -5.0), (4, 5, 1.0)]).withColumns({"length": F.lit(3), "penalty": F.lit(0.5)})
+    got = sorted(tuple(r) for r in regions.contract(edges.drop("weight"), regions.best_merges(edges)).collect())
+    assert got == [(0, 2, 6, 1.0), (4, 5, 3, 0.5)]
