@@ -26,6 +26,12 @@ def two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row", "col", F.col("p.hh").cast("double").alias("hh"), F.col("p.hv").cast("double").alias("hv"))
 
 
+def signed_round(v, places: int) -> F.Column:
+    """v rounded; a negative number that rounds to zero gives -0.0, as in the SQL."""
+    v = F.col(v) if isinstance(v, str) else v
+    return F.round(F.abs(v), places) * F.signum(v)
+
+
 def height(spark: SparkSession, sf_dir: str) -> int:
     """Rows of the raster."""
     return table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0] + 1

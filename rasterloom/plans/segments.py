@@ -177,7 +177,7 @@ def contract_edges(spark, sf_dir):
     FROM st LEFT JOIN mer ON mer.b = region GROUP BY 1""")
 def merge_moments(spark, sf_dir):
     out = regions.merge_regions(_stats(spark, sf_dir), regions.best_merges(_weights(spark, sf_dir)))
-    return _round(out, ["region", "n"], *regions.MOMENTS[1:])
+    return out.select("region", "n", *[fx.signed_round(c, 6).alias(c) for c in regions.MOMENTS[1:]])
 
 
 @query(f"""WITH {_REG}, nw AS (SELECT row, col, CASE WHEN region < 0 THEN -2 ELSE (region // 3) * 5 + CASE WHEN row > 60 THEN 1 ELSE 0 END END AS region FROM reg)

@@ -397,3 +397,20 @@ def test_contracted_edges_after_merges_that_are_computed_again(spark):
     edges = _restless(spark, [(0, 1, -2.0), (0, 2, 1.0), (1, 2, 1.0), (2, 3, -5.0), (4, 5, 1.0)]).withColumns({"length": F.lit(3), "penalty": F.lit(0.5)})
     got = sorted(tuple(r) for r in regions.contract(edges.drop("weight"), regions.best_merges(edges)).collect())
     assert got == [(0, 2, 6, 1.0), (4, 5, 3, 0.5)]
+
+
+def test_merged_moments_after_merges_that_are_computed_again(spark):
+    stats_of = spark.createDataFrame([(i, 2, float(i), 0.0, 1.0, 0.0, 1.0) for i in range(4)], "region int, n long, m1 double, m2 double, c11 double, c12 double, c22 double")
+    merges = regions.best_merges(_restless(spark, [(0, 1, -2.0), (1, 2, 1.0), (2, 3, -5.0)]))
+    got = sorted((r["region"], r["n"], r["m1"]) for r in regions.merge_regions(stats_of, merges).collect())
+    assert got == [(0, 4, 0.5), (2, 4, 2.5)]
+
+
+def test_merged_moments_keep_the_sign_of_zero(spark, monkeypatch):
+    from rasterloom.plans import segments
+
+    held = spark.createDataFrame([(7, 3, 0.25, -4e-7, 0.1, 4e-7, None)], "region int, n long, m1 double, m2 double, c11 double, c12 double, c22 double")
+    monkeypatch.setattr(segments, "_weights", lambda *_: spark.createDataFrame([], "a int, b int, weight double"))
+    monkeypatch.setattr(segments, "_stats", lambda *_: held)
+    row = segments.merge_moments(spark, "").first()
+    assert [str(row[c]) for c in ("m1", "m2", "c11", "c12", "c22")] == ["0.25", "-0.0", "0.1", "0.0", "None"]
