@@ -229,7 +229,7 @@ def valid_windows(spark, sf_dir):
 def patch_extract(spark, sf_dir):
     """Patches as arrays in raster order; a patch is bounded by its size."""
     members, _, _ = _windowed(spark, sf_dir)
-    cells = F.transform(F.array_sort(F.collect_list(F.struct("row", "col", F.round("hh", 6).alias("hh")))), lambda p: p["hh"])
+    cells = F.transform(F.array_sort(F.collect_list(F.struct("row", "col", fx.signed_round("hh", 6).alias("hh")))), lambda p: p["hh"])
     out = members.groupBy("wr", "wc").agg(cells.alias("hh"), F.bool_and("invalid").alias("all_bad"))
     return out.where("not all_bad").select("wr", "wc", "hh")
 

@@ -414,3 +414,13 @@ def test_merged_moments_keep_the_sign_of_zero(spark, monkeypatch):
     monkeypatch.setattr(segments, "_stats", lambda *_: held)
     row = segments.merge_moments(spark, "").first()
     assert [str(row[c]) for c in ("m1", "m2", "c11", "c12", "c22")] == ["0.25", "-0.0", "0.1", "0.0", "None"]
+
+
+def test_patches_keep_the_sign_of_zero(spark, tmp_path):
+    from rasterloom.plans import rasters as plans
+
+    small = {0: -4e-7, 1: 4e-7, 2: -0.0, 3: -6e-7, 4: -0.25}  # columns of row 40, the first after the invalid ones
+    rows = [(r, [small.get(c, 0.5) if r == 40 else 0.5 for c in range(64)], 0) for r in range(56)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    patch = plans.patch_extract(spark, str(tmp_path)).where("wr = 4 and wc = 0").first()  # rows 40 to 55
+    assert [str(v) for v in patch["hh"][:6]] == ["-0.0", "0.0", "-0.0", "-1e-06", "-0.25", "0.5"]
