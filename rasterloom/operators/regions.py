@@ -80,9 +80,16 @@ def schedule(histogram: DataFrame, iteration: int, bins: int = 256) -> DataFrame
 
 
 def edge_penalties(sites: DataFrame, strength: DataFrame, k: Column, beta: Column, image: list[str] | None = None) -> DataFrame:
-    """a, b, length, penalty: beta times the sum of the sites' penalties."""
+    """a, b, length, penalty: beta times the sum of the sites' penalties, the same in whatever order the sites come."""
     rows = sites.join(strength, [*(image or []), "row", "col"])
-    return rows.groupBy(*(image or []), "a", "b").agg(F.count("*").alias("length"), (F.sum(energy.site_penalty(F.col("g"), k)) * beta).alias("penalty"))
+    return rows.groupBy(*(image or []), "a", "b").agg(F.count("*").alias("length"), (_sum(energy.site_penalty(F.col("g"), k)) * beta).alias("penalty"))
+
+
+def _sum(v: Column) -> Column:
+    """Sum of numbers up to 1, as multiples of 2**-32 and rests as multiples of 2**-64: both sums are exact for up to two million
+    rows, so equal boundaries get equal sums and their order decides, as it does in the SQL, not the order of a shuffle."""
+    high = F.rint(v * 2.0**32) / 2.0**32
+    return F.sum(high) + F.sum(F.rint((v - high) * 2.0**64) / 2.0**64)
 
 
 MOMENTS = ["n", "m1", "m2", "c11", "c12", "c22"]
@@ -127,11 +134,15 @@ def merge_regions(regions: DataFrame, merges: DataFrame) -> DataFrame:
 
 
 def contract(edges: DataFrame, merges: DataFrame) -> DataFrame:
-    """Edges after the merges: ends renamed, inner edges gone, parallel ones added up."""
-    lut = lambda s: merges.select(F.col("b").alias(s), F.col("a").alias(f"to_{s}"))
-    named = edges.join(lut("a"), "a", "left").join(lut("b"), "b", "left")
-    x, y = F.coalesce("to_a", "a"), F.coalesce("to_b", "b")
-    moved = named.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), "length", "penalty").where("a <> b")
+    """Edges after the merges: ends renamed, inner edges gone, parallel ones added up.
+
+    Both ends are looked up in one join: merges that are computed twice may choose otherwise between equal weights.
+    """
+    ends = edges.select("a", "b", "length", "penalty", F.posexplode(F.array("a", "b")).alias("end", "node"))
+    named = ends.join(merges.select(F.col("b").alias("node"), F.col("a").alias("into")), "node", "left").withColumn("into", F.coalesce("into", "node"))
+    of = lambda end, c: F.when(F.col("end") == end, F.col(c))
+    whole = named.groupBy("a", "b").agg(F.max(of(0, "into")).alias("x"), F.max(of(1, "into")).alias("y"), F.sum(of(0, "length")).alias("length"), F.sum(of(0, "penalty")).alias("penalty"))
+    moved = whole.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "length", "penalty").where("a <> b")
     return moved.groupBy("a", "b").agg(F.sum("length").alias("length"), F.sum("penalty").alias("penalty"))
 
 

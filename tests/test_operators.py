@@ -399,6 +399,37 @@ def test_contracted_edges_after_merges_that_are_computed_again(spark):
     assert got == [(0, 2, 6, 1.0), (4, 5, 3, 0.5)]
 
 
+def test_contracted_edges_choose_once_between_equal_weights(spark):
+    pairs = [(4 * i + j, 4 * i + j + 1) for i in range(40) for j in (0, 1)]  # 40 chains 0 - 1 - 2, whose two edges weigh the same
+    merges = regions.best_merges(_restless(spark, [(a, b, -2.0) for a, b in pairs]))
+    edges = spark.createDataFrame([(a, b, 3, 0.5) for a, b in pairs], "a int, b int, length int, penalty double")
+    spark.conf.set("spark.sql.exchange.reuse", "false")  # else a plan may happen to compute the merges once
+    try:
+        got = sorted((r["a"] // 4, r["a"] % 4, r["b"] % 4, r["length"]) for r in regions.contract(edges, merges).collect())
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert [g[0] for g in got] == list(range(40)) and {g[1:] for g in got} <= {(0, 1, 3), (0, 2, 3)}
+
+
+def test_contracted_edges_that_are_parallel_before(spark):
+    edges = spark.createDataFrame([(0, 1, 1, 0.5), (0, 2, 2, 0.25), (0, 2, 2, 0.25), (1, 2, 4, None), (2, 3, 8, 1.0), (5, 5, 1, 1.0)], "a int, b int, length int, penalty double")
+    merges = spark.createDataFrame([(0, 1, -1.0)], "a int, b int, weight double")
+    assert sorted(tuple(r) for r in regions.contract(edges, merges).collect()) == [(0, 2, 8, 0.5), (2, 3, 8, 1.0)]
+
+
+def test_penalties_do_not_depend_on_the_order_of_the_sites(spark):
+    draw = random.Random(5)
+    values = [draw.random() * 0.6 for _ in range(24)]
+    orders = [random.Random(i).sample(values, len(values)) for i in range(60)]  # 60 boundaries with the same strengths
+    rows = [(e, i, v) for e, order in enumerate(orders) for i, v in enumerate(order)]
+    sites = spark.createDataFrame([(r, c, 2 * r, 2 * r + 1) for r, c, _ in rows], "row int, col int, a int, b int").coalesce(1)
+    got = regions.edge_penalties(sites, spark.createDataFrame(rows, "row int, col int, g double"), F.lit(0.2), F.lit(0.8)).collect()
+    assert len(got) == 60 and len({r["penalty"] for r in got}) == 1
+    assert abs(got[0]["penalty"] - 0.8 * math.fsum(math.exp(-((v / 0.2) ** 2)) for v in values)) < 1e-13
+    odd = spark.createDataFrame([(0, 0, float("nan")), (0, 1, 0.1)], "row int, col int, g double")
+    assert math.isnan(regions.edge_penalties(sites.where("row = 0 and col < 2"), odd, F.lit(0.2), F.lit(0.8)).first()["penalty"])
+
+
 def test_merged_moments_after_merges_that_are_computed_again(spark):
     stats_of = spark.createDataFrame([(i, 2, float(i), 0.0, 1.0, 0.0, 1.0) for i in range(4)], "region int, n long, m1 double, m2 double, c11 double, c12 double, c22 double")
     merges = regions.best_merges(_restless(spark, [(0, 1, -2.0), (1, 2, 1.0), (2, 3, -5.0)]))
