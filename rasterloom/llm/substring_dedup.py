@@ -19,8 +19,8 @@ Words decide through two independent hashes, content of 64 and check of 32 bits,
 of joins and digests have 96 bits (among 1e13 different windows two collide with probability 0.0006),
 and anchors, which have 64, only say where to look.
 
-Hot passages: minima and maxima are pre-aggregated before each shuffle; the rows of hot edges are
-not shuffled for the join back, and the join on anchors is a plain sort-merge join, whose skewed
+Hot passages: minima and maxima of paths are pre-aggregated before each shuffle; the rows of hot edges
+are not shuffled, and the join on anchors is a plain sort-merge join, whose skewed
 partitions adaptive execution splits.
 
 Defined results.  Null or empty text: no words, hash of the empty string.  Documents under k
@@ -36,6 +36,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rasterloom.llm import keyfilter, textscan
@@ -45,6 +46,7 @@ from rasterloom.llm.textscan import U64
 WINDOW = 13
 ANCHOR = 5
 HOT_SHARE = 2_000
+HOT_BUCKETS = 1 << 14
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -179,14 +181,20 @@ def _later(rows: DataFrame) -> DataFrame:
     """The rows whose words also start in a smaller doc_id, with that source.
 
     Words with more than one in `HOT_SHARE` of the rows - fewer than `HOT_SHARE`, hence a bounded
-    broadcast - are joined where their rows are; only the others are shuffled for the join.
+    broadcast - are joined where their rows are; only the others are shuffled, once, and meet in a window.
+    Hot words are counted exactly, but only where all the words of their bucket together are that many.
     """
     key = ["content", "check"]
-    first = rows.groupBy(*key).agg(F.min("doc_id").alias("source"), F.min_by("start", "doc_id").alias("source_start"), F.count("*").alias("rows"))
-    hot = staged(first.where(F.col("rows") > rows.count() / HOT_SHARE).drop("rows"), "hot")
+    limit = rows.count() / HOT_SHARE
+    bucket = F.pmod(F.col("content"), F.lit(HOT_BUCKETS)).cast("int")
+    crowded = [r["bucket"] for r in rows.groupBy(bucket.alias("bucket")).count().where(F.col("count") > limit).select("bucket").collect()]  # fewer than HOT_SHARE
+    first = rows.where(bucket.isin(crowded)).groupBy(*key).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("rows"))
+    hot = staged(first.where(F.col("rows") > limit).select(*key, F.col("first.doc_id").alias("source"), F.col("first.start").alias("source_start")), "hot")
     often = rows.join(F.broadcast(hot), key)
-    others = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(first.drop("rows"), key)
-    return often.unionByName(others).where("doc_id > source")
+    alike = F.min(F.struct("doc_id", "start")).over(W.partitionBy(*key))
+    others = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").withColumn("first", alike)
+    others = others.select(*rows.columns, F.col("first.doc_id").alias("source"), F.col("first.start").alias("source_start"))
+    return often.select(*others.columns).unionByName(others).where("doc_id > source")
 
 
 def _untouched(touched):

@@ -189,3 +189,17 @@ def test_key_filter_never_stops_a_key(spark):
 def test_staged_tables_are_in_the_shared_folder(spark):
     frame = staged(spark.range(3).toDF("x"), "t")
     assert spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://") in frame.inputFiles()[0]
+
+
+def test_edges_are_shuffled_once(spark, monkeypatch):
+    from rasterloom.llm import substring_dedup as module
+
+    monkeypatch.setattr(module, "HOT_SHARE", 4)  # one key in over a quarter of the rows is hot, the others are not
+    rows = [(d, s, 7, 7) for d in range(3, 33) for s in (0, 5)] + [(d, k, k, 1) for k in range(20, 40) for d in (k % 3, 2, 4)]
+    later = module._later(spark.createDataFrame(rows, "doc_id long, start int, content long, check int"))
+    assert later._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    first = {}
+    for d, s, c, k in sorted(rows):
+        first.setdefault((c, k), (d, s))
+    want = sorted((d, s, c, k, *first[c, k]) for d, s, c, k in rows if d > first[c, k][0])
+    assert sorted(tuple(r) for r in later.select("doc_id", "start", "content", "check", "source", "source_start").collect()) == want
