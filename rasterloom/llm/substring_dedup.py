@@ -7,10 +7,11 @@ edges of a document with the same smallest m-gram form a path, held as one row
 
 1. anchors met in one document only are dropped (one shuffle of path rows; a filter of bounded
    size keeps the others' paths out of later shuffles),
-2. paths that share their anchor with no other content do not branch: one join on the anchor
-   settles all of their edges at once,
-3. paths whose anchor has several contents branch: they are taken apart into edges, which a
-   join on the edge settles,
+2. a path whose content is also in a smaller doc_id is settled whole: one join on the content
+   settles all of its edges at once,
+3. where an anchor has several contents, paths branch: those of each content's first document are
+   taken apart into edges, which meet by edge.  The first document of an edge is also the first of
+   the path around it, so no other copies are needed, however many there are,
 4. a settled span carries the coordinates of its source (the first document that has it, and the word
    where it starts there) and the digest of the words found there; the words at its own place must
    have the same digest before they are cut.
@@ -20,7 +21,7 @@ of joins and digests have 96 bits (among 1e13 different windows two collide with
 and anchors, which have 64, only say where to look.
 
 Hot passages: minima and maxima of paths are pre-aggregated before each shuffle; the rows of hot edges
-are not shuffled, and the join on anchors is a plain sort-merge join, whose skewed
+are not shuffled, and the join on contents is a plain sort-merge join, whose skewed
 partitions adaptive execution splits.
 
 Defined results.  Null or empty text: no words, hash of the empty string.  Documents under k
@@ -80,14 +81,17 @@ class Paths:
         self.anchor = textscan.signed(anchor[self.start] & self.mask)
         self.first = scan.first
 
+    def contents(self, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return textscan.signed(textscan.words_hash(self.hashes, first, stop) & self.mask)
+
     def digests(self, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """content and check of the words first..stop."""
-        content = textscan.words_hash(self.hashes, first, stop) & self.mask
         check = textscan.words_hash(self.scan.word_hashes(1), first, stop, 1) >> U64(32)
-        return textscan.signed(content), check.astype(np.uint32).view(np.int32)
+        return self.contents(first, stop), check.astype(np.uint32).view(np.int32)
 
-    def of_paths(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.digests(self.edge[self.start[own]], self.edge[self.stop[own] - 1] + self.k)
+    def words_of(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of the words of the paths."""
+        return self.edge[self.start[own]], self.edge[self.stop[own] - 1] + self.k
 
     def edges_of(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the edges of the paths, and the bounds of each path among them."""
@@ -118,7 +122,7 @@ def _paths(k: int, m: int, bits: int, wanted):
                 if not len(own):
                     continue
                 start, row = p.start[own], p.row[p.start[own]]
-                content, check = p.of_paths(own)
+                content, check = p.digests(*p.words_of(own))
                 place = (p.edge[start] - p.first[row]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(p.anchor[own]), pa.array(content), pa.array(check), part.column(0).take(pa.array(row)), pa.array(place), pa.array((p.stop - p.start)[own].astype(np.int32))],
@@ -128,13 +132,16 @@ def _paths(k: int, m: int, bits: int, wanted):
     return run
 
 
-def _edges(k: int, m: int, bits: int, branching):
+def _edges(k: int, m: int, bits: int, branching, firsts):
     def run(batches):
-        keep = branching.value
+        keep, first = branching.value, firsts.value
         for batch in batches:
             for part, scan in textscan.slices(batch, "text"):
                 p = Paths(scan, k, m, bits)
                 own = np.flatnonzero(keep.passes(p.anchor)) if len(p.start) else p.start
+                if len(own):
+                    ids = part.column(0).to_numpy(zero_copy_only=False)[p.row[p.start[own]]]
+                    own = own[first.passes(p.contents(*p.words_of(own)) ^ ids)]
                 if not len(own):
                     continue
                 row = p.row[p.start[own]]
@@ -148,6 +155,18 @@ def _edges(k: int, m: int, bits: int, branching):
     return run
 
 
+def _heads(branching):
+    """Content and first document of the paths that branch, in one number."""
+
+    def run(batches):
+        keep = branching.value
+        for batch in batches:
+            anchor, content, source = (batch.column(c).to_numpy() for c in ("anchor", "content", "source"))
+            yield pa.RecordBatch.from_arrays([pa.array((content ^ source)[keep.passes(anchor)])], ["head"])
+
+    return run
+
+
 SPAN = ("doc_id", "start", "n", "content", "check", "source", "source_start")
 
 
@@ -164,17 +183,17 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, bits: int
     wanted = spark.sparkContext.broadcast(keyfilter.build(shared, "anchor"))  # 32 MB at most
     paths = texts.mapInArrow(_paths(k, m, bits, wanted), "anchor long, content long, check int, doc_id long, start int, n int")
     paths = staged(paths, "paths")
-    sources = paths.groupBy("anchor").agg(
-        F.min("doc_id").alias("source"), F.max("doc_id").alias("hi"), F.min_by("start", "doc_id").alias("source_start"),
-        (F.min("content").eqNullSafe(F.max("content")) & F.min("check").eqNullSafe(F.max("check"))).alias("straight"),
-    ).where("source < hi")
-    sources = staged(sources.drop("hi"), "sources")
-    straight = paths.join(sources.where("straight").drop("straight"), "anchor").where("doc_id > source").select(*SPAN)
-    branches = spark.sparkContext.broadcast(keyfilter.build(sources.where("not straight"), "anchor"))  # 32 MB at most
-    arrays = staged(texts.mapInArrow(_edges(k, m, bits, branches), "doc_id long, start int, contents array<long>, checks array<int>"), "edges")
+    firsts = paths.groupBy("anchor", "content", "check").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("hi"), F.min_by("start", "doc_id").alias("source_start"))
+    firsts = staged(firsts, "firsts")
+    whole = paths.drop("anchor").join(firsts.where("source < hi").drop("anchor", "hi"), ["content", "check"]).where("doc_id > source").select(*SPAN)
+    forks = firsts.groupBy("anchor").agg(F.min("source").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("contents")).where("lo < hi and contents > 1")
+    branches = spark.sparkContext.broadcast(keyfilter.build(staged(forks.select("anchor"), "forks"), "anchor"))  # 32 MB at most
+    heads = firsts.mapInArrow(_heads(branches), "head long")
+    heads = spark.sparkContext.broadcast(keyfilter.build(staged(heads, "heads"), "head"))  # 32 MB at most
+    arrays = staged(texts.mapInArrow(_edges(k, m, bits, branches, heads), "doc_id long, start int, contents array<long>, checks array<int>"), "edges")
     edges = arrays.select("doc_id", "start", F.posexplode(F.arrays_zip("contents", "checks")).alias("i", "e"))
     edges = edges.select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.col("e.contents").alias("content"), F.col("e.checks").alias("check"))
-    return straight.unionByName(_later(edges).withColumn("n", F.lit(1)).select(*SPAN))
+    return whole.unionByName(_later(edges).withColumn("n", F.lit(1)).select(*SPAN))
 
 
 def _later(rows: DataFrame) -> DataFrame:

@@ -203,3 +203,18 @@ def test_edges_are_shuffled_once(spark, monkeypatch):
         first.setdefault((c, k), (d, s))
     want = sorted((d, s, c, k, *first[c, k]) for d, s, c, k in rows if d > first[c, k][0])
     assert sorted(tuple(r) for r in later.select("doc_id", "start", "content", "check", "source", "source_start").collect()) == want
+
+
+def test_copies_of_branching_paths_stay_whole(documents, monkeypatch):
+    from rasterloom.llm import substring_dedup as module
+
+    rng = random.Random(5)
+    base = [rng.choice(WORDS) for _ in range(60)]
+    near = [" ".join([*base[:at], "other", *base[at + 1 :]]) for at in (10, 30, 50)]
+    rows = [(d, near[d % 3]) for d in range(90)]
+    sent = []
+    later = module._later
+    monkeypatch.setattr(module, "_later", lambda edges: sent.append(edges) or later(edges))
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in module.digest(documents(rows)).collect()}
+    assert got == {d: x[:3] for d, x in brute_dedup(rows).items()}
+    assert 0 < sent[0].count() < 2 * 3 * 48  # windows of the three texts, not of their 90 copies
