@@ -142,10 +142,11 @@ def shared_counts(sets: list[np.ndarray], left: int) -> np.ndarray:
     common = seen[column] > 1  # others are shared with no one
     row, column = row[common], (np.cumsum(seen > 1) - 1)[column[common]]
     out = np.zeros((left, len(sets)), dtype=np.float32)
-    width = max(256, (1 << 22) // len(sets))
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    width = min(max(256, (1 << 22) // len(sets)), max(columns, 1))  # no more than there are: most blocks are a few texts
+    for lo in range(0, columns, width):
         a, b = np.searchsorted(column, (lo, lo + width))
         dense = np.zeros((len(sets), width), dtype=np.float32)
         dense[row[a:b], column[a:b] - lo] = 1

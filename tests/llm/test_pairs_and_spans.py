@@ -218,3 +218,14 @@ def test_copies_of_branching_paths_stay_whole(documents, monkeypatch):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in module.digest(documents(rows)).collect()}
     assert got == {d: x[:3] for d, x in brute_dedup(rows).items()}
     assert 0 < sent[0].count() < 2 * 3 * 48  # windows of the three texts, not of their 90 copies
+
+
+def test_small_blocks_take_small_matrices():
+    import tracemalloc
+
+    sets = [np.arange(at, at + 100, dtype=np.int64) for at in (0, 10, 300)]
+    tracemalloc.start()
+    shared = ngram_join.shared_counts(sets, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert shared.tolist() == [[90, 90, 0], [90, 90, 0], [0, 0, 0]] and peak < 1 << 20
